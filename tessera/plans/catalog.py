@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_half_up
 from tessera.functions.temporal import WEEKDAY_ORDER, weekday_name
+from tessera.operators import graph as G
+from tessera.operators.setops import union_all
 from tessera.plans import ratings as R
 from tessera.plans import standins as S
+from tessera.plans import trips as P
 from tessera.plans import tweets as T
 from tessera.sources.sinks import row_count
 from tessera.sources.tables import Tables
@@ -240,3 +243,227 @@ FROM orders GROUP BY o_custkey ORDER BY order_count DESC, o_custkey LIMIT 10""")
 def q_top_users(t: Tables) -> DataFrame:
     act = R.user_activity(t.orders, "o_custkey", ACTIVITY_THRESHOLD, "order_count")
     return R.top_users(act, "o_custkey", 10, "order_count")
+
+
+# ---------------------------------------------------------------- task 3: fare metrics
+
+FARE_SQL = """SELECT * FROM (SELECT value AS fare, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS trip_miles,
+  TRY_CAST(CAST(user_id * 60 AS VARCHAR) AS INTEGER) AS trip_seconds,
+  hour(try_strptime(strftime(ts, '%m/%d/%Y %I:%M:%S %p'), '%m/%d/%Y %I:%M:%S %p')) AS hour_of_day FROM events)
+WHERE fare IS NOT NULL AND trip_miles IS NOT NULL AND trip_seconds IS NOT NULL AND hour_of_day IS NOT NULL"""
+
+
+def _metrics(t: Tables) -> DataFrame:
+    return P.fare_metrics(S.fare_trips(t))
+
+
+@register("clean_metrics", FARE_SQL)
+def q_clean_metrics(t: Tables) -> DataFrame:
+    return _metrics(t)
+
+
+@register("summary_stats", " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count({c}) AS "count", {sql_round(f'avg({c})')} AS mean,
+  {sql_round(f'stddev_samp({c})')} AS stddev, CAST(min({c}) AS DOUBLE) AS "min", CAST(max({c}) AS DOUBLE) AS "max"
+  FROM ({FARE_SQL})""" for c in ["fare", "trip_miles", "trip_seconds"]))
+def q_summary_stats(t: Tables) -> DataFrame:
+    return P.fare_summary(_metrics(t)).withColumns({"mean": r6("mean"), "stddev": r6("stddev")})
+
+
+for _key, _col in [("avg_by_miles", "trip_miles"), ("avg_by_seconds", "trip_seconds"), ("avg_by_hour", "hour_of_day")]:
+    def _avg_q(t: Tables, _col=_col) -> DataFrame:
+        return P.avg_fare_by(_metrics(t), _col).withColumn("avg_fare", r6("avg_fare"))
+    register(_key, f"SELECT {_col}, {sql_round('avg(fare)')} AS avg_fare FROM ({FARE_SQL}) GROUP BY {_col}")(_avg_q)
+
+
+@register("binned_avg_miles", f"""
+SELECT floor(trip_miles / 10) * 10 AS miles_bin, {sql_round('avg(fare)')} AS avg_fare, count(*) AS trips
+FROM ({FARE_SQL}) WHERE trip_miles >= 0 AND trip_miles < 100 GROUP BY 1""")
+def q_binned_avg_miles(t: Tables) -> DataFrame:
+    return P.avg_fare_by_miles_bin(_metrics(t)).withColumn("avg_fare", r6("avg_fare"))
+
+
+@register("binned_avg_duration", f"""
+SELECT floor(trip_seconds / 60.0 / 15) * 15 AS minutes_bin, {sql_round('avg(fare)')} AS avg_fare, count(*) AS trips
+FROM ({FARE_SQL}) WHERE trip_seconds / 60.0 >= 0 AND trip_seconds / 60.0 < 120 GROUP BY 1""")
+def q_binned_avg_duration(t: Tables) -> DataFrame:
+    return P.avg_fare_by_duration_bin(_metrics(t)).withColumn("avg_fare", r6("avg_fare"))
+
+
+# ---------------------------------------------------------------- task 3: trip graph
+
+TRIPS_SQL = """SELECT c.c_nationkey AS pickup_area, s.s_nationkey AS dropoff_area, c.c_mktsegment AS pickup_label,
+  s.s_name AS dropoff_label, l.l_quantity AS trip_miles, l.l_linenumber * 60 AS trip_seconds, l.l_extendedprice AS fare
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN supplier s ON l.l_suppkey = s.s_suppkey"""
+
+ENDPOINTS_SQL = f"""SELECT pickup_area AS id, pickup_label AS label FROM ({TRIPS_SQL})
+  UNION ALL SELECT dropoff_area AS id, dropoff_label AS label FROM ({TRIPS_SQL})"""
+
+VERTICES_SQL = f"SELECT id, min(label) AS label FROM ({ENDPOINTS_SQL}) WHERE id IS NOT NULL GROUP BY id"
+
+EDGES_SQL = f"""SELECT CAST(pickup_area AS INTEGER) AS src, CAST(dropoff_area AS INTEGER) AS dst,
+  CAST(trip_miles AS DOUBLE) AS trip_miles, CAST(trip_seconds AS INTEGER) AS trip_seconds, CAST(fare AS DOUBLE) AS fare
+FROM ({TRIPS_SQL}) WHERE pickup_area IS NOT NULL AND dropoff_area IS NOT NULL"""
+
+LANDMARK = 9
+
+
+def _graph(t: Tables) -> G.Graph:
+    return P.trip_graph(S.trips(t))
+
+
+@register("union_vertices", VERTICES_SQL)
+def q_union_vertices(t: Tables) -> DataFrame:
+    return _graph(t).vertices
+
+
+@register("union_all_ids", f"SELECT id, count(*) AS n FROM ({ENDPOINTS_SQL}) GROUP BY id")
+def q_union_all_ids(t: Tables) -> DataFrame:
+    tr = S.trips(t)
+    ends = union_all([tr.select(F.col("pickup_area").alias("id")), tr.select(F.col("dropoff_area").alias("id"))])
+    return ends.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("edges_clean", EDGES_SQL)
+def q_edges_clean(t: Tables) -> DataFrame:
+    return _graph(t).edges
+
+
+@register("fold_parallel_edges", f"""
+SELECT src, dst, CAST(sum(CAST(fare AS DECIMAL(18,2))) AS DOUBLE) AS weight, count(*) AS multiplicity
+FROM ({EDGES_SQL}) GROUP BY src, dst""")
+def q_fold_parallel_edges(t: Tables) -> DataFrame:
+    e = _graph(t).edges.withColumn("fare_exact", F.col("fare").cast("decimal(18,2)"))
+    return G.fold_parallel_edges(e, "fare_exact").withColumn("weight", F.col("weight").cast("double"))
+
+
+@register("enriched_edges", f"""
+WITH e AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY fare, trip_miles, trip_seconds) AS rn
+  FROM ({EDGES_SQL})) WHERE rn = 1), v AS ({VERTICES_SQL})
+SELECT e.src, e.dst, e.trip_miles, e.trip_seconds, e.fare, vs.label AS src_label, vd.label AS dst_label
+FROM e LEFT JOIN v vs ON e.src = vs.id LEFT JOIN v vd ON e.dst = vd.id""")
+def q_enriched_edges(t: Tables) -> DataFrame:
+    return G.enriched_edges(_graph(t), ["fare", "trip_miles", "trip_seconds"])
+
+
+@register("self_loops", f"SELECT * FROM ({EDGES_SQL}) WHERE src = dst")
+def q_self_loops(t: Tables) -> DataFrame:
+    return G.self_loops(_graph(t).edges)
+
+
+@register("self_loop_count", f"SELECT count(*) AS self_loop_count FROM ({EDGES_SQL}) WHERE src = dst")
+def q_self_loop_count(t: Tables) -> DataFrame:
+    return row_count(G.self_loops(_graph(t).edges), "self_loop_count")
+
+
+@register("bfs_paths", f"""
+WITH RECURSIVE ecount AS (SELECT src, dst, count(*) AS m FROM ({EDGES_SQL}) GROUP BY src, dst),
+v AS (SELECT id FROM ({VERTICES_SQL})),
+reach(origin, vid, d) AS (
+  SELECT id, id, 0 FROM v WHERE id <> {LANDMARK}
+  UNION
+  SELECT r.origin, e.dst, r.d + 1 FROM reach r JOIN ecount e ON r.vid = e.src WHERE r.d < 10),
+dist AS (SELECT origin, vid, min(d) AS d FROM reach GROUP BY origin, vid),
+lvl AS (SELECT min(d) AS l FROM dist WHERE vid = {LANDMARK}),
+paths(origin, last, path, hops, mult) AS (
+  SELECT id, id, [id], 0, CAST(1 AS BIGINT) FROM v WHERE id <> {LANDMARK}
+  UNION ALL
+  SELECT p.origin, e.dst, list_append(p.path, e.dst), p.hops + 1, p.mult * e.m
+  FROM paths p JOIN ecount e ON p.last = e.src
+  JOIN dist ON dist.origin = p.origin AND dist.vid = e.dst AND dist.d = p.hops + 1
+  WHERE p.hops < (SELECT l FROM lvl))
+SELECT origin, last AS target, hops, array_to_string(path, '->') AS path, mult AS edge_paths
+FROM paths WHERE last = {LANDMARK} AND hops = (SELECT l FROM lvl)""")
+def q_bfs_paths(t: Tables) -> DataFrame:
+    return G.bfs(_graph(t), f"id != {LANDMARK}", f"id = {LANDMARK}", 10)
+
+
+@register("hop_distance", f"""
+WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM ({EDGES_SQL})),
+n AS (SELECT count(*) AS c FROM ({VERTICES_SQL})),
+r(id, d) AS (SELECT id, 0 FROM ({VERTICES_SQL}) WHERE id = {LANDMARK}
+  UNION SELECT e.src, r.d + 1 FROM r JOIN e ON e.dst = r.id WHERE r.d < (SELECT c FROM n))
+SELECT id, {LANDMARK} AS landmark, min(d) AS distance FROM r GROUP BY id""")
+def q_hop_distance(t: Tables) -> DataFrame:
+    return G.hop_distance(_graph(t), [LANDMARK])
+
+
+def _pagerank_sql(weight_expr: str, folded_from: str, iters: int | None = None, tol: float | None = None,
+                  top: int | None = None) -> str:
+    head = f"""WITH RECURSIVE v AS (SELECT id FROM ({VERTICES_SQL})),
+f AS (SELECT src, dst, {weight_expr} AS w FROM ({folded_from}) GROUP BY src, dst),
+o AS (SELECT src, sum(w) AS ow FROM f GROUP BY src),
+p AS (SELECT f.src, f.dst, f.w / o.ow AS p, false AS self FROM f JOIN o USING (src)
+      UNION ALL SELECT id, id, 0.0, true FROM v),"""
+    if tol is None:
+        body = f"""
+pr(it, id, rank) AS (SELECT 0, id, CAST(1.0 AS DOUBLE) FROM v
+  UNION ALL SELECT pr.it + 1, p.dst, 0.15 + 0.85 * sum(pr.rank * p.p) FROM pr JOIN p ON pr.id = p.src
+  WHERE pr.it < {iters} GROUP BY pr.it, p.dst),
+fin AS (SELECT id, rank FROM pr WHERE it = {iters})"""
+    else:
+        body = f"""
+pr(it, id, rank, maxdelta) AS (SELECT 0, id, CAST(1.0 AS DOUBLE), CAST(1e300 AS DOUBLE) FROM v
+  UNION ALL SELECT it, id, rank, max(abs(rank - old)) OVER () FROM (
+    SELECT pr.it + 1 AS it, p.dst AS id, 0.15 + 0.85 * sum(pr.rank * p.p) AS rank,
+      max(CASE WHEN p.self THEN pr.rank END) AS old
+    FROM pr JOIN p ON pr.id = p.src WHERE pr.maxdelta >= {tol!r} GROUP BY pr.it, p.dst)),
+fin AS (SELECT id, rank FROM pr WHERE it = (SELECT max(it) FROM pr))"""
+    tail = f"""
+SELECT id, {sql_round('rank * (SELECT count(*) FROM v) / (SELECT sum(rank) FROM fin)')} AS pagerank FROM fin"""
+    sql = head + body + tail
+    if top:
+        sql = f"SELECT * FROM ({sql}) ORDER BY pagerank DESC, id LIMIT {top}"
+    return sql
+
+
+def _pr(t: Tables, **kw) -> DataFrame:
+    return G.pagerank(_graph(t), 0.15, **kw).withColumn("pagerank", r6("pagerank"))
+
+
+@register("pagerank_fixed", _pagerank_sql("CAST(count(*) AS DOUBLE)", EDGES_SQL, iters=10))
+def q_pagerank_fixed(t: Tables) -> DataFrame:
+    return _pr(t, max_iter=10, mode="multiplicity")
+
+
+@register("pagerank_simple", _pagerank_sql("1.0", EDGES_SQL, iters=10))
+def q_pagerank_simple(t: Tables) -> DataFrame:
+    return _pr(t, max_iter=10, mode="simple")
+
+
+@register("pagerank_weighted", _pagerank_sql("CAST(sum(fare) AS DOUBLE)", EDGES_SQL, iters=10))
+def q_pagerank_weighted(t: Tables) -> DataFrame:
+    return _pr(t, max_iter=10, mode="weight", weight_col="fare")
+
+
+@register("pagerank_tol", _pagerank_sql("CAST(count(*) AS DOUBLE)", EDGES_SQL, tol=0.01))
+def q_pagerank_tol(t: Tables) -> DataFrame:
+    return _pr(t, tol=0.01, mode="multiplicity")
+
+
+@register("pagerank_top5", _pagerank_sql("CAST(count(*) AS DOUBLE)", EDGES_SQL, tol=0.01, top=5))
+def q_pagerank_top5(t: Tables) -> DataFrame:
+    return G.top_ranked(_pr(t, tol=0.01, mode="multiplicity"), 5)
+
+
+@register("pagerank_simple_top5", _pagerank_sql("1.0", EDGES_SQL, iters=10, top=5))
+def q_pagerank_simple_top5(t: Tables) -> DataFrame:
+    return G.top_ranked(_pr(t, max_iter=10, mode="simple"), 5)
+
+
+@register("normalized_weights", f"""
+WITH f AS (SELECT src, dst, CAST(sum(CAST(fare AS DECIMAL(18,2))) AS DOUBLE) AS weight FROM ({EDGES_SQL}) GROUP BY 1, 2)
+SELECT src, dst, weight, {sql_round('weight / sum(weight) OVER (PARTITION BY src)')} AS norm_weight FROM f""")
+def q_normalized_weights(t: Tables) -> DataFrame:
+    e = _graph(t).edges.withColumn("fare_exact", F.col("fare").cast("decimal(18,2)"))
+    folded = G.fold_parallel_edges(e, "fare_exact").select("src", "dst", F.col("weight").cast("double").alias("weight"))
+    return G.normalized_weights(folded, "weight").withColumn("norm_weight", r6("norm_weight"))
+
+
+@register("connected_vertices", f"""
+SELECT n_nationkey AS id, n_name AS name FROM nation
+WHERE n_nationkey IN (SELECT src FROM ({EDGES_SQL}) UNION SELECT dst FROM ({EDGES_SQL}))""")
+def q_connected_vertices(t: Tables) -> DataFrame:
+    g = G.Graph(t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")), _graph(t).edges)
+    return G.connected_vertices(g)
