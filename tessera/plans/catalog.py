@@ -14,10 +14,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.logs import IPV4_PATTERN, block_fields, extract
 from tessera.functions.numeric import round_half_up
-from tessera.functions.temporal import WEEKDAY_ORDER, weekday_name
+from tessera.functions.temporal import WEEKDAY_ORDER, to_ntz, weekday_name
 from tessera.operators import graph as G
 from tessera.operators.setops import union_all
+from tessera.plans import logs as L
 from tessera.plans import ratings as R
 from tessera.plans import standins as S
 from tessera.plans import trips as P
@@ -467,3 +469,132 @@ WHERE n_nationkey IN (SELECT src FROM ({EDGES_SQL}) UNION SELECT dst FROM ({EDGE
 def q_connected_vertices(t: Tables) -> DataFrame:
     g = G.Graph(t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")), _graph(t).edges)
     return G.connected_vertices(g)
+
+
+# ---------------------------------------------------------------- task 4: logs (batch)
+
+_EID, _UID = "CAST(event_id AS VARCHAR)", "CAST(user_id AS VARCHAR)"
+_SIZE = "CAST(CAST(round(value * 1000) AS BIGINT) AS VARCHAR)"
+LOG_LINES_SQL = f"""SELECT event_id, strftime(ts, '%y%m%d %H%M%S') || ' ' || {_UID} || ' ' ||
+  CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARN' ELSE 'INFO' END || ' ' ||
+  CASE event_type WHEN 'click' THEN 'dfs.DataNode$DataXceiver' WHEN 'view' THEN 'dfs.DataNode$PacketResponder'
+    WHEN 'purchase' THEN 'dfs.FSNamesystem' ELSE 'dfs.DataNode' END || ': ' ||
+  CASE event_type
+    WHEN 'click' THEN 'Receiving block blk_' || {_EID} || ' src: /10.0.' || {_UID} || '.1:5' || {_EID}
+      || ' dest: /10.0.' || {_UID} || '.1:50010'
+    WHEN 'view' THEN 'Received block blk_' || {_EID} || ' of size ' || {_SIZE} || ' from /10.0.' || {_UID} || '.2'
+    WHEN 'purchase' THEN 'BLOCK* NameSystem.addStoredBlock: blockMap updated: 10.0.' || {_UID}
+      || '.3:50010 is added to blk_-' || {_EID} || ' size ' || {_SIZE}
+    WHEN 'signup' THEN 'PacketResponder 1 for block blk_' || {_EID} || ' terminating'
+    ELSE 'writeBlock blk_' || {_EID} || ' received exception from /10.0.' || {_UID} || '.4:50010' END AS value
+FROM events"""
+
+PARSED_SQL = f"""SELECT value,
+  try_strptime(regexp_extract(value, '^(\\d{{6}})', 1) || ' ' || regexp_extract(value, '^\\d{{6}}\\s(\\d{{6}})', 1),
+    '%y%m%d %H%M%S') AS event_ts,
+  NULLIF(regexp_extract(value, '(\\w+):', 1), '') AS component,
+  NULLIF(regexp_extract(value, '(\\bINFO\\b|\\bWARN\\b|\\bERROR\\b)', 1), '') AS log_level,
+  NULLIF(regexp_extract(value, ':\\s(.*)', 1), '') AS message
+FROM ({LOG_LINES_SQL})"""
+
+FIELDS_SQL = f"""SELECT *, NULLIF(regexp_extract(coalesce(source, ''), '/([\\d\\.]+)', 1), '') AS hostname FROM (
+  SELECT value, NULLIF(regexp_extract(value, '(/[\\d\\.]+:\\d+)', 1), '') AS source,
+    TRY_CAST(regexp_extract(value, 'size\\s+(\\d+)', 1) AS BIGINT) AS block_size,
+    NULLIF(regexp_extract(value, '(blk_[-\\d]+)', 1), '') AS block_id,
+    NULLIF(regexp_extract(value, '(\\d{{1,3}}\\.\\d{{1,3}}\\.\\d{{1,3}}\\.\\d{{1,3}})', 1), '') AS ip,
+    NULLIF(regexp_extract(value, '(\\bINFO\\b|\\bWARN\\b|\\bERROR\\b)', 1), '') AS log_level,
+    NULLIF(regexp_extract(value, '(\\w+):', 1), '') AS component
+  FROM ({LOG_LINES_SQL}))"""
+
+HOST_BYTES_SQL = f"SELECT hostname, CAST(sum(block_size) AS BIGINT) AS total_bytes FROM ({FIELDS_SQL}) GROUP BY hostname"
+HOST_OPS_SQL = f"""SELECT ip AS hostname, count(*) AS block_operations FROM ({FIELDS_SQL})
+WHERE log_level = 'INFO' AND block_id IS NOT NULL AND ip IS NOT NULL GROUP BY ip"""
+TUMBLING_SQL = f"""SELECT time_bucket(INTERVAL 10 SECOND, event_ts) AS window_start,
+  time_bucket(INTERVAL 10 SECOND, event_ts) + INTERVAL 10 SECOND AS window_end, component, log_level,
+  count(*) AS event_count FROM ({PARSED_SQL}) WHERE event_ts IS NOT NULL GROUP BY 1, 2, 3, 4"""
+SLIDING_SQL = f"""WITH dn AS (SELECT event_ts FROM ({PARSED_SQL}) WHERE contains(component, 'DataNode') AND event_ts IS NOT NULL),
+b AS (SELECT time_bucket(INTERVAL 30 SECOND, event_ts) AS ws FROM dn
+      UNION ALL SELECT time_bucket(INTERVAL 30 SECOND, event_ts) - INTERVAL 30 SECOND FROM dn)
+SELECT ws AS window_start, ws + INTERVAL 60 SECOND AS window_end, count(*) AS datanode_count FROM b GROUP BY ws"""
+HOURLY_ERRORS_SQL = f"""SELECT time_bucket(INTERVAL 1 HOUR, event_ts) AS window_start,
+  time_bucket(INTERVAL 1 HOUR, event_ts) + INTERVAL 1 HOUR AS window_end, count(*) AS event_count
+FROM ({PARSED_SQL}) WHERE log_level = 'ERROR' AND event_ts IS NOT NULL GROUP BY 1, 2"""
+
+
+def _lines(t: Tables) -> DataFrame:
+    return S.log_lines(t).select("value")
+
+
+@register("log_parse", f"SELECT value, event_ts, component, log_level, message FROM ({PARSED_SQL})")
+def q_log_parse(t: Tables) -> DataFrame:
+    p = L.parsed(_lines(t))
+    return p.select("value", to_ntz("event_ts").alias("event_ts"), "component", "log_level", "message")
+
+
+@register("log_filter", f"""
+SELECT value, log_level, block_id, ip AS hostname FROM ({FIELDS_SQL})
+WHERE log_level = 'INFO' AND block_id IS NOT NULL AND ip IS NOT NULL""")
+def q_log_filter(t: Tables) -> DataFrame:
+    f = block_fields(L.parsed(_lines(t)))
+    f = f.filter((F.col("log_level") == "INFO") & F.col("block_id").isNotNull() & F.col("ip").isNotNull())
+    return f.select("value", "log_level", "block_id", F.col("ip").alias("hostname"))
+
+
+@register("level_component_filter", f"""
+SELECT value, component, log_level FROM ({PARSED_SQL})
+WHERE log_level IN ('WARN', 'ERROR') AND component IN ('DataNode', 'PacketResponder')""")
+def q_level_component_filter(t: Tables) -> DataFrame:
+    out = L.keep_levels_components(L.parsed(_lines(t)), ["WARN", "ERROR"], ["DataNode", "PacketResponder"])
+    return out.select("value", "component", "log_level")
+
+
+@register("host_component_counts", f"""
+SELECT ip AS hostname, component, log_level, count(*) AS event_count FROM ({FIELDS_SQL}) GROUP BY 1, 2, 3""")
+def q_host_component_counts(t: Tables) -> DataFrame:
+    return L.host_component_counts(_lines(t))
+
+
+@register("host_bytes", HOST_BYTES_SQL)
+def q_host_bytes(t: Tables) -> DataFrame:
+    return L.host_bytes(_lines(t))
+
+
+@register("host_block_operations", HOST_OPS_SQL)
+def q_host_block_operations(t: Tables) -> DataFrame:
+    return L.host_block_operations(_lines(t))
+
+
+@register("tumbling_window_counts", TUMBLING_SQL)
+def q_tumbling_window_counts(t: Tables) -> DataFrame:
+    return L.window_counts(L.parsed(_lines(t)), "event_ts", "10 seconds", None, ["component", "log_level"],
+                           "event_count")
+
+
+@register("sliding_datanode_counts", SLIDING_SQL)
+def q_sliding_datanode_counts(t: Tables) -> DataFrame:
+    return L.window_counts(L.datanode_lines(L.parsed(_lines(t))), "event_ts", "60 seconds", "30 seconds", (),
+                           "datanode_count")
+
+
+@register("busy_error_hours", f"""
+WITH h AS ({HOURLY_ERRORS_SQL})
+SELECT *, {sql_round('(SELECT avg(event_count) FROM h)')} AS mean_count FROM h
+WHERE event_count > (SELECT avg(event_count) FROM h)""")
+def q_busy_error_hours(t: Tables) -> DataFrame:
+    p = L.parsed(_lines(t)).filter(F.col("log_level") == "ERROR")
+    out = L.busy_windows(L.window_counts(p, "event_ts", "1 hour", None, (), "event_count"), "event_count")
+    return out.withColumn("mean_count", r6("mean_count"))
+
+
+@register("regex_host_count", """
+SELECT host, count(*) AS doc_count FROM (
+  SELECT NULLIF(regexp_extract(text, '(\\d{1,3}\\.\\d{1,3}\\.\\d{1,3}\\.\\d{1,3})', 1), '') AS host FROM documents)
+WHERE host IS NOT NULL GROUP BY host""")
+def q_regex_host_count(t: Tables) -> DataFrame:
+    hosts = t.documents.select(extract("text", IPV4_PATTERN).alias("host")).filter(F.col("host").isNotNull())
+    return hosts.groupBy("host").agg(F.count(F.lit(1)).alias("doc_count"))
+
+
+@register("substring_filter", "SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'ring')")
+def q_substring_filter(t: Tables) -> DataFrame:
+    return t.part.filter(F.col("p_name").contains("ring")).select("p_partkey", "p_name")

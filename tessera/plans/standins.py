@@ -93,7 +93,11 @@ def fare_trips(t: Tables) -> DataFrame:
 
 def log_lines(t: Tables) -> DataFrame:
     """``event_id, value``: one HDFS-layout log line per event row."""
-    e = t.events
+    return log_lines_from_events(t.events)
+
+
+def log_lines_from_events(e: DataFrame) -> DataFrame:
+    """Same as ``log_lines`` for any (batch or streaming) frame with the events columns."""
     level = F.lit("INFO")
     for k, v in EVENT_LOG_LEVEL.items():
         level = F.when(F.col("event_type") == k, F.lit(v)).otherwise(level)
