@@ -26,6 +26,9 @@ from tessera.plans import trips as P
 from tessera.plans import tweets as T
 from tessera.sources.sinks import row_count
 from tessera.sources.tables import Tables
+from tessera.streaming import logs as SL
+from tessera.streaming.sinks import progress_frame, run_stream
+from tessera.streaming.sources import table_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -598,3 +601,77 @@ def q_regex_host_count(t: Tables) -> DataFrame:
 @register("substring_filter", "SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'ring')")
 def q_substring_filter(t: Tables) -> DataFrame:
     return t.part.filter(F.col("p_name").contains("ring")).select("p_partkey", "p_name")
+
+
+# ---------------------------------------------------------------- task 4: logs (Structured Streaming)
+
+def _log_stream(t: Tables) -> DataFrame:
+    events = table_stream(t.spark, t.sf_dir, "events")
+    return S.log_lines_from_events(events).select("value")
+
+
+def _run(spec: SL.StreamSpec, name: str) -> DataFrame:
+    return run_stream(spec.frame, spec.mode, name, spec.keys).result()
+
+
+@register("stream_parse_append", f"SELECT value, event_ts, component, log_level, message FROM ({PARSED_SQL})")
+def q_stream_parse_append(t: Tables) -> DataFrame:
+    return _run(SL.parsed_append(_log_stream(t), watermark="5 seconds"), "stream_parse_append")
+
+
+@register("stream_tumbling_complete", TUMBLING_SQL)
+def q_stream_tumbling_complete(t: Tables) -> DataFrame:
+    return _run(SL.tumbling_counts(_log_stream(t), "10 seconds", "5 seconds", "complete"), "stream_tumbling")
+
+
+@register("stream_sliding_update", SLIDING_SQL)
+def q_stream_sliding_update(t: Tables) -> DataFrame:
+    return _run(SL.sliding_datanode_counts(_log_stream(t), mode="update"), "stream_sliding_update")
+
+
+# The DataNode filter does not touch the event time, so Catalyst pushes it below
+# the watermark: the watermark is the max event time of the *DataNode* lines.
+@register("stream_sliding_append", f"""
+SELECT * FROM ({SLIDING_SQL})
+WHERE window_end <= (SELECT max(event_ts) FROM ({PARSED_SQL}) WHERE contains(component, 'DataNode'))
+  - INTERVAL 5 SECOND""")
+def q_stream_sliding_append(t: Tables) -> DataFrame:
+    return _run(SL.sliding_datanode_counts(_log_stream(t), mode="append"), "stream_sliding_append")
+
+
+@register("stream_host_bytes_complete", HOST_BYTES_SQL)
+def q_stream_host_bytes(t: Tables) -> DataFrame:
+    return _run(SL.host_bytes(_log_stream(t)), "stream_host_bytes")
+
+
+@register("stream_host_ops_complete", HOST_OPS_SQL)
+def q_stream_host_ops(t: Tables) -> DataFrame:
+    return _run(SL.host_block_operations(_log_stream(t)), "stream_host_ops")
+
+
+@register("stream_windowed_host_bytes", f"""
+SELECT time_bucket(INTERVAL 1 HOUR, event_ts) AS window_start,
+  time_bucket(INTERVAL 1 HOUR, event_ts) + INTERVAL 1 HOUR AS window_end, hostname,
+  CAST(sum(block_size) AS BIGINT) AS total_bytes
+FROM (SELECT p.event_ts, f.hostname, f.block_size FROM ({PARSED_SQL}) p JOIN ({FIELDS_SQL}) f USING (value))
+WHERE event_ts IS NOT NULL GROUP BY 1, 2, 3
+HAVING time_bucket(INTERVAL 1 HOUR, event_ts) + INTERVAL 1 HOUR
+  <= (SELECT max(event_ts) FROM ({PARSED_SQL})) - INTERVAL 5 SECOND""")
+def q_stream_windowed_host_bytes(t: Tables) -> DataFrame:
+    return _run(SL.windowed_host_bytes(_log_stream(t)), "stream_windowed_host_bytes")
+
+
+@register("stream_busy_error_hours", f"""
+WITH h AS ({HOURLY_ERRORS_SQL})
+SELECT *, {sql_round('(SELECT avg(event_count) FROM h)')} AS mean_count FROM h
+WHERE event_count > (SELECT avg(event_count) FROM h)""")
+def q_stream_busy_error_hours(t: Tables) -> DataFrame:
+    counts = _run(SL.level_window_counts(_log_stream(t), "ERROR", "1 hour"), "stream_error_hours")
+    return L.busy_windows(counts, "event_count").withColumn("mean_count", r6("mean_count"))
+
+
+@register("stream_progress")
+def q_stream_progress(t: Tables) -> DataFrame:
+    spec = SL.parsed_append(_log_stream(t))
+    run = run_stream(spec.frame, spec.mode, "stream_progress", spec.keys)
+    return progress_frame(t.spark, run)
