@@ -122,8 +122,13 @@ def connected_vertices(graph: Graph) -> DataFrame:
 # ----------------------------------------------------------------- iteration helpers
 
 def _checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared folder; cached first so the
+    checkpoint write reads the cached blocks instead of recomputing."""
     checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
@@ -249,32 +254,35 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
     else:
         raise ValueError(f"unknown mode {mode!r}")
     out_w = folded.groupBy("src").agg(F.sum("w").alias("__out"))
-    trans = (folded.join(out_w, "src").select("src", "dst", (F.col("w") / F.col("__out")).alias("p"))
+    verts = graph.vertices.select("id").distinct()
+    # One zero-probability self row per vertex: every vertex then receives a
+    # row in the per-destination sum (no outer join with the vertex set per
+    # round), and that row carries the vertex's previous rank for the
+    # convergence test.
+    trans = (folded.join(out_w, "src")
+             .select("src", "dst", (F.col("w") / F.col("__out")).alias("p"), F.lit(False).alias("is_self"))
+             .unionByName(verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("p"),
+                                       F.lit(True).alias("is_self")))
              .repartition(n, "src").persist(StorageLevel.MEMORY_AND_DISK))
-    verts = (graph.vertices.select("id").distinct().repartition(n, "id")
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    ranks = verts.withColumn("rank", F.lit(1.0))
+    ranks = verts.select("id", F.lit(1.0).alias("rank"))
     it = 0
     while max_iter is None or it < max_iter:
         it += 1
-        contrib = (ranks.join(trans, ranks["id"] == trans["src"])
-                   .groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("p")).alias("__s")))
-        new = verts.join(contrib, "id", "left").select(
-            "id", (F.lit(reset_probability) + F.lit(1.0 - reset_probability) * F.coalesce("__s", F.lit(0.0)))
-            .alias("rank"))
-        if it % checkpoint_every == 0:
-            new = _checkpoint(new)
-        elif tol is not None:
-            new = new.persist(StorageLevel.MEMORY_AND_DISK)
+        new = (ranks.join(trans, ranks["id"] == trans["src"])
+               .groupBy(F.col("dst").alias("id"))
+               .agg((F.lit(reset_probability) + F.lit(1.0 - reset_probability) * F.sum(F.col("rank") * F.col("p")))
+                    .alias("rank"),
+                    F.max(F.when(F.col("is_self"), F.col("rank"))).alias("__old")))
+        if tol is not None or it % checkpoint_every == 0:
+            new = _checkpoint(new) if it % checkpoint_every == 0 else new.persist(StorageLevel.MEMORY_AND_DISK)
         if tol is not None:
-            delta = (new.alias("n").join(ranks.alias("o"), "id")
-                     .agg(F.max(F.abs(F.col("n.rank") - F.col("o.rank"))).alias("d")).first()["d"])
+            delta = new.agg(F.max(F.abs(F.col("rank") - F.col("__old")))).first()[0]
             ranks.unpersist()
-            ranks = new
+            ranks = new.drop("__old")
             if delta is None or delta < tol:
                 break
         else:
-            ranks = new
+            ranks = new.drop("__old")
     totals = ranks.agg(F.sum("rank").alias("__sum"), F.count(F.lit(1)).alias("__n"))
     return (ranks.crossJoin(F.broadcast(totals))
             .select("id", (F.col("rank") * F.col("__n") / F.col("__sum")).alias("pagerank")))

@@ -24,7 +24,10 @@ from tessera.plans import ratings as R
 from tessera.plans import standins as S
 from tessera.plans import trips as P
 from tessera.plans import tweets as T
-from tessera.sources.sinks import row_count
+from tessera.operators.clean import impose_schema
+from tessera.session import scratch_path
+from tessera.sources.csv import all_strings, read_csv
+from tessera.sources.sinks import row_count, write_csv
 from tessera.sources.tables import Tables
 from tessera.streaming import logs as SL
 from tessera.streaming.sinks import progress_frame, run_stream
@@ -675,3 +678,14 @@ def q_stream_progress(t: Tables) -> DataFrame:
     spec = SL.parsed_append(_log_stream(t))
     run = run_stream(spec.frame, spec.mode, "stream_progress", spec.keys)
     return progress_frame(t.spark, run)
+
+
+# ---------------------------------------------------------------- sources / sinks
+
+@register("csv_round_trip", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def q_csv_round_trip(t: Tables) -> DataFrame:
+    """K1 -> S5/S1 -> S3: write CSV part files to the shared folder, read them back
+    as all-string columns, then impose the declared schema with safe casts."""
+    path = write_csv(t.customer, scratch_path(t.spark, "csv_round_trip"))
+    raw = read_csv(t.spark, path, schema=all_strings(t.customer.columns))
+    return impose_schema(raw, t.customer.schema)
