@@ -3,9 +3,9 @@
 Everything is expressed with ``groupBy().agg`` so Spark plans a partial (map-side)
 hash aggregate before the shuffle: a hot key that holds a third of all rows is
 reduced to one partial row per task before anything moves.  Comparisons with a
-global aggregate join a *one-row* frame (a proven size bound) by broadcast
-instead of collecting a scalar to the driver or using an unpartitioned window
-over the raw rows.
+global aggregate use a scalar subquery (``DataFrame.scalar()``): Spark computes
+the one-row aggregate once and uses it as a value -- no join, no driver-side
+``collect``, no unpartitioned window over the raw rows.
 """
 
 from __future__ import annotations
@@ -55,28 +55,26 @@ def share_of_total(grouped: DataFrame, count_col: str = "count", pct_col: str =
                    scale: float = 100.0) -> DataFrame:
     """``count / total * 100`` per group, in one job.
 
-    ``total`` is the sum of the grouped counts (equal to the raw row count), a
-    one-row frame joined by broadcast; no driver-side ``count()``.
+    ``total`` is the sum of the grouped counts (equal to the raw row count),
+    a scalar subquery over the grouped frame; no driver-side ``count()``.
     """
-    total = grouped.agg(F.sum(count_col).alias("__total"))
-    return (grouped.crossJoin(F.broadcast(total))
-            .withColumn(pct_col, F.col(count_col) / F.col("__total") * F.lit(scale))
-            .drop("__total"))
+    total = grouped.agg(F.sum(count_col)).scalar()
+    return grouped.withColumn(pct_col, F.col(count_col) / total * F.lit(scale))
 
 
 def compare_with_global(df: DataFrame, value_col: str, agg: str = "avg", op: str = ">",
                         stat_name: str | None = None) -> DataFrame:
     """Keep rows whose ``value_col`` compares ``op`` to a global aggregate.
 
-    The aggregate is a one-row frame broadcast to every task.  ``stat_name``
-    keeps the statistic as a column when given.
+    The aggregate is a scalar subquery (the reference collected it to the
+    driver first).  ``stat_name`` keeps the statistic as a column when given.
     """
     fn = {"avg": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "median": F.median}[agg]
-    stat = df.agg(fn(value_col).alias("__stat"))
-    v, s = F.col(value_col), F.col("__stat")
-    cond = {">": v > s, ">=": v >= s, "<": v < s, "<=": v <= s, "=": v == s, "!=": v != s}[op]
-    out = df.crossJoin(F.broadcast(stat)).filter(cond)
-    return out.withColumnRenamed("__stat", stat_name) if stat_name else out.drop("__stat")
+    stat = df.agg(fn(value_col)).scalar()
+    v = F.col(value_col)
+    cond = {">": v > stat, ">=": v >= stat, "<": v < stat, "<=": v <= stat, "=": v == stat, "!=": v != stat}[op]
+    out = df.filter(cond)
+    return out.withColumn(stat_name, stat) if stat_name else out
 
 
 def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -283,9 +283,9 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
                 break
         else:
             ranks = new.drop("__old")
-    totals = ranks.agg(F.sum("rank").alias("__sum"), F.count(F.lit(1)).alias("__n"))
-    return (ranks.crossJoin(F.broadcast(totals))
-            .select("id", (F.col("rank") * F.col("__n") / F.col("__sum")).alias("pagerank")))
+    rank_sum = ranks.agg(F.sum("rank")).scalar()
+    n_vertices = ranks.agg(F.count(F.lit(1))).scalar()
+    return ranks.select("id", (F.col("rank") * n_vertices / rank_sum).alias("pagerank"))
 
 
 def top_ranked(ranks: DataFrame, k: int = 5, rank_col: str = "pagerank") -> DataFrame:

@@ -66,9 +66,10 @@ def trips(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey")
     c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     s = t.supplier.select("s_suppkey", "s_nationkey", "s_name")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(c, F.col("o_custkey") == c.c_custkey)
-         .join(s, F.col("l_suppkey") == s.s_suppkey))
+    # orders x customer first (orders-sized), so the big lineitem side is
+    # shuffled only for the order key and the supplier key.
+    oc = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_nationkey", "c_mktsegment")
+    j = li.join(oc, li.l_orderkey == oc.o_orderkey).join(s, F.col("l_suppkey") == s.s_suppkey)
     return j.select(
         F.col("c_nationkey").alias("pickup_area"),
         F.col("s_nationkey").alias("dropoff_area"),

@@ -87,9 +87,9 @@ def read_snapshot(spark: SparkSession, out: str, mode: str, keys: Sequence[str]
     if mode == "append":
         return data
     if mode == "complete":
-        last = data.agg(F.max(BATCH_COL).alias("__last"))
-        return (data.join(F.broadcast(last), data[BATCH_COL] == last["__last"])
-                .drop("__last", BATCH_COL))
+        # one-row frame (global max), broadcast by construction
+        last = data.agg(F.max(BATCH_COL).alias(BATCH_COL))
+        return data.join(F.broadcast(last), BATCH_COL, "left_semi").drop(BATCH_COL)
     if mode == "update":
         if not keys:
             raise ValueError("update-mode snapshots need the key columns")
