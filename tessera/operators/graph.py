@@ -131,6 +131,10 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return out
 
 
+def _persist(df: DataFrame) -> DataFrame:
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _partitions(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -163,6 +167,7 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
     visited = sources.select("origin", F.col("origin").alias("vid"))
     hops = 0
     result = None
+    frontier = _persist(frontier)
     while True:
         hits = frontier.join(targets, frontier["last"] == targets["__t"], "left_semi")
         if not hits.isEmpty():
@@ -177,11 +182,18 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
                         (F.col("edge_paths") * F.col("m")).alias("edge_paths")))
         step = step.join(visited, (step["origin"] == visited["origin"]) & (step["last"] == visited["vid"]),
                          "left_anti")
-        visited = visited.unionByName(step.select("origin", F.col("last").alias("vid")).distinct())
-        frontier = step
+        # each level is materialised once (the loop-stop tests reuse it); every
+        # few levels the lineage is cut with a reliable checkpoint
+        old_frontier, old_visited = frontier, visited
         if hops % checkpoint_every == 0:
-            frontier = _checkpoint(frontier)
-            visited = _checkpoint(visited.repartition(n, "origin", "vid"))
+            frontier = _checkpoint(step)
+        else:
+            frontier = _persist(step)
+        visited = visited.unionByName(frontier.select("origin", F.col("last").alias("vid")).distinct())
+        visited = (_checkpoint(visited.repartition(n, "origin", "vid")) if hops % checkpoint_every == 0
+                   else _persist(visited))
+        old_frontier.unpersist()
+        old_visited.unpersist()
     spark = graph.edges.sparkSession
     if result is None:
         result = spark.createDataFrame([], "origin long, last long, path array<long>, edge_paths long")
@@ -202,7 +214,7 @@ def hop_distance(graph: Graph, landmarks: Sequence, max_hops: int | None = None,
         StorageLevel.MEMORY_AND_DISK)
     lm = graph.vertices.filter(F.col("id").isin(list(landmarks))).select(
         F.col("id"), F.col("id").alias("landmark"))
-    reached = lm.withColumn("distance", F.lit(0))
+    reached = _persist(lm.withColumn("distance", F.lit(0)))
     frontier = lm
     d = 0
     while not frontier.isEmpty() and (max_hops is None or d < max_hops):
@@ -210,11 +222,12 @@ def hop_distance(graph: Graph, landmarks: Sequence, max_hops: int | None = None,
         nxt = (frontier.join(rev, frontier["id"] == rev["__to"])
                .select(F.col("__from").alias("id"), "landmark").distinct())
         nxt = nxt.join(reached.select("id", "landmark"), ["id", "landmark"], "left_anti")
-        reached = reached.unionByName(nxt.withColumn("distance", F.lit(d)))
-        frontier = nxt
-        if d % checkpoint_every == 0:
-            frontier = _checkpoint(frontier)
-            reached = _checkpoint(reached)
+        old_frontier, old_reached = frontier, reached
+        frontier = _checkpoint(nxt) if d % checkpoint_every == 0 else _persist(nxt)
+        reached = reached.unionByName(frontier.withColumn("distance", F.lit(d)))
+        reached = _checkpoint(reached) if d % checkpoint_every == 0 else _persist(reached)
+        old_frontier.unpersist()
+        old_reached.unpersist()
     return reached
 
 

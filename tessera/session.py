@@ -66,17 +66,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     registered, so RDD/DataFrame ``checkpoint()`` and our streaming checkpoints
     land in the same place.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- no SparkContext (e.g. a Connect session)
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    root = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
+    root = spark.conf.get(_CHECKPOINT_KEY, None)
+    if not root and sc is not None:
+        root = sc.getConf().get(_CHECKPOINT_KEY, None)
     if not root:
         # Unset: local test session only.
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)
-    sc.setCheckpointDir(root)
-    return sc.getCheckpointDir() or root
+    if sc is not None:
+        sc.setCheckpointDir(root)
+        return sc.getCheckpointDir() or root
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
