@@ -689,3 +689,34 @@ def q_csv_round_trip(t: Tables) -> DataFrame:
     path = write_csv(t.customer, scratch_path(t.spark, "csv_round_trip"))
     raw = read_csv(t.spark, path, schema=all_strings(t.customer.columns))
     return impose_schema(raw, t.customer.schema)
+
+
+# ---------------------------------------------------------------- streaming on the events table itself
+
+def _event_stream(t: Tables) -> DataFrame:
+    # TIMESTAMP_NTZ -> TIMESTAMP (UTC session) so a watermark can be declared
+    return table_stream(t.spark, t.sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@register("stream_key_sum_complete", f"""
+SELECT user_id, {sql_round('sum(value)')} AS total_value FROM events GROUP BY user_id""")
+def q_stream_key_sum_complete(t: Tables) -> DataFrame:
+    out = _run(SL.keyed_running_sum(_event_stream(t), "user_id", "value", "total_value"), "stream_key_sum")
+    return out.withColumn("total_value", r6("total_value"))
+
+
+@register("stream_filtered_count_complete", """
+SELECT user_id, count(*) AS error_count FROM events WHERE event_type = 'error' GROUP BY user_id""")
+def q_stream_filtered_count_complete(t: Tables) -> DataFrame:
+    return _run(SL.keyed_running_count(_event_stream(t), "user_id", F.col("event_type") == "error", "error_count"),
+                "stream_filtered_count")
+
+
+@register("stream_above_mean", f"""
+WITH h AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+  time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(*) AS event_count FROM events GROUP BY 1, 2)
+SELECT *, {sql_round('(SELECT avg(event_count) FROM h)')} AS mean_count FROM h
+WHERE event_count > (SELECT avg(event_count) FROM h)""")
+def q_stream_above_mean(t: Tables) -> DataFrame:
+    counts = _run(SL.window_counts_stream(_event_stream(t), "ts", "1 hour"), "stream_above_mean")
+    return L.busy_windows(counts, "event_count").withColumn("mean_count", r6("mean_count"))

@@ -93,3 +93,24 @@ def level_window_counts(lines: DataFrame, level: str = "ERROR", duration: str =
     p = parse_stream(lines, watermark).filter(F.col("log_level") == level)
     c = L.window_counts(p, "event_ts", duration, None, (), "event_count")
     return StreamSpec(c, "complete", ("window_start", "window_end"))
+
+
+def keyed_running_sum(stream: DataFrame, key: str, value: str, name: str = "total") -> StreamSpec:
+    """W6 (generic): running sum of ``value`` per ``key``, largest first, complete mode."""
+    agg = stream.groupBy(key).agg(F.sum(value).alias(name)).orderBy(F.col(name).desc_nulls_last(), key)
+    return StreamSpec(agg, "complete", (key,))
+
+
+def keyed_running_count(stream: DataFrame, key: str, condition, name: str = "count") -> StreamSpec:
+    """W7 (generic): running count of rows matching ``condition`` per ``key``, complete mode."""
+    cond = F.expr(condition) if isinstance(condition, str) else condition
+    agg = stream.filter(cond).groupBy(key).agg(F.count(F.lit(1)).alias(name)).orderBy(F.col(name).desc(), key)
+    return StreamSpec(agg, "complete", (key,))
+
+
+def window_counts_stream(stream: DataFrame, ts: str, duration: str, watermark: str | None = "5 seconds",
+                         mode: str = "complete", name: str = "event_count") -> StreamSpec:
+    """W4/W12 (generic): rows per tumbling event-time window of a TIMESTAMP column."""
+    s = stream.withWatermark(ts, watermark) if watermark else stream
+    c = L.window_counts(s, ts, duration, None, (), name)
+    return StreamSpec(c, mode, ("window_start", "window_end"))
