@@ -49,17 +49,22 @@ class Graph:
 # ----------------------------------------------------------------- construction
 
 def vertices_from_endpoints(rows: DataFrame, endpoints: Sequence[Mapping[str, Column | str]],
-                            order_by: Sequence[str] = (), drop_null_ids: bool = True) -> DataFrame:
+                            order_by: Sequence[str] = (), drop_null_ids: bool = True,
+                            types: Mapping[str, str] | None = None) -> DataFrame:
     """G1: vertices from endpoint columns of fact rows (pickup + dropoff).
 
     Each mapping gives target column -> source column/expression and must
     contain ``id``.  The projections are unioned and reduced to one row per
     id; the surviving attributes are the smallest by ``order_by`` (a defined
-    choice where the reference kept an arbitrary row).
+    choice where the reference kept an arbitrary row).  ``types`` try-casts
+    target columns (e.g. ``{"id": "int"}``).
     """
+    types = dict(types or {})
     parts = []
     for ep in endpoints:
-        parts.append(rows.select(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in ep.items()]))
+        cols = [(F.col(v) if isinstance(v, str) else v) for v in ep.values()]
+        parts.append(rows.select(*[(c.try_cast(types[k]) if k in types else c).alias(k)
+                                   for k, c in zip(ep.keys(), cols)]))
     allv = union_all(parts)
     if drop_null_ids:
         allv = allv.filter(F.col("id").isNotNull())

@@ -53,7 +53,7 @@ def trip_graph(trips: DataFrame) -> Graph:
     vertices = vertices_from_endpoints(
         trips,
         [{"id": "pickup_area", "label": "pickup_label"}, {"id": "dropoff_area", "label": "dropoff_label"}],
-        order_by=["label"])
+        order_by=["label"], types={"id": "int"})
     edges = edges_from_rows(trips, "pickup_area", "dropoff_area",
                             {"trip_miles": "trip_miles", "trip_seconds": "trip_seconds", "fare": "fare"},
                             {"src": "int", "dst": "int", "trip_miles": "double", "trip_seconds": "int",
