@@ -199,9 +199,8 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
                    else _persist(visited))
         old_frontier.unpersist()
         old_visited.unpersist()
-    spark = graph.edges.sparkSession
     if result is None:
-        result = spark.createDataFrame([], "origin long, last long, path array<long>, edge_paths long")
+        result = frontier.limit(0)          # no path: empty, with the input's types
     return result.select(
         "origin", F.col("last").alias("target"), F.lit(hops).alias("hops"),
         F.concat_ws("->", F.transform("path", lambda x: x.cast("string"))).alias("path"), "edge_paths")

@@ -108,7 +108,7 @@ def q_grid_density(t: Tables) -> DataFrame:
 
 
 @register("grid_density_by_hour", f"""
-SELECT {_nz('round(value, -1)')} AS lon_rounded, hour(ts) AS hour, count(*) AS event_count
+SELECT {_nz('round(value, -1)')} AS lon_rounded, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS event_count
 FROM events GROUP BY 1, 2""")
 def q_grid_by_hour(t: Tables) -> DataFrame:
     return T.density_by_cell_and_hour(t.events, "value", None, "ts", -1, "event_count")
@@ -203,7 +203,7 @@ def q_token_popularity(t: Tables) -> DataFrame:
 
 @register("token_popularity_by_year", f"""
 SELECT year, token, count(*) AS line_count FROM (
-  SELECT year(l.l_shipdate) AS year, unnest(string_split(p.p_name, ' ')) AS token
+  SELECT CAST(year(l.l_shipdate) AS INTEGER) AS year, unnest(string_split(p.p_name, ' ')) AS token
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
 WHERE token IN ({', '.join(repr(w) for w in PART_NOUNS)}) GROUP BY year, token""")
 def q_token_popularity_by_year(t: Tables) -> DataFrame:
@@ -212,7 +212,7 @@ def q_token_popularity_by_year(t: Tables) -> DataFrame:
 
 
 @register("yearly_share", f"""
-WITH y AS (SELECT year(o_orderdate) AS year, count(*) AS total_orders FROM orders GROUP BY 1)
+WITH y AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS total_orders FROM orders GROUP BY 1)
 SELECT year, total_orders, {sql_round('total_orders / (SELECT sum(total_orders) FROM y) * 100')} AS percentage_of_total
 FROM y""")
 def q_yearly_share(t: Tables) -> DataFrame:
@@ -257,7 +257,7 @@ def q_top_users(t: Tables) -> DataFrame:
 
 FARE_SQL = """SELECT * FROM (SELECT value AS fare, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS trip_miles,
   TRY_CAST(CAST(user_id * 60 AS VARCHAR) AS INTEGER) AS trip_seconds,
-  hour(try_strptime(strftime(ts, '%m/%d/%Y %I:%M:%S %p'), '%m/%d/%Y %I:%M:%S %p')) AS hour_of_day FROM events)
+  CAST(hour(try_strptime(strftime(ts, '%m/%d/%Y %I:%M:%S %p'), '%m/%d/%Y %I:%M:%S %p')) AS INTEGER) AS hour_of_day FROM events)
 WHERE fare IS NOT NULL AND trip_miles IS NOT NULL AND trip_seconds IS NOT NULL AND hour_of_day IS NOT NULL"""
 
 
