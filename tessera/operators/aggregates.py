@@ -23,6 +23,18 @@ def _keys(keys) -> list:
     return [keys] if isinstance(keys, (str, Column)) else list(keys)
 
 
+def exact_avg(c, scale: int = 2) -> Column:
+    """Average of fixed-point values (money) from an exact decimal sum.
+
+    ``sum(decimal) / count`` is independent of summation order, so the result
+    is the same double on every run and partitioning (a floating ``avg`` can
+    differ in the last bit, which flips HALF_UP rounding on exact ties).
+    Values must have at most ``scale`` decimals.
+    """
+    x = as_col(c)
+    return F.sum(x.cast(f"decimal(28,{scale})")).cast("double") / F.count(x)
+
+
 def group_count(df: DataFrame, keys, name: str = "count") -> DataFrame:
     """A1/A2: rows per key (multi-key allowed)."""
     return df.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias(name))
@@ -77,16 +89,18 @@ def compare_with_global(df: DataFrame, value_col: str, agg: str = "avg", op: str
     return out.withColumn(stat_name, stat) if stat_name else out
 
 
-def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def summary_stats(df: DataFrame, cols: Sequence[str], exact_scale: int | None = None) -> DataFrame:
     """A10: typed ``describe``: one row per column with count, mean, stddev, min, max.
 
     One aggregate pass computes all statistics for all columns; the wide row is
     then unpivoted with ``stack`` (a narrow projection on a single row).
+    ``exact_scale`` computes the mean from an exact decimal sum (``exact_avg``).
     """
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
+        mean = exact_avg(F.col(c), exact_scale) if exact_scale is not None else F.avg(x)
+        aggs += [F.count(x).alias(f"{c}__count"), mean.alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
@@ -118,7 +132,7 @@ def dedup_by_key(df: DataFrame, keys, order_by: Sequence[str] | None = None) ->
 
 def binned_average(df: DataFrame, value_col, target_col: str, width: float, low: float, high: float,
                    bin_name: str = "bin_start", avg_name: str = "avg_value",
-                   count_name: str | None = "n") -> DataFrame:
+                   count_name: str | None = "n", exact_scale: int | None = None) -> DataFrame:
     """Average of ``target_col`` per left-closed fixed-width bin of ``value_col``.
 
     Rows outside ``[low, high)`` (and NULL) are excluded, like ``pd.cut`` with
@@ -128,7 +142,8 @@ def binned_average(df: DataFrame, value_col, target_col: str, width: float, low:
     v = as_col(value_col)
     binned = df.filter((v >= F.lit(low)) & (v < F.lit(high))).withColumn(
         bin_name, fixed_width_bin(v, width, low, high))
-    aggs = [F.avg(target_col).alias(avg_name)]
+    avg = exact_avg(target_col, exact_scale) if exact_scale is not None else F.avg(target_col)
+    aggs = [avg.alias(avg_name)]
     if count_name:
         aggs.append(F.count(F.lit(1)).alias(count_name))
     return binned.groupBy(bin_name).agg(*aggs)

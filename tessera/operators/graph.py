@@ -201,6 +201,10 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
         old_visited.unpersist()
     if result is None:
         result = frontier.limit(0)          # no path: empty, with the input's types
+    # materialise the answer once, then release every cached intermediate
+    result = _checkpoint(result)
+    for cached in (folded, frontier, visited):
+        cached.unpersist()
     return result.select(
         "origin", F.col("last").alias("target"), F.lit(hops).alias("hops"),
         F.concat_ws("->", F.transform("path", lambda x: x.cast("string"))).alias("path"), "edge_paths")
@@ -232,7 +236,10 @@ def hop_distance(graph: Graph, landmarks: Sequence, max_hops: int | None = None,
         reached = _checkpoint(reached) if d % checkpoint_every == 0 else _persist(reached)
         old_frontier.unpersist()
         old_reached.unpersist()
-    return reached
+    result = _checkpoint(reached)
+    for cached in (rev, frontier, reached):
+        cached.unpersist()
+    return result
 
 
 # ----------------------------------------------------------------- PageRank
@@ -300,6 +307,10 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
                 break
         else:
             ranks = new.drop("__old")
+    final = _checkpoint(ranks)
+    for cached in (trans, ranks):
+        cached.unpersist()
+    ranks = final
     rank_sum = ranks.agg(F.sum("rank")).scalar()
     n_vertices = ranks.agg(F.count(F.lit(1))).scalar()
     return ranks.select("id", (F.col("rank") * n_vertices / rank_sum).alias("pagerank"))

@@ -261,6 +261,10 @@ FARE_SQL = """SELECT * FROM (SELECT value AS fare, TRY_CAST(json_extract_string(
 WHERE fare IS NOT NULL AND trip_miles IS NOT NULL AND trip_seconds IS NOT NULL AND hour_of_day IS NOT NULL"""
 
 
+def _exact_avg_sql(c: str) -> str:
+    return f"CAST(sum(CAST({c} AS DECIMAL(28,2))) AS DOUBLE) / count({c})"
+
+
 def _metrics(t: Tables) -> DataFrame:
     return P.fare_metrics(S.fare_trips(t))
 
@@ -271,7 +275,7 @@ def q_clean_metrics(t: Tables) -> DataFrame:
 
 
 @register("summary_stats", " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, count({c}) AS "count", {sql_round(f'avg({c})')} AS mean,
+    f"""SELECT '{c}' AS column_name, count({c}) AS "count", {sql_round(_exact_avg_sql(c))} AS mean,
   {sql_round(f'stddev_samp({c})')} AS stddev, CAST(min({c}) AS DOUBLE) AS "min", CAST(max({c}) AS DOUBLE) AS "max"
   FROM ({FARE_SQL})""" for c in ["fare", "trip_miles", "trip_seconds"]))
 def q_summary_stats(t: Tables) -> DataFrame:
@@ -281,18 +285,20 @@ def q_summary_stats(t: Tables) -> DataFrame:
 for _key, _col in [("avg_by_miles", "trip_miles"), ("avg_by_seconds", "trip_seconds"), ("avg_by_hour", "hour_of_day")]:
     def _avg_q(t: Tables, _col=_col) -> DataFrame:
         return P.avg_fare_by(_metrics(t), _col).withColumn("avg_fare", r6("avg_fare"))
-    register(_key, f"SELECT {_col}, {sql_round('avg(fare)')} AS avg_fare FROM ({FARE_SQL}) GROUP BY {_col}")(_avg_q)
+    register(_key, f"SELECT {_col}, {sql_round(_exact_avg_sql('fare'))} AS avg_fare FROM ({FARE_SQL}) GROUP BY {_col}")(
+        _avg_q)
 
 
 @register("binned_avg_miles", f"""
-SELECT floor(trip_miles / 10) * 10 AS miles_bin, {sql_round('avg(fare)')} AS avg_fare, count(*) AS trips
+SELECT floor(trip_miles / 10) * 10 AS miles_bin, {sql_round(_exact_avg_sql('fare'))} AS avg_fare, count(*) AS trips
 FROM ({FARE_SQL}) WHERE trip_miles >= 0 AND trip_miles < 100 GROUP BY 1""")
 def q_binned_avg_miles(t: Tables) -> DataFrame:
     return P.avg_fare_by_miles_bin(_metrics(t)).withColumn("avg_fare", r6("avg_fare"))
 
 
 @register("binned_avg_duration", f"""
-SELECT floor(trip_seconds / 60.0 / 15) * 15 AS minutes_bin, {sql_round('avg(fare)')} AS avg_fare, count(*) AS trips
+SELECT floor(trip_seconds / 60.0 / 15) * 15 AS minutes_bin, {sql_round(_exact_avg_sql('fare'))} AS avg_fare,
+  count(*) AS trips
 FROM ({FARE_SQL}) WHERE trip_seconds / 60.0 >= 0 AND trip_seconds / 60.0 < 120 GROUP BY 1""")
 def q_binned_avg_duration(t: Tables) -> DataFrame:
     return P.avg_fare_by_duration_bin(_metrics(t)).withColumn("avg_fare", r6("avg_fare"))

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import seconds_to_minutes, try_cast
 from tessera.functions.temporal import TRIP_TS_FORMAT, hour_of_day, parse_timestamp
-from tessera.operators.aggregates import binned_average, group_agg, summary_stats
+from tessera.operators.aggregates import binned_average, exact_avg, group_agg, summary_stats
+
+# Fares are money with two decimals: averages come from exact decimal sums.
+FARE_SCALE = 2
 from tessera.operators.clean import drop_nulls
 from tessera.operators.graph import Graph, edges_from_rows, vertices_from_endpoints
 
@@ -29,23 +32,25 @@ def fare_metrics(raw: DataFrame, fare: str = "Fare", miles: str = "Trip Miles",
 
 def fare_summary(metrics: DataFrame) -> DataFrame:
     """Count / mean / stddev / min / max of fare, miles and seconds."""
-    return summary_stats(metrics, ["fare", "trip_miles", "trip_seconds"])
+    return summary_stats(metrics, ["fare", "trip_miles", "trip_seconds"], exact_scale=FARE_SCALE)
 
 
 def avg_fare_by(metrics: DataFrame, key: str) -> DataFrame:
     """C20: average fare per distinct value of ``key``, in key order."""
-    return group_agg(metrics, key, {"avg_fare": F.avg("fare")}).orderBy(key)
+    return group_agg(metrics, key, {"avg_fare": exact_avg("fare", FARE_SCALE)}).orderBy(key)
 
 
 def avg_fare_by_miles_bin(metrics: DataFrame, width: float = 10, high: float = 100) -> DataFrame:
     """Average fare per left-closed 10-mile bin in [0, 100)."""
-    return binned_average(metrics, "trip_miles", "fare", width, 0, high, "miles_bin", "avg_fare", "trips")
+    return binned_average(metrics, "trip_miles", "fare", width, 0, high, "miles_bin", "avg_fare", "trips",
+                          FARE_SCALE)
 
 
 def avg_fare_by_duration_bin(metrics: DataFrame, width_min: float = 15, high_min: float = 120) -> DataFrame:
     """Average fare per left-closed 15-minute bin of trip duration in [0, 120)."""
     m = metrics.withColumn("trip_minutes", seconds_to_minutes("trip_seconds"))
-    return binned_average(m, "trip_minutes", "fare", width_min, 0, high_min, "minutes_bin", "avg_fare", "trips")
+    return binned_average(m, "trip_minutes", "fare", width_min, 0, high_min, "minutes_bin", "avg_fare", "trips",
+                          FARE_SCALE)
 
 
 def trip_graph(trips: DataFrame) -> Graph:

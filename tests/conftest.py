@@ -12,7 +12,8 @@ from tessera.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", app_name="tessera-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tessera-test-ckpt-")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tessera-test-ckpt-"),
+                             "spark.driver.memory": "4g"})
     yield s
     s.stop()
 
