@@ -60,12 +60,15 @@ def vertices_from_endpoints(rows: DataFrame, endpoints: Sequence[Mapping[str, Co
     target columns (e.g. ``{"id": "int"}``).
     """
     types = dict(types or {})
-    parts = []
+    # One pass over the fact rows: each row emits all its endpoints as an
+    # array of structs (a union of per-endpoint projections would scan and
+    # join the fact rows once per endpoint).
+    structs = []
     for ep in endpoints:
         cols = [(F.col(v) if isinstance(v, str) else v) for v in ep.values()]
-        parts.append(rows.select(*[(c.try_cast(types[k]) if k in types else c).alias(k)
-                                   for k, c in zip(ep.keys(), cols)]))
-    allv = union_all(parts)
+        structs.append(F.struct(*[(c.try_cast(types[k]) if k in types else c).alias(k)
+                                  for k, c in zip(ep.keys(), cols)]))
+    allv = rows.select(F.explode(F.array(*structs)).alias("__v")).select("__v.*")
     if drop_null_ids:
         allv = allv.filter(F.col("id").isNotNull())
     return dedup_by_key(allv, "id", list(order_by))
@@ -165,8 +168,10 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
     pred = lambda e: F.expr(e) if isinstance(e, str) else e
     folded = (graph.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
               .repartition(n, "src").persist(StorageLevel.MEMORY_AND_DISK))
-    targets = graph.vertices.filter(pred(to_expr)).select(F.col("id").alias("__t"))
-    sources = graph.vertices.filter(pred(from_expr)).select(F.col("id").alias("origin"))
+    # vertex sets are evaluated once (the vertex frame may itself be derived
+    # from a large fact join) and reused by every level
+    targets = _persist(graph.vertices.filter(pred(to_expr)).select(F.col("id").alias("__t")))
+    sources = _persist(graph.vertices.filter(pred(from_expr)).select(F.col("id").alias("origin")))
     frontier = sources.select("origin", F.col("origin").alias("last"),
                               F.array(F.col("origin")).alias("path"), F.lit(1).cast("long").alias("edge_paths"))
     visited = sources.select("origin", F.col("origin").alias("vid"))
@@ -203,7 +208,7 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
         result = frontier.limit(0)          # no path: empty, with the input's types
     # materialise the answer once, then release every cached intermediate
     result = _checkpoint(result)
-    for cached in (folded, frontier, visited):
+    for cached in (folded, frontier, visited, targets, sources):
         cached.unpersist()
     return result.select(
         "origin", F.col("last").alias("target"), F.lit(hops).alias("hops"),
@@ -220,8 +225,8 @@ def hop_distance(graph: Graph, landmarks: Sequence, max_hops: int | None = None,
     """
     rev = graph.edges.select(F.col("dst").alias("__to"), F.col("src").alias("__from")).distinct().persist(
         StorageLevel.MEMORY_AND_DISK)
-    lm = graph.vertices.filter(F.col("id").isin(list(landmarks))).select(
-        F.col("id"), F.col("id").alias("landmark"))
+    lm = _persist(graph.vertices.filter(F.col("id").isin(list(landmarks))).select(
+        F.col("id"), F.col("id").alias("landmark")))
     reached = _persist(lm.withColumn("distance", F.lit(0)))
     frontier = lm
     d = 0
@@ -237,7 +242,7 @@ def hop_distance(graph: Graph, landmarks: Sequence, max_hops: int | None = None,
         old_frontier.unpersist()
         old_reached.unpersist()
     result = _checkpoint(reached)
-    for cached in (rev, frontier, reached):
+    for cached in (rev, frontier, reached, lm):
         cached.unpersist()
     return result
 
@@ -278,7 +283,7 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
     else:
         raise ValueError(f"unknown mode {mode!r}")
     out_w = folded.groupBy("src").agg(F.sum("w").alias("__out"))
-    verts = graph.vertices.select("id").distinct()
+    verts = _persist(graph.vertices.select("id").distinct())
     # One zero-probability self row per vertex: every vertex then receives a
     # row in the per-destination sum (no outer join with the vertex set per
     # round), and that row carries the vertex's previous rank for the
@@ -308,7 +313,7 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
         else:
             ranks = new.drop("__old")
     final = _checkpoint(ranks)
-    for cached in (trans, ranks):
+    for cached in (trans, ranks, verts):
         cached.unpersist()
     ranks = final
     rank_sum = ranks.agg(F.sum("rank")).scalar()

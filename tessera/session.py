@@ -100,7 +100,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get(_CHECKPOINT_KEY, None)
     if not root:
-        # Unset: local test session only.
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise RuntimeError(
+                f"{_CHECKPOINT_KEY} is not set: a cluster job needs a shared checkpoint folder "
+                "(a local temporary folder is not visible to other executors)")
+        # Unset in a local session (tests): a fresh local folder.
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)
     if sc is not None:
