@@ -7,9 +7,11 @@ driver round trips are one-row loop-stop tests.  Design for scale:
 * Parallel edges are folded first (``groupBy(src, dst)`` with a map-side partial
   aggregate), so iterations run over distinct pairs, never the raw trips; the
   multiplicity is kept as a count, never expanded into pairs.
-* The transition table is hash-partitioned by ``src`` once and persisted; the
-  rank / frontier frames are partitioned by vertex id the same way, so the
-  per-iteration join only shuffles the small side.
+* The folded edge / transition table is hash-partitioned by ``(src, dst)`` once
+  and persisted, so a hub vertex's edges are spread over all tasks.  Each
+  round joins it with the per-vertex frame (ranks / frontier): AQE broadcasts
+  that side while it is small (one row per vertex), and otherwise plans a
+  shuffle join whose skewed hub partitions it splits.
 * Lineage is cut every few iterations with ``checkpoint()`` into the cluster's
   shared checkpoint folder (``spark.checkpoint.dir``), so a lost executor only
   recomputes from the last checkpoint.
@@ -167,7 +169,7 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
     n = _partitions(graph.edges, num_partitions)
     pred = lambda e: F.expr(e) if isinstance(e, str) else e
     folded = (graph.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
-              .repartition(n, "src").persist(StorageLevel.MEMORY_AND_DISK))
+              .repartition(n, "src", "dst").persist(StorageLevel.MEMORY_AND_DISK))
     # vertex sets are evaluated once (the vertex frame may itself be derived
     # from a large fact join) and reused by every level
     targets = _persist(graph.vertices.filter(pred(to_expr)).select(F.col("id").alias("__t")))
@@ -292,7 +294,7 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
              .select("src", "dst", (F.col("w") / F.col("__out")).alias("p"), F.lit(False).alias("is_self"))
              .unionByName(verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("p"),
                                        F.lit(True).alias("is_self")))
-             .repartition(n, "src").persist(StorageLevel.MEMORY_AND_DISK))
+             .repartition(n, "src", "dst").persist(StorageLevel.MEMORY_AND_DISK))
     ranks = verts.select("id", F.lit(1.0).alias("rank"))
     it = 0
     while max_iter is None or it < max_iter:

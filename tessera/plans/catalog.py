@@ -95,7 +95,8 @@ def q_local_to_utc(t: Tables) -> DataFrame:
 SELECT event_id, utc_timestamp, date, day_of_week FROM ({CALENDAR_SQL})
 WHERE day_of_week NOT IN ('Saturday', 'Sunday')""")
 def q_weekday_rows(t: Tables) -> DataFrame:
-    return T.weekday_rows(T.utc_calendar(S.tweets(t))).select("event_id", "utc_timestamp", "date", "day_of_week")
+    rows = T.weekday_rows(T.utc_calendar(S.tweets(t)), order_cols=("date", "utc_ts", "event_id"))
+    return rows.select("event_id", "utc_timestamp", "date", "day_of_week")
 
 
 GRID_SQL = f"""SELECT {_nz('round(l_discount, 2)')} AS lon_rounded, {_nz('round(l_tax, 2)')} AS lat_rounded,

@@ -37,9 +37,15 @@ def utc_calendar(df: DataFrame, ts_text: str = "timestamp", tz: str = "timezone"
     })
 
 
-def weekday_rows(cal: DataFrame, day_col: str = "day_of_week", order_col: str = "date") -> DataFrame:
-    """Weekday rows only (NULL day dropped), in date order."""
-    return keep_in(cal, day_col, WEEKEND, negate=True).orderBy(F.col(order_col).asc_nulls_last())
+def weekday_rows(cal: DataFrame, day_col: str = "day_of_week",
+                 order_cols: tuple[str, ...] = ("date", "utc_ts")) -> DataFrame:
+    """Weekday rows only (NULL day dropped), in date order.
+
+    The sort continues on finer keys (time, then e.g. a row id) so the range
+    partitioner can split one heavy date over many tasks instead of sorting
+    all of that date's rows in one.
+    """
+    return keep_in(cal, day_col, WEEKEND, negate=True).orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
 
 
 def grid_cells(df: DataFrame, lon: str, lat: str, precision: int = 1,
