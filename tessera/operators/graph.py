@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from tessera.operators.aggregates import dedup_by_key
 from tessera.operators.joins import enrich_endpoints, semi_join
 from tessera.operators.ranking import top_k
-from tessera.operators.setops import union_all
 from tessera.session import checkpoint_root
 
 
@@ -124,8 +123,8 @@ def normalized_weights(folded: DataFrame, weight_col: str = "weight", name: str
 
 def connected_vertices(graph: Graph) -> DataFrame:
     """Vertices that are an endpoint of at least one edge."""
-    ends = union_all([graph.edges.select(F.col("src").alias("id")),
-                      graph.edges.select(F.col("dst").alias("id"))]).distinct()
+    # both endpoints from one pass over the edges, deduplicated map-side
+    ends = graph.edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     return semi_join(graph.vertices, ends, "id")
 
 
