@@ -676,8 +676,11 @@ WITH h AS ({HOURLY_ERRORS_SQL})
 SELECT *, {sql_round('(SELECT avg(event_count) FROM h)')} AS mean_count FROM h
 WHERE event_count > (SELECT avg(event_count) FROM h)""")
 def q_stream_busy_error_hours(t: Tables) -> DataFrame:
-    counts = _run(SL.level_window_counts(_log_stream(t), "ERROR", "1 hour"), "stream_error_hours")
-    return L.busy_windows(counts, "event_count").withColumn("mean_count", r6("mean_count"))
+    # the above-mean flag runs inside foreachBatch on every complete-mode batch
+    spec = SL.level_window_counts(_log_stream(t), "ERROR", "1 hour")
+    flagged = run_stream(spec.frame, spec.mode, "stream_error_hours", spec.keys,
+                         batch_transform=lambda b: L.busy_windows(b, "event_count")).result()
+    return flagged.withColumn("mean_count", r6("mean_count"))
 
 
 @register("stream_progress")

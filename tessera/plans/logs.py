@@ -21,6 +21,15 @@ def parsed(lines: DataFrame, component_pattern: str = COMPONENT_PATTERN) -> Data
     return parse_log_lines(lines, "value", component_pattern=component_pattern)
 
 
+def unparsed_lines(parsed_lines: DataFrame) -> DataFrame:
+    """Reject side: lines whose event time could not be parsed.
+
+    Event-time windows drop such rows silently (NULL time); this keeps them
+    visible for inspection.
+    """
+    return parsed_lines.filter(F.col("event_ts").isNull())
+
+
 def datanode_lines(parsed_lines: DataFrame, needle: str = "DataNode") -> DataFrame:
     """F6/W5 input: lines whose component contains ``needle``."""
     return parsed_lines.filter(F.col("component").contains(needle))

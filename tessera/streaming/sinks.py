@@ -15,7 +15,7 @@ restarted job resumes from its offsets and state.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,18 +40,23 @@ class StreamRun:
         return read_snapshot(self.spark, self.path, self.mode, self.keys)
 
 
-def _batch_writer(out: str):
+def _batch_writer(out: str, transform: Callable[[DataFrame], DataFrame] | None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/data/{BATCH_COL}={batch_id}")
+        result = transform(batch) if transform else batch
+        result.write.mode("overwrite").parquet(f"{out}/data/{BATCH_COL}={batch_id}")
     return write
 
 
 def run_stream(df: DataFrame, mode: str, name: str, keys: Sequence[str] = (), trigger: dict | None = None,
-               timeout_s: float | None = None, out: str | None = None) -> StreamRun:
+               timeout_s: float | None = None, out: str | None = None,
+               batch_transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamRun:
     """Start ``df`` with ``outputMode(mode)``, wait until the input is drained, stop.
 
     ``trigger`` defaults to ``availableNow`` (process everything present, then
     stop); pass ``{"processingTime": "15 seconds"}`` for a long-running query.
+    ``batch_transform`` (complete/update modes) is a batch DataFrame function
+    applied to every micro-batch result before it is written -- e.g. flag the
+    windows above the batch's mean count (W12).
     """
     spark = df.sparkSession
     out = out or scratch_path(spark, name)
@@ -59,9 +64,11 @@ def run_stream(df: DataFrame, mode: str, name: str, keys: Sequence[str] = (), tr
     writer = writer.queryName(f"{name}_{abs(hash(out)) % 10**8}")
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     if mode == "append":
+        if batch_transform is not None:
+            raise ValueError("batch_transform needs complete or update mode")
         writer = writer.format("parquet").option("path", f"{out}/data")
     else:
-        writer = writer.foreachBatch(_batch_writer(out))
+        writer = writer.foreachBatch(_batch_writer(out, batch_transform))
     q = writer.start()
     try:
         if trigger is None:

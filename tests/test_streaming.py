@@ -75,6 +75,20 @@ def test_complete_mode_equals_batch(spark, tmp_dir):
     assert bytes_by_host == {None: 91178 + 67108864, "10.250.19.102": 10}
 
 
+def test_per_batch_flag_and_rejects(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    lines = [_line("081109 203615", level="ERROR")] * 5 + [_line("081109 213615", level="ERROR")] + ["garbage"]
+    _write(src, "a.log", lines, int(time.time()) - 100)
+    spec = SL.level_window_counts(line_stream(spark, src), "ERROR", "1 hour")
+    run = run_stream(spec.frame, spec.mode, "flag", spec.keys,
+                     batch_transform=lambda b: L.busy_windows(b, "event_count"))
+    got = [(r["window_start"].hour, r["event_count"], r["mean_count"]) for r in run.result().collect()]
+    assert got == [(20, 5, 3.0)]
+    rejects = L.unparsed_lines(L.parsed(spark.read.text(src))).collect()
+    assert [r["value"] for r in rejects] == ["garbage"]
+
+
 def test_parse_append_keeps_ingest_time_separate(spark, tmp_dir):
     src = os.path.join(tmp_dir, "in")
     os.makedirs(src)
