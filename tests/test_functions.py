@@ -115,3 +115,19 @@ def test_ansi_safe_casts(spark):
     rows = df.select(try_cast("s", "int").alias("i"), safe_div(F.lit(4), "d").alias("q")).collect()
     assert rows[0]["i"] == 12 and rows[0]["q"] is None
     assert rows[1]["i"] is None and rows[1]["q"] == 2.0
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.floats(min_value=-50, max_value=150, allow_nan=False, width=32), min_size=1, max_size=30))
+def test_bins_partition_the_range(spark, values):
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    rows = df.select("v", buckets.fixed_width_bin("v", 15, 0, 120).alias("b")).collect()
+    for r in rows:
+        if 0 <= r["v"] < 120:
+            assert r["b"] is not None and r["b"] <= r["v"] < r["b"] + 15 and r["b"] % 15 == 0
+        else:
+            assert r["b"] is None
