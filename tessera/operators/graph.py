@@ -295,6 +295,8 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
                                        F.lit(True).alias("is_self")))
              .repartition(n, "src", "dst").persist(StorageLevel.MEMORY_AND_DISK))
     ranks = verts.select("id", F.lit(1.0).alias("rank"))
+    held = None            # the materialised frame behind `ranks`, released when superseded
+    checkpointed = False   # is `ranks` read straight from a reliable checkpoint?
     it = 0
     while max_iter is None or it < max_iter:
         it += 1
@@ -303,20 +305,26 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
                .agg((F.lit(reset_probability) + F.lit(1.0 - reset_probability) * F.sum(F.col("rank") * F.col("p")))
                     .alias("rank"),
                     F.max(F.when(F.col("is_self"), F.col("rank"))).alias("__old")))
-        if tol is not None or it % checkpoint_every == 0:
-            new = _checkpoint(new) if it % checkpoint_every == 0 else new.persist(StorageLevel.MEMORY_AND_DISK)
+        cut = it % checkpoint_every == 0
+        materialise = cut or tol is not None
+        if materialise:
+            new = _checkpoint(new) if cut else _persist(new)
+        delta = None
         if tol is not None:
             delta = new.agg(F.max(F.abs(F.col("rank") - F.col("__old")))).first()[0]
-            ranks.unpersist()
-            ranks = new.drop("__old")
-            if delta is None or delta < tol:
-                break
-        else:
-            ranks = new.drop("__old")
-    final = _checkpoint(ranks)
-    for cached in (trans, ranks, verts):
-        cached.unpersist()
-    ranks = final
+        if materialise:
+            if held is not None:
+                held.unpersist()
+            held = new
+        checkpointed = cut
+        ranks = new.drop("__old")
+        if tol is not None and (delta is None or delta < tol):
+            break
+    if not checkpointed:
+        ranks = _checkpoint(ranks)
+    for cached in (trans, verts, held):
+        if cached is not None:
+            cached.unpersist()
     rank_sum = ranks.agg(F.sum("rank")).scalar()
     n_vertices = ranks.agg(F.count(F.lit(1))).scalar()
     return ranks.select("id", (F.col("rank") * n_vertices / rank_sum).alias("pagerank"))
