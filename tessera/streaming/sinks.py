@@ -4,10 +4,13 @@ Results are written to the cluster's shared checkpoint folder, never collected
 on the driver:
 
 * ``append``   -- parquet file sink (exactly-once through the sink's log);
-* ``complete`` / ``update`` -- ``foreachBatch`` writes each micro-batch to
-  ``<out>/data/_batch_id=N`` with overwrite, so a replayed batch after a
-  failure rewrites the same folder (idempotent).  The snapshot reader keeps the
-  last complete batch, or for update mode the latest row per key.
+* ``complete`` -- ``foreachBatch`` overwrites one of two slots
+  (``batch_id % 2``) with the batch's full table, tagged with its batch id;
+  the reader takes the newest batch id.  Storage stays at two copies and a
+  replayed batch rewrites the same slot (idempotent).
+* ``update`` -- ``foreachBatch`` writes each batch's changed rows to its own
+  folder (a changelog; replays overwrite it); the reader keeps the latest row
+  per key.
 
 Every query has an explicit ``checkpointLocation`` under the same folder, so a
 restarted job resumes from its offsets and state.
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 from tessera.session import scratch_path
 
 BATCH_COL = "_batch_id"
+SLOT_COL = "_slot"
 
 
 @dataclass
@@ -40,10 +44,17 @@ class StreamRun:
         return read_snapshot(self.spark, self.path, self.mode, self.keys)
 
 
-def _batch_writer(out: str, transform: Callable[[DataFrame], DataFrame] | None):
+def _batch_writer(out: str, mode: str, transform: Callable[[DataFrame], DataFrame] | None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        result = transform(batch) if transform else batch
-        result.write.mode("overwrite").parquet(f"{out}/data/{BATCH_COL}={batch_id}")
+        result = (transform(batch) if transform else batch).withColumn(BATCH_COL, F.lit(batch_id))
+        if mode == "complete":
+            # every batch holds the whole table: alternate between two slots so
+            # storage stays at two copies, and a failed write never touches the
+            # previous complete snapshot (a replay rewrites the same slot)
+            result.write.mode("overwrite").parquet(f"{out}/data/{SLOT_COL}={batch_id % 2}")
+        else:
+            # update mode: a changelog, one folder per batch (replays overwrite it)
+            result.write.mode("overwrite").parquet(f"{out}/data/{SLOT_COL}={batch_id}")
     return write
 
 
@@ -68,7 +79,7 @@ def run_stream(df: DataFrame, mode: str, name: str, keys: Sequence[str] = (), tr
             raise ValueError("batch_transform needs complete or update mode")
         writer = writer.format("parquet").option("path", f"{out}/data")
     else:
-        writer = writer.foreachBatch(_batch_writer(out, batch_transform))
+        writer = writer.foreachBatch(_batch_writer(out, mode, batch_transform))
     q = writer.start()
     try:
         if trigger is None:
@@ -93,10 +104,10 @@ def read_snapshot(spark: SparkSession, out: str, mode: str, keys: Sequence[str]
     data = spark.read.parquet(f"{out}/data")
     if mode == "append":
         return data
+    data = data.drop(SLOT_COL)
     if mode == "complete":
-        # one-row frame (global max), broadcast by construction
-        last = data.agg(F.max(BATCH_COL).alias(BATCH_COL))
-        return data.join(F.broadcast(last), BATCH_COL, "left_semi").drop(BATCH_COL)
+        last = data.agg(F.max(BATCH_COL)).scalar()
+        return data.filter(F.col(BATCH_COL) == last).drop(BATCH_COL)
     if mode == "update":
         if not keys:
             raise ValueError("update-mode snapshots need the key columns")
