@@ -12,9 +12,10 @@ driver round trips are one-row loop-stop tests.  Design for scale:
   round joins it with the per-vertex frame (ranks / frontier): AQE broadcasts
   that side while it is small (one row per vertex), and otherwise plans a
   shuffle join whose skewed hub partitions it splits.
-* Lineage is cut every few iterations with ``checkpoint()`` into the cluster's
-  shared checkpoint folder (``spark.checkpoint.dir``), so a lost executor only
-  recomputes from the last checkpoint.
+* Iteration inputs (folded edges, vertex sets) are written once to a reliable
+  checkpoint in the cluster's shared folder (``spark.checkpoint.dir``) and
+  cached on top; lineage is cut again every few rounds, so a lost executor
+  recomputes from the last checkpoint, never from the upstream fact join.
 """
 
 from __future__ import annotations
@@ -144,6 +145,13 @@ def _persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _stable(df: DataFrame) -> DataFrame:
+    """An iteration input: written once to a reliable checkpoint (so a lost
+    executor never recomputes the upstream fact join) and cached on top of it
+    (so rounds read memory, not files)."""
+    return _persist(_checkpoint(df))
+
+
 def _partitions(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -167,12 +175,12 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
     """
     n = _partitions(graph.edges, num_partitions)
     pred = lambda e: F.expr(e) if isinstance(e, str) else e
-    folded = (graph.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
-              .repartition(n, "src", "dst").persist(StorageLevel.MEMORY_AND_DISK))
+    folded = _stable(graph.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
+                     .repartition(n, "src", "dst"))
     # vertex sets are evaluated once (the vertex frame may itself be derived
     # from a large fact join) and reused by every level
-    targets = _persist(graph.vertices.filter(pred(to_expr)).select(F.col("id").alias("__t")))
-    sources = _persist(graph.vertices.filter(pred(from_expr)).select(F.col("id").alias("origin")))
+    targets = _stable(graph.vertices.filter(pred(to_expr)).select(F.col("id").alias("__t")))
+    sources = _stable(graph.vertices.filter(pred(from_expr)).select(F.col("id").alias("origin")))
     frontier = sources.select("origin", F.col("origin").alias("last"),
                               F.array(F.col("origin")).alias("path"), F.lit(1).cast("long").alias("edge_paths"))
     visited = sources.select("origin", F.col("origin").alias("vid"))
@@ -224,9 +232,8 @@ def hop_distance(graph: Graph, landmarks: Sequence, max_hops: int | None = None,
     semantics); a landmark is 0 hops from itself; unreachable pairs give no row.
     Output ``id, landmark, distance``.
     """
-    rev = graph.edges.select(F.col("dst").alias("__to"), F.col("src").alias("__from")).distinct().persist(
-        StorageLevel.MEMORY_AND_DISK)
-    lm = _persist(graph.vertices.filter(F.col("id").isin(list(landmarks))).select(
+    rev = _stable(graph.edges.select(F.col("dst").alias("__to"), F.col("src").alias("__from")).distinct())
+    lm = _stable(graph.vertices.filter(F.col("id").isin(list(landmarks))).select(
         F.col("id"), F.col("id").alias("landmark")))
     reached = _persist(lm.withColumn("distance", F.lit(0)))
     frontier = lm
@@ -284,7 +291,7 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
     else:
         raise ValueError(f"unknown mode {mode!r}")
     out_w = folded.groupBy("src").agg(F.sum("w").alias("__out"))
-    verts = _persist(graph.vertices.select("id").distinct())
+    verts = _stable(graph.vertices.select("id").distinct())
     # One zero-probability self row per vertex: every vertex then receives a
     # row in the per-destination sum (no outer join with the vertex set per
     # round), and that row carries the vertex's previous rank for the
@@ -293,7 +300,8 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
              .select("src", "dst", (F.col("w") / F.col("__out")).alias("p"), F.lit(False).alias("is_self"))
              .unionByName(verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("p"),
                                        F.lit(True).alias("is_self")))
-             .repartition(n, "src", "dst").persist(StorageLevel.MEMORY_AND_DISK))
+             .repartition(n, "src", "dst"))
+    trans = _stable(trans)
     ranks = verts.select("id", F.lit(1.0).alias("rank"))
     held = None            # the materialised frame behind `ranks`, released when superseded
     checkpointed = False   # is `ranks` read straight from a reliable checkpoint?
