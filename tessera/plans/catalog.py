@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tessera.functions.logs import IPV4_PATTERN, block_fields, extract
 from tessera.functions.numeric import round_half_up
 from tessera.functions.temporal import WEEKDAY_ORDER, to_ntz, weekday_name
+from tessera.functions.text import explode_tokens
 from tessera.operators import graph as G
 from tessera.operators.setops import union_all
 from tessera.plans import logs as L
@@ -730,3 +731,18 @@ WHERE event_count > (SELECT avg(event_count) FROM h)""")
 def q_stream_above_mean(t: Tables) -> DataFrame:
     counts = _run(SL.window_counts_stream(_event_stream(t), "ts", "1 hour"), "stream_above_mean")
     return L.busy_windows(counts, "event_count").withColumn("mean_count", r6("mean_count"))
+
+
+@register("log_line_rejects", """
+SELECT source, count(*) AS lines, count(*) FILTER (WHERE event_ts IS NULL) AS rejected FROM (
+  SELECT source, try_strptime(regexp_extract(line, '^(\\d{6})', 1) || ' ' || regexp_extract(line, '^\\d{6}\\s(\\d{6})', 1),
+    '%y%m%d %H%M%S') AS event_ts
+  FROM (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents))
+GROUP BY source""")
+def q_log_line_rejects(t: Tables) -> DataFrame:
+    """Whole documents split into lines and run through the log parser: lines
+    per source and how many land on the reject side (no parseable time)."""
+    lines = t.documents.select("source", explode_tokens("text", "\n").alias("value"))
+    p = L.parsed(lines)
+    return p.groupBy("source").agg(F.count(F.lit(1)).alias("lines"),
+                                   F.count(F.when(F.col("event_ts").isNull(), 1)).alias("rejected"))
