@@ -116,3 +116,12 @@ def test_category_distribution_and_yearly_share(spark):
     years = {r["year"]: r["total_ratings"] for r in
              R.yearly_share(_ratings(spark), F.timestamp_seconds("timestamp")).collect()}
     assert years == {2004: 99, 2005: 202}
+
+
+def test_scale_conf_sizes_partitions():
+    from tessera.session import scale_conf
+    big = scale_conf(100 * 2**40, 4000)
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert int(big["spark.sql.shuffle.partitions"]) == 32768          # capped
+    small = scale_conf(10 << 30, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 3 * 64        # at least 3 tasks per core
