@@ -168,10 +168,14 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
     parallel-edge counts along the path (how many edge-level paths it stands
     for), so parallel trips are counted without being enumerated.
 
-    A prefix of a shortest path is itself a shortest path, so paths that reach
-    a vertex already reached from the same origin at an earlier level are
-    pruned -- exact, and it bounds the frontier by reachable (origin, vertex)
-    pairs.  Output: ``origin, target, hops, path`` (``"a->b->c"``), ``edge_paths``.
+    Two phases, both plain joins:
+    1. forward, level-synchronous: only ``(origin, vertex)`` pairs are carried;
+       a pair reached at an earlier level is dropped (anti-join), so the state
+       is bounded by the reachable pairs, never by the number of paths;
+    2. backward from the hit targets: a path is extended by an edge ``u -> head``
+       only if ``u`` is at distance ``k`` from the path's origin -- i.e. along the
+       shortest-path DAG, so only paths that end in the output are built.
+    Output: ``origin, target, hops, path`` (``"a->b->c"``), ``edge_paths``.
     """
     n = _partitions(graph.edges, num_partitions)
     pred = lambda e: F.expr(e) if isinstance(e, str) else e
@@ -181,46 +185,53 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
     # from a large fact join) and reused by every level
     targets = _stable(graph.vertices.filter(pred(to_expr)).select(F.col("id").alias("__t")))
     sources = _stable(graph.vertices.filter(pred(from_expr)).select(F.col("id").alias("origin")))
-    frontier = sources.select("origin", F.col("origin").alias("last"),
-                              F.array(F.col("origin")).alias("path"), F.lit(1).cast("long").alias("edge_paths"))
-    visited = sources.select("origin", F.col("origin").alias("vid"))
-    hops = 0
-    result = None
-    frontier = _persist(frontier)
+
+    level = _persist(sources.select("origin", F.col("origin").alias("vid")))
+    levels = [level]                 # levels[k]: (origin, vid) first reached at depth k
+    visited = level
+    hit_level, hits = None, None
+    depth = 0
     while True:
-        hits = frontier.join(targets, frontier["last"] == targets["__t"], "left_semi")
-        if not hits.isEmpty():
-            result = hits
+        found = level.join(targets, level["vid"] == targets["__t"], "left_semi")
+        if not found.isEmpty():
+            hit_level, hits = depth, found
             break
-        if hops >= max_path_length or frontier.isEmpty():
+        if depth >= max_path_length or level.isEmpty():
             break
-        hops += 1
-        step = (frontier.join(folded, frontier["last"] == folded["src"])
-                .select("origin", F.col("dst").alias("last"),
-                        F.concat("path", F.array(F.col("dst"))).alias("path"),
-                        (F.col("edge_paths") * F.col("m")).alias("edge_paths")))
-        step = step.join(visited, (step["origin"] == visited["origin"]) & (step["last"] == visited["vid"]),
-                         "left_anti")
-        # each level is materialised once (the loop-stop tests reuse it); every
-        # few levels the lineage is cut with a reliable checkpoint
-        old_frontier, old_visited = frontier, visited
-        if hops % checkpoint_every == 0:
-            frontier = _checkpoint(step)
-        else:
-            frontier = _persist(step)
-        visited = visited.unionByName(frontier.select("origin", F.col("last").alias("vid")).distinct())
-        visited = (_checkpoint(visited.repartition(n, "origin", "vid")) if hops % checkpoint_every == 0
-                   else _persist(visited))
-        old_frontier.unpersist()
-        old_visited.unpersist()
-    if result is None:
-        result = frontier.limit(0)          # no path: empty, with the input's types
+        depth += 1
+        nxt = (level.join(folded, level["vid"] == folded["src"])
+               .select("origin", F.col("dst").alias("vid")).distinct()
+               .join(visited, ["origin", "vid"], "left_anti"))
+        cut = depth % checkpoint_every == 0
+        level = _checkpoint(nxt) if cut else _persist(nxt)
+        levels.append(level)
+        visited = visited.unionByName(level)
+        if cut:
+            visited = _checkpoint(visited.repartition(n, "origin", "vid"))
+
+    if hits is None:
+        paths = levels[0].limit(0).select("origin", F.col("vid").alias("target"),
+                                          F.array(F.col("vid")).alias("path"),
+                                          F.lit(1).cast("long").alias("edge_paths"))
+    else:
+        paths = hits.select("origin", F.col("vid").alias("target"), F.col("vid").alias("head"),
+                            F.array(F.col("vid")).alias("path"), F.lit(1).cast("long").alias("edge_paths"))
+        for k in range(hit_level - 1, -1, -1):
+            at_k = levels[k].select(F.col("origin").alias("__o"), F.col("vid").alias("__v"))
+            step = paths.join(folded, paths["head"] == folded["dst"])
+            step = step.join(at_k, (step["origin"] == at_k["__o"]) & (step["src"] == at_k["__v"]), "left_semi")
+            paths = step.select("origin", "target", F.col("src").alias("head"),
+                                F.concat(F.array(F.col("src")), F.col("path")).alias("path"),
+                                (F.col("edge_paths") * F.col("m")).alias("edge_paths"))
+            if (hit_level - k) % checkpoint_every == 0:
+                paths = _checkpoint(paths)
+        paths = paths.drop("head")
     # materialise the answer once, then release every cached intermediate
-    result = _checkpoint(result)
-    for cached in (folded, frontier, visited, targets, sources):
+    result = _checkpoint(paths)
+    for cached in (folded, targets, sources, visited, *levels):
         cached.unpersist()
     return result.select(
-        "origin", F.col("last").alias("target"), F.lit(hops).alias("hops"),
+        "origin", "target", F.lit(hit_level if hit_level is not None else 0).alias("hops"),
         F.concat_ws("->", F.transform("path", lambda x: x.cast("string"))).alias("path"), "edge_paths")
 
 

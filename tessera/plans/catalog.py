@@ -373,24 +373,33 @@ def q_self_loop_count(t: Tables) -> DataFrame:
     return row_count(G.self_loops(_graph(t).edges), "self_loop_count")
 
 
-@register("bfs_paths", f"""
-WITH RECURSIVE ecount AS (SELECT src, dst, count(*) AS m FROM ({EDGES_SQL}) GROUP BY src, dst),
-v AS (SELECT id FROM ({VERTICES_SQL})),
+def _bfs_sql(edges_sql: str, vertices_sql: str, from_pred: str, to_pred: str, max_len: int = 10) -> str:
+    """Shortest paths of the first-hit length: distances by recursion over
+    (origin, vertex, depth), then path enumeration along the shortest-path DAG.
+    ``from_pred`` / ``to_pred`` are written on a column called ``x``."""
+    fp, tp = from_pred.replace("x", "id"), to_pred.replace("x", "vid")
+    tl = to_pred.replace("x", "last")
+    return f"""
+WITH RECURSIVE ecount AS (SELECT src, dst, count(*) AS m FROM ({edges_sql}) GROUP BY src, dst),
+v AS (SELECT id FROM ({vertices_sql})),
 reach(origin, vid, d) AS (
-  SELECT id, id, 0 FROM v WHERE id <> {LANDMARK}
+  SELECT id, id, 0 FROM v WHERE {fp}
   UNION
-  SELECT r.origin, e.dst, r.d + 1 FROM reach r JOIN ecount e ON r.vid = e.src WHERE r.d < 10),
+  SELECT r.origin, e.dst, r.d + 1 FROM reach r JOIN ecount e ON r.vid = e.src WHERE r.d < {max_len}),
 dist AS (SELECT origin, vid, min(d) AS d FROM reach GROUP BY origin, vid),
-lvl AS (SELECT min(d) AS l FROM dist WHERE vid = {LANDMARK}),
+lvl AS (SELECT min(d) AS l FROM dist WHERE {tp}),
 paths(origin, last, path, hops, mult) AS (
-  SELECT id, id, [id], 0, CAST(1 AS BIGINT) FROM v WHERE id <> {LANDMARK}
+  SELECT id, id, [id], 0, CAST(1 AS BIGINT) FROM v WHERE {fp}
   UNION ALL
   SELECT p.origin, e.dst, list_append(p.path, e.dst), p.hops + 1, p.mult * e.m
   FROM paths p JOIN ecount e ON p.last = e.src
   JOIN dist ON dist.origin = p.origin AND dist.vid = e.dst AND dist.d = p.hops + 1
   WHERE p.hops < (SELECT l FROM lvl))
 SELECT origin, last AS target, hops, array_to_string(path, '->') AS path, mult AS edge_paths
-FROM paths WHERE last = {LANDMARK} AND hops = (SELECT l FROM lvl)""")
+FROM paths WHERE {tl} AND hops = (SELECT l FROM lvl)"""
+
+
+@register("bfs_paths", _bfs_sql(EDGES_SQL, VERTICES_SQL, f"x <> {LANDMARK}", f"x = {LANDMARK}"))
 def q_bfs_paths(t: Tables) -> DataFrame:
     return G.bfs(_graph(t), f"id != {LANDMARK}", f"id = {LANDMARK}", 10)
 
@@ -406,8 +415,8 @@ def q_hop_distance(t: Tables) -> DataFrame:
 
 
 def _pagerank_sql(weight_expr: str, folded_from: str, iters: int | None = None, tol: float | None = None,
-                  top: int | None = None) -> str:
-    head = f"""WITH RECURSIVE v AS (SELECT id FROM ({VERTICES_SQL})),
+                  top: int | None = None, vertices_sql: str = VERTICES_SQL) -> str:
+    head = f"""WITH RECURSIVE v AS (SELECT id FROM ({vertices_sql})),
 f AS (SELECT src, dst, {weight_expr} AS w FROM ({folded_from}) GROUP BY src, dst),
 o AS (SELECT src, sum(w) AS ow FROM f GROUP BY src),
 p AS (SELECT f.src, f.dst, f.w / o.ow AS p, false AS self FROM f JOIN o USING (src)
@@ -746,3 +755,35 @@ def q_log_line_rejects(t: Tables) -> DataFrame:
     p = L.parsed(lines)
     return p.groupBy("source").agg(F.count(F.lit(1)).alias("lines"),
                                    F.count(F.when(F.col("event_ts").isNull(), 1)).alias("rejected"))
+
+
+# ---------------------------------------------------------------- basket-sequence graph (sparse, many levels)
+
+BASKET_EDGES_SQL = """SELECT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a JOIN lineitem b
+  ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1"""
+PARTS_SQL = "SELECT p_partkey AS id FROM part"
+BASKET_FROM, BASKET_TO, BASKET_MAX_HOPS = 0, 7, 20
+
+
+def _basket(t: Tables) -> G.Graph:
+    return G.Graph(t.part.select(F.col("p_partkey").alias("id")), S.basket_edges(t))
+
+
+@register("basket_bfs", _bfs_sql(BASKET_EDGES_SQL, PARTS_SQL, f"x = {BASKET_FROM}", f"x = {BASKET_TO}"))
+def q_basket_bfs(t: Tables) -> DataFrame:
+    return G.bfs(_basket(t), f"id = {BASKET_FROM}", f"id = {BASKET_TO}", 10)
+
+
+@register("basket_hop_distance", f"""
+WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM ({BASKET_EDGES_SQL})),
+r(id, d) AS (SELECT id, 0 FROM ({PARTS_SQL}) WHERE id = {BASKET_TO}
+  UNION SELECT e.src, r.d + 1 FROM r JOIN e ON e.dst = r.id WHERE r.d < {BASKET_MAX_HOPS})
+SELECT id, CAST({BASKET_TO} AS BIGINT) AS landmark, min(d) AS distance FROM r GROUP BY id""")
+def q_basket_hop_distance(t: Tables) -> DataFrame:
+    return G.hop_distance(_basket(t), [BASKET_TO], max_hops=BASKET_MAX_HOPS)
+
+
+@register("basket_pagerank", _pagerank_sql("CAST(count(*) AS DOUBLE)", BASKET_EDGES_SQL, iters=10,
+                                           vertices_sql=PARTS_SQL))
+def q_basket_pagerank(t: Tables) -> DataFrame:
+    return G.pagerank(_basket(t), 0.15, max_iter=10).withColumn("pagerank", r6("pagerank"))

@@ -13,6 +13,8 @@ size grows with the scale factor.
              pickup area = customer nation, dropoff area = supplier nation
 * fare metrics -> ``events`` (fare = value, miles = JSON ``props.k``,
              seconds = 60 * user_id, start time as 12-hour text)
+* a sparse graph -> parts, with an edge from each order line's part to the
+             next line's part (``basket_edges``)
 * HDFS log lines -> one line per ``events`` row in the HDFS text layout
 """
 
@@ -81,6 +83,19 @@ def trips(t: Tables) -> DataFrame:
     )
 
 
+def basket_edges(t: Tables) -> DataFrame:
+    """A sparse, deep graph over parts: each order line points to the next line's part.
+
+    An equi-join of lineitem with itself on ``(order, line number + 1)`` --
+    one edge per consecutive line pair, never all pairs of an order.
+    """
+    a = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("src"))
+    b = t.lineitem.select(F.col("l_orderkey").alias("o2"), F.col("l_linenumber").alias("n2"),
+                          F.col("l_partkey").alias("dst"))
+    return (a.join(b, (a.l_orderkey == b.o2) & (b.n2 == a.l_linenumber + F.lit(1)))
+            .select("src", "dst"))
+
+
 def fare_trips(t: Tables) -> DataFrame:
     """Raw fare rows with text fields, like the taxi CSV: ``Trip Start Timestamp`` etc."""
     e = t.events
