@@ -152,6 +152,13 @@ def _stable(df: DataFrame) -> DataFrame:
     return _persist(_checkpoint(df))
 
 
+def union_all_frames(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def _partitions(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -246,22 +253,20 @@ def hop_distance(graph: Graph, landmarks: Sequence, max_hops: int | None = None,
     rev = _stable(graph.edges.select(F.col("dst").alias("__to"), F.col("src").alias("__from")).distinct())
     lm = _stable(graph.vertices.filter(F.col("id").isin(list(landmarks))).select(
         F.col("id"), F.col("id").alias("landmark")))
-    reached = _persist(lm.withColumn("distance", F.lit(0)))
+    levels = [lm]          # levels[d]: (id, landmark) first reached at distance d
+    visited = lm           # union of the level frames (each cached / checkpointed)
     frontier = lm
     d = 0
     while not frontier.isEmpty() and (max_hops is None or d < max_hops):
         d += 1
         nxt = (frontier.join(rev, frontier["id"] == rev["__to"])
-               .select(F.col("__from").alias("id"), "landmark").distinct())
-        nxt = nxt.join(reached.select("id", "landmark"), ["id", "landmark"], "left_anti")
-        old_frontier, old_reached = frontier, reached
+               .select(F.col("__from").alias("id"), "landmark").distinct()
+               .join(visited, ["id", "landmark"], "left_anti"))
         frontier = _checkpoint(nxt) if d % checkpoint_every == 0 else _persist(nxt)
-        reached = reached.unionByName(frontier.withColumn("distance", F.lit(d)))
-        reached = _checkpoint(reached) if d % checkpoint_every == 0 else _persist(reached)
-        old_frontier.unpersist()
-        old_reached.unpersist()
-    result = _checkpoint(reached)
-    for cached in (rev, frontier, reached, lm):
+        levels.append(frontier)
+        visited = visited.unionByName(frontier)
+    result = _checkpoint(union_all_frames([lv.withColumn("distance", F.lit(i)) for i, lv in enumerate(levels)]))
+    for cached in (rev, *levels):
         cached.unpersist()
     return result
 
