@@ -59,17 +59,25 @@ def window_counts(df: DataFrame, ts: str, duration: str, slide: str | None = Non
                          *keys, count_name)
 
 
-def host_bytes(lines: DataFrame) -> DataFrame:
-    """Total block bytes per host (host from ``/ip:port``), largest first, NULL totals last."""
-    fields = block_fields(lines).select("hostname", "block_size")
+def host_bytes(lines: DataFrame, keep_unmatched: bool = False) -> DataFrame:
+    """Total block bytes per host (host from ``/ip:port``), largest first, NULL totals last.
+
+    ``keep_unmatched=True`` reports lines without a host under ``''`` as the
+    reference did; the default groups them under NULL.
+    """
+    fields = block_fields(lines, keep_unmatched=keep_unmatched).select("hostname", "block_size")
     return (fields.groupBy("hostname").agg(F.sum("block_size").alias("total_bytes"))
             .orderBy(F.col("total_bytes").desc_nulls_last(), F.col("hostname").asc_nulls_first()))
 
 
-def host_block_operations(lines: DataFrame, level: str = "INFO") -> DataFrame:
-    """INFO lines that name a block and an IPv4 address, counted per address."""
-    p = parse_log_lines(lines).select("value", "log_level")
-    f = block_fields(p).filter((F.col("log_level") == level) & F.col("block_id").isNotNull()
+def host_block_operations(lines: DataFrame, level: str = "INFO", keep_unmatched: bool = False) -> DataFrame:
+    """INFO lines that name a block and an IPv4 address, counted per address.
+
+    With ``keep_unmatched=True`` failed extractions stay ``''`` and pass the
+    not-NULL tests, reproducing the reference's blank-host row.
+    """
+    p = parse_log_lines(lines, keep_unmatched=keep_unmatched).select("value", "log_level")
+    f = block_fields(p, keep_unmatched=keep_unmatched).filter((F.col("log_level") == level) & F.col("block_id").isNotNull()
                                & F.col("ip").isNotNull())
     return (f.groupBy(F.col("ip").alias("hostname")).agg(F.count(F.lit(1)).alias("block_operations"))
             .orderBy(F.col("block_operations").desc(), "hostname"))

@@ -73,6 +73,9 @@ def test_complete_mode_equals_batch(spark, tmp_dir):
         assert streamed == batch
     bytes_by_host = {r["hostname"]: r["total_bytes"] for r in L.host_bytes(spark.read.text(src)).collect()}
     assert bytes_by_host == {None: 91178 + 67108864, "10.250.19.102": 10}
+    # reference-exact mode: unmatched hosts are '' instead of NULL
+    raw = {r["hostname"]: r["total_bytes"] for r in L.host_bytes(spark.read.text(src), keep_unmatched=True).collect()}
+    assert raw == {"": 91178 + 67108864, "10.250.19.102": 10}
 
 
 def test_per_batch_flag_and_rejects(spark, tmp_dir):
