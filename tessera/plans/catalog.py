@@ -1,10 +1,13 @@
 """Query catalogue: every composite bound to the driver's tables, plus its SQL oracle.
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE_SQL[name]`` (DuckDB SQL
-over the same parquet tables).  Each query reads whole tables; doubles that
-come out of floating sums/averages are rounded to 6 places on both sides so the
-value hashes agree.  Oracles round with ``CAST(ROUND(CAST(x AS DECIMAL), n) AS DOUBLE)``
-which is HALF_UP on the decimal value, like Spark's ``round``.
+over the same parquet tables).  Each query reads whole tables (through the
+Spark-derived stand-ins of ``standins.py``) and pins the session time zone to
+UTC.  Doubles that come out of floating sums/averages are rounded to 6 places
+on both sides so the value hashes agree; money averages use exact decimal sums.
+Oracles round with ``CAST(ROUND(CAST(x AS DECIMAL), n) AS DOUBLE)``, HALF_UP on
+the decimal value like Spark's ``round``.  Streaming queries run a Structured
+Streaming query to completion (``availableNow``) and return its result table.
 """
 
 from __future__ import annotations
