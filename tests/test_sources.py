@@ -102,3 +102,10 @@ def test_processing_time_trigger(spark, tmp_dir):
     spec = SL.host_block_operations(line_stream(spark, src))
     run = run_stream(spec.frame, spec.mode, "trigger", spec.keys, trigger={"processingTime": "1 second"})
     assert [tuple(r) for r in run.result().collect()] == [("10.0.0.1", 1)]
+
+
+def test_cli_list_and_run(spark, tmp_dir, capsys):
+    from tessera.__main__ import main
+    assert main(["list"]) == 0
+    listed = capsys.readouterr().out.split("\n")
+    assert "time_of_day_distribution" in listed and "stream_progress  (no SQL oracle)" in listed
