@@ -104,7 +104,7 @@ def test_processing_time_trigger(spark, tmp_dir):
     assert [tuple(r) for r in run.result().collect()] == [("10.0.0.1", 1)]
 
 
-def test_cli_list_and_run(spark, tmp_dir, capsys):
+def test_cli_list(capsys):
     from tessera.__main__ import main
     assert main(["list"]) == 0
     listed = capsys.readouterr().out.split("\n")
