@@ -80,8 +80,11 @@ def compare_with_global(df: DataFrame, value_col: str, agg: str = "avg", op: str
 
     The aggregate is a scalar subquery (the reference collected it to the
     driver first).  ``stat_name`` keeps the statistic as a column when given.
+    ``median`` is the bounded-memory ``percentile_approx`` sketch: an exact
+    global median would buffer every value in one task.
     """
-    fn = {"avg": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "median": F.median}[agg]
+    fn = {"avg": F.avg, "max": F.max, "min": F.min, "sum": F.sum,
+          "median": lambda c: F.percentile_approx(c, 0.5, 10000)}[agg]
     stat = df.agg(fn(value_col)).scalar()
     v = F.col(value_col)
     cond = {">": v > stat, ">=": v >= stat, "<": v < stat, "<=": v <= stat, "=": v == stat, "!=": v != stat}[op]

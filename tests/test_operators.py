@@ -125,3 +125,9 @@ def test_scale_conf_sizes_partitions():
     assert int(big["spark.sql.shuffle.partitions"]) == 32768          # capped
     small = scale_conf(10 << 30, 64)
     assert int(small["spark.sql.shuffle.partitions"]) == 3 * 64        # at least 3 tasks per core
+
+
+def test_compare_with_approx_median(spark):
+    df = spark.createDataFrame([(i,) for i in range(1, 102)], "v long")
+    got = A.compare_with_global(df, "v", "median", ">", stat_name="med")
+    assert got.count() == 50 and got.first()["med"] == 51
