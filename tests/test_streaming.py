@@ -102,3 +102,20 @@ def test_parse_append_keeps_ingest_time_separate(spark, tmp_dir):
     rows = {r["value"]: r for r in run_stream(spec.frame, spec.mode, "parse").result().collect()}
     assert rows["garbage"]["event_ts"] is None
     assert rows[_line("081109 203615")]["event_ts"] == dt.datetime(2008, 11, 9, 20, 36, 15)
+
+
+def test_restart_resumes_from_checkpoint(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    out = os.path.join(tmp_dir, "out")
+    line = "081109 203518 143 INFO dfs.DataNode$DataXceiver: Receiving block blk_-{i} src: /10.0.0.{h}:5 dest: x"
+    _write(src, "a.log", [line.format(i=i, h=1) for i in range(3)], int(time.time()) - 200)
+    spec = SL.host_block_operations(line_stream(spark, src))
+    first = run_stream(spec.frame, spec.mode, "restart", spec.keys, out=out)
+    assert {tuple(r) for r in first.result().collect()} == {("10.0.0.1", 3)}
+    # new input arrives; the query restarts from its checkpoint (offsets + state)
+    _write(src, "b.log", [line.format(i=i, h=2) for i in range(2)] + [line.format(i=9, h=1)], int(time.time()) - 100)
+    spec = SL.host_block_operations(line_stream(spark, src))
+    second = run_stream(spec.frame, spec.mode, "restart", spec.keys, out=out)
+    assert {tuple(r) for r in second.result().collect()} == {("10.0.0.1", 4), ("10.0.0.2", 2)}
+    assert sum(p["numInputRows"] for p in second.progress) == 3          # a.log is not re-read
