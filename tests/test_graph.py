@@ -88,3 +88,19 @@ def test_edges_vertices_loops_and_folding(spark):
     assert nw[(8, 32)] == pytest.approx(5 / 6)
     g = G.Graph(spark.createDataFrame([(8,), (32,), (77,)], "id int"), e)
     assert sorted(r["id"] for r in G.connected_vertices(g).collect()) == [8, 32]
+
+
+def test_hop_distance_several_landmarks_and_weighted_pagerank(spark):
+    g = _graph(spark, [(1, 2), (2, 3), (3, 4), (4, 1)])
+    d = {(r["id"], r["landmark"]): r["distance"] for r in G.hop_distance(g, [1, 3]).collect()}
+    assert d == {(1, 1): 0, (4, 1): 1, (3, 1): 2, (2, 1): 3, (3, 3): 0, (2, 3): 1, (1, 3): 2, (4, 3): 3}
+    # weights: vertex 1 sends 3/4 of its rank to 2 and 1/4 to 3
+    e = spark.createDataFrame([(1, 2, 3.0), (1, 3, 1.0), (2, 1, 1.0), (3, 1, 1.0)], "src int, dst int, w double")
+    v = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    got = {r["id"]: r["pagerank"] for r in G.pagerank(G.Graph(v, e), max_iter=30, mode="weight", weight_col="w").collect()}
+    r = {1: 1.0, 2: 1.0, 3: 1.0}
+    for _ in range(30):
+        r = {1: 0.15 + 0.85 * (r[2] + r[3]), 2: 0.15 + 0.85 * 0.75 * r[1], 3: 0.15 + 0.85 * 0.25 * r[1]}
+    scale = 3 / sum(r.values())
+    for k in r:
+        assert got[k] == pytest.approx(r[k] * scale, abs=1e-9)
