@@ -159,8 +159,12 @@ def union_all_frames(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _spread(df: DataFrame, n: int | None, *cols: str) -> DataFrame:
+    """Hash-partition by ``cols``.  Without an explicit ``n`` the partition
+    count is left to AQE, which coalesces it to the data's real size (a fixed
+    cluster-wide shuffle count would give a small edge table thousands of
+    empty tasks per round)."""
+    return df.repartition(n, *cols) if n else df.repartition(*cols)
 
 
 # ----------------------------------------------------------------- BFS / hop distance
@@ -184,10 +188,9 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
        shortest-path DAG, so only paths that end in the output are built.
     Output: ``origin, target, hops, path`` (``"a->b->c"``), ``edge_paths``.
     """
-    n = _partitions(graph.edges, num_partitions)
+    n = num_partitions
     pred = lambda e: F.expr(e) if isinstance(e, str) else e
-    folded = _stable(graph.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
-                     .repartition(n, "src", "dst"))
+    folded = _stable(_spread(graph.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m")), n, "src", "dst"))
     # vertex sets are evaluated once (the vertex frame may itself be derived
     # from a large fact join) and reused by every level
     targets = _stable(graph.vertices.filter(pred(to_expr)).select(F.col("id").alias("__t")))
@@ -214,7 +217,7 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
         levels.append(level)
         visited = visited.unionByName(level)
         if cut:
-            visited = _checkpoint(visited.repartition(n, "origin", "vid"))
+            visited = _checkpoint(_spread(visited, n, "origin", "vid"))
 
     if hits is None:
         paths = levels[0].limit(0).select("origin", F.col("vid").alias("target"),
@@ -294,7 +297,7 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
     """
     if max_iter is None and tol is None:
         raise ValueError("give max_iter, tol or both")
-    n = _partitions(graph.edges, num_partitions)
+    n = num_partitions
     e = graph.edges
     if mode == "multiplicity":
         folded = e.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w"))
@@ -315,9 +318,8 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
     trans = (folded.join(out_w, "src")
              .select("src", "dst", (F.col("w") / F.col("__out")).alias("p"), F.lit(False).alias("is_self"))
              .unionByName(verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("p"),
-                                       F.lit(True).alias("is_self")))
-             .repartition(n, "src", "dst"))
-    trans = _stable(trans)
+                                       F.lit(True).alias("is_self"))))
+    trans = _stable(_spread(trans, n, "src", "dst"))
     ranks = verts.select("id", F.lit(1.0).alias("rank"))
     held = None            # the materialised frame behind `ranks`, released when superseded
     checkpointed = False   # is `ranks` read straight from a reliable checkpoint?
