@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.bpe import digests, encode
 from tessera.llm.shard_packing import pack_shards
 from tessera.sources.tables import read_table
 
@@ -13,7 +14,20 @@ def op2_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_shards(spark, read_table(spark, sf_dir, "documents"), n_shards=16)
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the contract's tokenizer (read on the driver only)."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded; digests of the ids and of the decoded text."""
+    return digests(encode(spark, read_table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 QUERIES = {
+    "op10_transducer_bpe": op10_transducer_bpe,
     "op2_vector_bin_packing": op2_vector_bin_packing,
 }
 
