@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm import decontaminate, topk_inner
 from tessera.llm.bpe import digests, encode
 from tessera.llm.shard_packing import pack_shards
 from tessera.sources.tables import read_table
@@ -14,6 +15,16 @@ def op2_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_shards(spark, read_table(spark, sf_dir, "documents"), n_shards=16)
 
 
+def op6_aho_corasick_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scanned once for all 13-word windows of the benchmark."""
+    return decontaminate.contamination(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op9_norm_sorted_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest integer inner products of every hundredth vector against all vectors."""
+    return topk_inner.top_k_inner(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 def tokenizer_path() -> str:
     """The vocabulary file of the contract's tokenizer (read on the driver only)."""
     import public_tokenizers
@@ -27,8 +38,13 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_aho_corasick_decontamination": op6_aho_corasick_decontamination,
+    "op9_norm_sorted_top_k": op9_norm_sorted_top_k,
     "op10_transducer_bpe": op10_transducer_bpe,
     "op2_vector_bin_packing": op2_vector_bin_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_aho_corasick_decontamination": decontaminate.oracle_sql(),
+    "op9_norm_sorted_top_k": topk_inner.oracle_sql(),
+}
