@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm import decontaminate, topk_inner
 from tessera.llm.bpe import digests, encode
 from tessera.llm.shard_packing import pack_shards
+from tessera.llm.simhash import near_duplicates
 from tessera.sources.tables import read_table
 
 
@@ -15,6 +16,11 @@ def op2_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_shards(spark, read_table(spark, sf_dir, "documents"), n_shards=16)
 
 
+def op4_segment_popcount_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return near_duplicates(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op6_aho_corasick_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scanned once for all 13-word windows of the benchmark."""
     return decontaminate.contamination(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -38,6 +44,7 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_segment_popcount_simhash": op4_segment_popcount_simhash,
     "op6_aho_corasick_decontamination": op6_aho_corasick_decontamination,
     "op9_norm_sorted_top_k": op9_norm_sorted_top_k,
     "op10_transducer_bpe": op10_transducer_bpe,
