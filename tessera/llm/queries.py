@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, topk_inner
+from tessera.llm import decontaminate, topk_inner, toxicity
 from tessera.llm.bpe import digests, encode
 from tessera.llm.shard_packing import pack_shards
 from tessera.llm.simhash import near_duplicates
@@ -21,6 +21,11 @@ def op4_segment_popcount_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document's restored text."""
+    return toxicity.score_documents(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_aho_corasick_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scanned once for all 13-word windows of the benchmark."""
     return decontaminate.contamination(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -45,6 +50,7 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_segment_popcount_simhash": op4_segment_popcount_simhash,
+    "op5_noisy_channel_toxicity": op5_noisy_channel_toxicity,
     "op6_aho_corasick_decontamination": op6_aho_corasick_decontamination,
     "op9_norm_sorted_top_k": op9_norm_sorted_top_k,
     "op10_transducer_bpe": op10_transducer_bpe,
