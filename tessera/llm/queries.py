@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, topk_inner, toxicity
+from tessera.llm import decontaminate, pu_quality, topk_inner, toxicity
 from tessera.llm.bpe import digests, encode
 from tessera.llm.shard_packing import pack_shards
 from tessera.llm.simhash import near_duplicates
@@ -16,6 +16,11 @@ def op2_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_shards(spark, read_table(spark, sf_dir, "documents"), n_shards=16)
 
 
+def op3_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from trusted positives and all documents."""
+    return pu_quality.score_documents(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_segment_popcount_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return near_duplicates(spark, read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
@@ -49,6 +54,7 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_positive_unlabelled_quality": op3_positive_unlabelled_quality,
     "op4_segment_popcount_simhash": op4_segment_popcount_simhash,
     "op5_noisy_channel_toxicity": op5_noisy_channel_toxicity,
     "op6_aho_corasick_decontamination": op6_aho_corasick_decontamination,
