@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with a transducer lexicon.
 
 Two passes over the texts.  The first counts the space-led words of all documents and
-keeps the ``lexicon_words`` most frequent (the only thing the driver collects: a bounded
-list).  They are encoded once and compiled into a minimal acyclic transducer whose
+keeps those that make up at least ``1 / lexicon_words`` of them (the only thing the driver
+collects: a bounded list).  They are encoded once and compiled into a minimal acyclic transducer whose
 outputs are their token ids; tasks memory-map it.  The second pass cuts each text into
 space-led words, looks each up in the transducer, and merges words that it does not hold
 by the vocabulary's merge ranks, exactly.
@@ -30,14 +30,25 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.common import staged
 from tessera.llm.transducer import Transducer, compile_words
 
-LEXICON_WORDS = 32768
+LEXICON_WORDS = 1 << 17
 # Fixed value: the pre-tokenizer's pattern, as the vocabulary's file names it (byte level, use_regex).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _COUNT_FLUSH = 300_000
-_MEMO_WORDS = 400_000
+_MEMO_WORDS = 800_000
 _SLICE_ROWS = 1000
+# White space before a space, where cutting at the space would not be exact.
+_SPACES = tuple(c + " " for c in map(chr, range(0x3001)) if c.isspace() or regex.match(r"\s", c))
+_ASCII_SPACES = tuple(p for p in _SPACES if p.isascii())
+_SHIFT = 20
+_MASK = (1 << _SHIFT) - 1
+_NO_MERGE = 1 << 2 * _SHIFT + 1
+_CLOSING = frozenset(".,;:!?")
+_LONG_TOKEN = 64
+_MERGE_ROWS = 4096
+_GROUP_CHARS = 4_000_000
 
 
 def byte_alphabet() -> list[str]:
@@ -49,10 +60,13 @@ def byte_alphabet() -> list[str]:
 
 @dataclass
 class Vocabulary:
-    """Ids of the bytes, merges ``(left, right) -> (rank, id)``, the bytes of each id, special tokens."""
+    """Ids of the bytes, merges, the bytes of each id, special tokens.
+
+    ``merges`` maps ``left << _SHIFT | right`` to ``rank << _SHIFT | id``: plain integers compare by rank.
+    """
 
     byte_ids: list[int]
-    merges: dict[tuple[int, int], tuple[int, int]]
+    merges: dict[int, int]
     pieces: list[bytes]
     special: dict[str, int]
 
@@ -72,50 +86,114 @@ class Vocabulary:
         merges = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            merges[vocab[left], vocab[right]] = (rank, vocab[left + right])
+            merges[vocab[left] << _SHIFT | vocab[right]] = rank << _SHIFT | vocab[left + right]
         return cls([vocab[c] for c in alphabet], merges, pieces, special)
 
 
+class MergeTable:
+    """Batch merging: the ranks of many pairs at once, from an open-addressing table of the merges."""
+
+    def __init__(self, merges: dict[int, int]):
+        bits = max(10, (8 * max(1, len(merges))).bit_length())
+        self._shift, self._mask = np.uint64(64 - bits), (1 << bits) - 1
+        self._keys = np.full(1 << bits, -1, dtype=np.int64)
+        self._values = np.full(1 << bits, _NO_MERGE, dtype=np.int64)
+        keys = np.fromiter(merges.keys(), dtype=np.int64, count=len(merges))
+        values = np.fromiter(merges.values(), dtype=np.int64, count=len(merges))
+        slot = self._slot(keys)
+        while len(keys):
+            free = self._keys[slot] == -1
+            _, first = np.unique(np.where(free, slot, -1 - np.arange(len(slot))), return_index=True)
+            first = first[free[first]]
+            self._keys[slot[first]], self._values[slot[first]] = keys[first], values[first]
+            rest = np.ones(len(keys), dtype=bool)
+            rest[first] = False
+            keys, values, slot = keys[rest], values[rest], (slot[rest] + 1) & self._mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``rank << _SHIFT | id`` of each pair, or ``_NO_MERGE``."""
+        keys = (left << _SHIFT | right).ravel()
+        slot = self._slot(keys)
+        held = self._keys[slot]
+        out = np.where(held == keys, self._values[slot], _NO_MERGE)
+        open_ = np.flatnonzero((held != keys) & (held != -1))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & self._mask
+            held = self._keys[slot[open_]]
+            hit = held == keys[open_]
+            out[open_[hit]] = self._values[slot[open_[hit]]]
+            open_ = open_[~hit & (held != -1)]
+        return out.reshape(left.shape)
+
+    def merge(self, ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Merge rows of byte ids to the end: (row numbers, ids) of the rows that end with one length.
+
+        Every row still open merges its lowest-ranked pair, leftmost first, once a round, so
+        open rows stay of one length.
+        """
+        rows, done = np.arange(len(ids)), []
+        ranks = self.find(ids[:, :-1], ids[:, 1:])
+        while ids.shape[1] > 1 and len(rows):
+            at = ranks.argmin(axis=1)
+            best = ranks[np.arange(len(rows)), at]
+            closed = best == _NO_MERGE
+            if closed.any():
+                done.append((rows[closed], ids[closed]))
+                rows, ids, ranks, at, best = (x[~closed] for x in (rows, ids, ranks, at, best))
+            n, width = ids.shape
+            line, cols = np.arange(n), np.arange(width - 1)
+            ids[line, at] = best & _MASK
+            ids = ids[line[:, None], cols + (cols > at[:, None])]
+            cols = np.arange(width - 2)
+            ranks = ranks[line[:, None], cols + (cols >= at[:, None])]
+            left, right = np.flatnonzero(at > 0), np.flatnonzero(at < width - 2)
+            ranks[left, at[left] - 1] = self.find(ids[left, at[left] - 1], ids[left, at[left]])
+            ranks[right, at[right]] = self.find(ids[right, at[right]], ids[right, at[right] + 1])
+        return [*done, (rows, ids)]
+
+
 class Encoder:
     """Encodes texts with a vocabulary; a transducer answers for the words it holds."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Transducer | None = None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.pattern = regex.compile(PATTERN)
-        self.odd_space = regex.compile(r"\s ")
         self.specials = regex.compile("|".join(map(regex.escape, vocabulary.special)) or r"(?!)")
-        self._tokens: dict[str, bytes] = {}
+        self._table = MergeTable(vocabulary.merges)
+        self._byte_ids = np.array(vocabulary.byte_ids, dtype=np.int64)
         self._words: dict[str, bytes] = {}
 
-    def merge(self, token: str) -> bytes:
-        """Ids (little-endian unsigned 32 bit) of one pre-token: merge the lowest-ranked pair, leftmost first."""
-        merges = self.vocabulary.merges
-        byte_ids = self.vocabulary.byte_ids
-        ids = [byte_ids[b] for b in token.encode()]
-        if len(ids) > 64:
-            return self._merge_long(ids)
-        ranked = [merges.get(pair) for pair in zip(ids, ids[1:])]
-        none = (1 << 30, 0)
-        ranked = [r or none for r in ranked]
-        while ranked:
-            best = min(ranked)
-            if best is none:
-                break
-            i = ranked.index(best)
-            ids[i:i + 2] = [best[1]]
-            del ranked[i]
-            if i:
-                ranked[i - 1] = merges.get((ids[i - 1], ids[i])) or none
-            if i < len(ranked):
-                ranked[i] = merges.get((ids[i], ids[i + 1])) or none
-        return np.array(ids, dtype="<u4").tobytes()
+    def merge(self, tokens: list[str]) -> list[bytes]:
+        """Ids (little-endian unsigned 32 bit) of pre-tokens, merged exactly."""
+        out: list[bytes] = [b""] * len(tokens)
+        raw = [t.encode() for t in tokens]
+        by_length: dict[int, list[int]] = {}
+        for i, r in enumerate(raw):
+            by_length.setdefault(len(r), []).append(i)
+        for length, members in by_length.items():
+            if length > _LONG_TOKEN:
+                for i in members:
+                    out[i] = self._merge_long([self.vocabulary.byte_ids[b] for b in raw[i]])
+                continue
+            for at in range(0, len(members), _MERGE_ROWS):
+                part = members[at:at + _MERGE_ROWS]
+                flat = np.frombuffer(b"".join([raw[i] for i in part]), dtype=np.uint8)
+                for rows, ids in self._table.merge(self._byte_ids[flat].reshape(len(part), length)):
+                    packed, width = ids.astype("<u4").tobytes(), 4 * ids.shape[1]
+                    for k, row in enumerate(rows.tolist()):
+                        out[part[row]] = packed[k * width:(k + 1) * width]
+        return out
 
     def _merge_long(self, ids: list[int]) -> bytes:
         """The same merges over a linked list with a heap, for very long pre-tokens."""
-        merges = self.vocabulary.merges
+        find = self.vocabulary.merges.get
         after = list(range(1, len(ids))) + [-1]
         before = [-1, *range(len(ids) - 1)]
-        heap = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(len(ids) - 1) if (m := merges.get((ids[i], ids[i + 1])))]
+        heap = [(m >> _SHIFT, i, ids[i], ids[i + 1], m & _MASK) for i in range(len(ids) - 1)
+                if (m := find(ids[i] << _SHIFT | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
             _, i, left, right, new = heapq.heappop(heap)
@@ -127,54 +205,75 @@ class Encoder:
             if after[j] >= 0:
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (m := merges.get((ids[a], ids[b]))):
-                    heapq.heappush(heap, (m[0], a, ids[a], ids[b], m[1]))
+                if a >= 0 and b >= 0 and (m := find(ids[a] << _SHIFT | ids[b])) is not None:
+                    heapq.heappush(heap, (m >> _SHIFT, a, ids[a], ids[b], m & _MASK))
         return np.array([i for i in ids if i >= 0], dtype="<u4").tobytes()
 
-    def pattern_ids(self, text: str) -> bytes:
-        """Ids of a text cut by the full pattern."""
-        memo, out = self._tokens, []
-        for token in self.pattern.findall(text):
-            ids = memo.get(token)
-            if ids is None:
-                ids = self.merge(token)
-                if len(memo) >= _MEMO_WORDS:
-                    memo.clear()
-                if len(token) <= 64:
-                    memo[token] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def word_ids(self, word: str) -> bytes:
-        """Ids of a space and ``word``."""
-        ids = self.lexicon.get(word.encode()) if self.lexicon else None
-        return self.pattern_ids(" " + word) if ids is None else ids
-
-    def plain_ids(self, text: str) -> bytes:
-        """Ids of a text without special tokens."""
-        if self.odd_space.search(text):
-            return self.pattern_ids(text)
+    def _pieces(self, text: str) -> list[str]:
+        """The text cut so that each piece can be encoded alone: its beginning, then space-led words."""
+        if any(pair in text for pair in (_ASCII_SPACES if text.isascii() else _SPACES)):
+            return self.pattern.findall(text)
         first, *words = text.split(" ")
-        memo = self._words
-        out = [self.pattern_ids(first)]
-        for word in words:
-            ids = memo.get(word)
+        return [*self.pattern.findall(first), *[" " + w for w in words]]
+
+    def _tokens(self, piece: str) -> list[str]:
+        """The pre-tokens of a piece."""
+        if piece[:1] == " ":
+            if piece[1:].isalpha():
+                return [piece]
+            if piece[-1] in _CLOSING and piece[1:-1].isalpha():
+                return [piece[:-1], piece[-1]]
+        return self.pattern.findall(piece)
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Put the ids of new pieces into the memo: from the lexicon, or merged."""
+        memo, lexicon = self._words, self.lexicon
+        if len(memo) + len(pieces) > _MEMO_WORDS:
+            memo.clear()
+        cut: dict[str, list[str]] = {}
+        for piece in pieces:
+            ids = lexicon.get(piece[1:].encode()) if lexicon is not None and piece[:1] == " " else None
             if ids is None:
-                ids = self.word_ids(word)
-                if len(memo) >= _MEMO_WORDS:
-                    memo.clear()
-                if len(word) <= 64:
-                    memo[word] = ids
-            out.append(ids)
-        return b"".join(out)
+                cut[piece] = self._tokens(piece)
+            else:
+                memo[piece] = ids
+        tokens = list({t for parts in cut.values() for t in parts})
+        known = dict(zip(tokens, self.merge(tokens)))
+        for piece, parts in cut.items():
+            memo[piece] = known[parts[0]] if len(parts) == 1 else b"".join([known[t] for t in parts])
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        memo = self._words
+        special = {t: np.uint32(i).tobytes() for t, i in self.vocabulary.special.items()}
+        out, held, size = [], [], 0
+
+        def close() -> None:
+            nonlocal held, size
+            new = set().union(*(p for line in held for p in line if isinstance(p, list)))
+            # The memo may be emptied to take the new pieces; then all of the group's are learned.
+            missing = {p for p in new if p not in memo}
+            if missing:
+                self._learn(missing if len(memo) + len(missing) <= _MEMO_WORDS else new)
+            for line in held:
+                out.append(b"".join([b"".join(map(memo.__getitem__, p)) if isinstance(p, list) else special[p] for p in line]))
+            held, size = [], 0
+
+        for text in texts:
+            line, at = [], 0
+            for m in self.specials.finditer(text):
+                line += [self._pieces(text[at:m.start()]), m.group()]
+                at = m.end()
+            line.append(self._pieces(text[at:]))
+            held.append(line)
+            size += len(text)
+            if size >= _GROUP_CHARS:
+                close()
+        close()
+        return out
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers."""
-        out, at = [], 0
-        for m in self.specials.finditer(text):
-            out += [self.plain_ids(text[at:m.start()]), np.uint32(self.vocabulary.special[m.group()]).tobytes()]
-            at = m.end()
-        return b"".join([*out, self.plain_ids(text[at:])]) if text else b""
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> str:
         pieces = self.vocabulary.pieces
@@ -203,17 +302,22 @@ def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def frequent_words(docs: DataFrame, size: int = LEXICON_WORDS, text_col: str = "text") -> list[str]:
-    """The ``size`` most frequent words over all documents, ties to the smaller word (a bounded list)."""
-    # Beyond 64 bytes a word gains nothing from the lexicon and would unbound the list's bytes.
-    top = count_words(docs, text_col).filter(F.octet_length("word") <= 64).orderBy(F.desc("n"), "word").limit(size)
-    return [r.word for r in top.collect()]
+def frequent_words(spark: SparkSession, docs: DataFrame, size: int = LEXICON_WORDS, text_col: str = "text") -> list[str]:
+    """The words that make up at least ``1 / size`` of all occurrences of repeated words.
+
+    There are at most ``size`` of them, whatever the input; beyond 64 bytes a word is left
+    out, which bounds the list's bytes too.
+    """
+    counts = staged(spark, count_words(docs, text_col).filter((F.col("n") > 1) & (F.octet_length("word") <= 64)), "bpe-words")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return [r.word for r in counts.filter(F.col("n") * size >= total).orderBy("word").collect()]
 
 
 def build_lexicon(vocabulary: Vocabulary, words: list[str]) -> bytes:
     """The transducer of the words with their ids (of a space and the word) as outputs."""
     plain = Encoder(vocabulary)
-    return compile_words({w.encode(): plain.pattern_ids(" " + w) for w in words if not any(c.isspace() for c in w)})
+    words = [w for w in words if w and not any(c.isspace() for c in w)]
+    return compile_words(dict(zip([w.encode() for w in words], plain.encode_all([" " + w for w in words]))))
 
 
 def encoder_factory(spark: SparkSession, vocabulary: Vocabulary, blob: bytes) -> Callable[[], Encoder]:
@@ -238,7 +342,7 @@ def encode(spark: SparkSession, docs: DataFrame, tokenizer_path: str, lexicon_wo
            text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), decode: bool = True) -> DataFrame:
     """``keep`` columns, ``ids`` (little-endian unsigned 32 bit) and, with ``decode``, the text ``decoded`` from them."""
     vocabulary = Vocabulary.load(tokenizer_path)
-    blob = build_lexicon(vocabulary, frequent_words(docs, lexicon_words, text_col))
+    blob = build_lexicon(vocabulary, frequent_words(spark, docs, lexicon_words, text_col))
     make = encoder_factory(spark, vocabulary, blob)
     source = docs.select(*keep, F.col(text_col).alias("__text"))
     n_keep = len(keep)
@@ -248,7 +352,7 @@ def encode(spark: SparkSession, docs: DataFrame, tokenizer_path: str, lexicon_wo
         for whole in batches:
             for start in range(0, whole.num_rows, _SLICE_ROWS):
                 batch = whole.slice(start, _SLICE_ROWS)
-                ids = [encoder.encode(t or "") for t in batch.column(n_keep).to_pylist()]
+                ids = encoder.encode_all([t or "" for t in batch.column(n_keep).to_pylist()])
                 columns = [batch.column(i) for i in range(n_keep)] + [pa.array(ids, pa.binary())]
                 if decode:
                     columns.append(pa.array([encoder.decode(i) for i in ids], pa.string()))
