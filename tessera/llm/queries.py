@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, pu_quality, topk_inner, toxicity
+from tessera.llm import decontaminate, pu_quality, substring_doubling, topk_inner, toxicity
 from tessera.llm.bpe import digests, encode
 from tessera.llm.shard_packing import pack_shards
 from tessera.llm.simhash import near_duplicates
@@ -36,6 +36,11 @@ def op6_aho_corasick_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     return decontaminate.contamination(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op7_doubling_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 50-word windows that start in an earlier document."""
+    return substring_doubling.digests(substring_doubling.dedup_words(spark, read_table(spark, sf_dir, "documents")))
+
+
 def op9_norm_sorted_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest integer inner products of every hundredth vector against all vectors."""
     return topk_inner.top_k_inner(spark, read_table(spark, sf_dir, "embeddings"))
@@ -58,6 +63,7 @@ QUERIES = {
     "op4_segment_popcount_simhash": op4_segment_popcount_simhash,
     "op5_noisy_channel_toxicity": op5_noisy_channel_toxicity,
     "op6_aho_corasick_decontamination": op6_aho_corasick_decontamination,
+    "op7_doubling_substring_dedup": op7_doubling_substring_dedup,
     "op9_norm_sorted_top_k": op9_norm_sorted_top_k,
     "op10_transducer_bpe": op10_transducer_bpe,
     "op2_vector_bin_packing": op2_vector_bin_packing,
