@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, pu_quality, substring_doubling, topk_inner, toxicity
+from tessera.llm import decontaminate, pu_quality, substring_doubling, suffix_dedup, topk_inner, toxicity
 from tessera.llm.bpe import digests, encode
 from tessera.llm.shard_packing import pack_shards
 from tessera.llm.simhash import near_duplicates
 from tessera.sources.tables import read_table
 
 
+def op1_run_length_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that start earlier."""
+    return suffix_dedup.digests(suffix_dedup.dedup_bytes(spark, read_table(spark, sf_dir, "documents")))
+
+
 def op2_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 16 shards, bytes, tokens and rows balanced together."""
     return pack_shards(spark, read_table(spark, sf_dir, "documents"), n_shards=16)
@@ -59,6 +64,7 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_run_length_suffix_dedup": op1_run_length_suffix_dedup,
     "op3_positive_unlabelled_quality": op3_positive_unlabelled_quality,
     "op4_segment_popcount_simhash": op4_segment_popcount_simhash,
     "op5_noisy_channel_toxicity": op5_noisy_channel_toxicity,
