@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, pu_quality, substring_doubling, suffix_dedup, topk_inner, toxicity
+from tessera.llm import decontaminate, license_scan, pu_quality, substring_doubling, suffix_dedup, topk_inner, toxicity
 from tessera.llm.bpe import digests, encode
 from tessera.llm.shard_packing import pack_shards
 from tessera.llm.simhash import near_duplicates
@@ -46,6 +46,11 @@ def op7_doubling_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_doubling.digests(substring_doubling.dedup_words(spark, read_table(spark, sf_dir, "documents")))
 
 
+def op8_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document: passages against templates by Dice over word bigrams."""
+    return license_scan.scan_licenses(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op9_norm_sorted_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest integer inner products of every hundredth vector against all vectors."""
     return topk_inner.top_k_inner(spark, read_table(spark, sf_dir, "embeddings"))
@@ -70,12 +75,14 @@ QUERIES = {
     "op5_noisy_channel_toxicity": op5_noisy_channel_toxicity,
     "op6_aho_corasick_decontamination": op6_aho_corasick_decontamination,
     "op7_doubling_substring_dedup": op7_doubling_substring_dedup,
+    "op8_license_dice": op8_license_dice,
     "op9_norm_sorted_top_k": op9_norm_sorted_top_k,
     "op10_transducer_bpe": op10_transducer_bpe,
     "op2_vector_bin_packing": op2_vector_bin_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_license_dice": license_scan.oracle_sql(),
     "op6_aho_corasick_decontamination": decontaminate.oracle_sql(),
     "op9_norm_sorted_top_k": topk_inner.oracle_sql(),
 }
