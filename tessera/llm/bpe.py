@@ -362,11 +362,11 @@ def encode(spark: SparkSession, docs: DataFrame, tokenizer_path: str, lexicon_wo
     return source.mapInArrow(run, ", ".join(fields + ["ids binary"] + ["decoded string"] * decode))
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of an encoded table."""
+def digests(encoded: DataFrame, *keep: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of an encoded table, and the columns of ``keep``."""
     return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                           F.sha2("ids", 256).alias("ids_sha256"),
-                          F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+                          F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), *keep)
 
 
 __all__ = ["LEXICON_WORDS", "PATTERN", "byte_alphabet", "Vocabulary", "Encoder", "count_words", "frequent_words",

@@ -18,8 +18,8 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, k, x, text`` with NULL texts read as empty.
+def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rest: Column | None = None) -> DataFrame:
+    """``doc_id, k, x, text`` with NULL texts read as empty, and ``rest`` if given.
 
     ``(k, x)`` identifies a document where ids repeat or are NULL: ``k`` is the id
     (NULL as the smallest long) and ``x`` a hash of the text, so rows that repeat
@@ -28,7 +28,7 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("k"),
-                       F.xxhash64(text).alias("x"), text.alias("text"))
+                       F.xxhash64(text).alias("x"), text.alias("text"), *([] if rest is None else [rest.alias("rest")]))
 
 
 def fold(id_col: str, modulus: int) -> Column:

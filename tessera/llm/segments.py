@@ -278,15 +278,23 @@ def group_segments(rows: DataFrame, window: int, by_place: bool, piece_rows: int
             .mapInArrow(run, _OUT))
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """``doc_id, k, x, z``: texts compressed before they are shuffled by document."""
+def packed_texts(docs: DataFrame, with_rest: bool = False) -> DataFrame:
+    """``doc_id, k, x, z``: texts compressed before they are shuffled by document.
+
+    With ``with_rest`` a struct ``rest`` carries the other columns along.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] if with_rest else []
+    source = keyed_texts(docs, rest=F.struct(*others) if others else F.lit(None).cast("struct<none:boolean>"))
+    rest = source.schema["rest"].dataType.simpleString()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             packed = [squeeze(t.as_py().encode()) for t in batch.column(3)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], names=["doc_id", "k", "x", "z"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary()), batch.column(4)],
+                                             names=["doc_id", "k", "x", "z", "rest"])
 
-    return keyed_texts(docs).mapInArrow(run, "doc_id long, k long, x long, z binary")
+    return source.mapInArrow(run, f"doc_id long, k long, x long, z binary, rest {rest}")
 
 
 def unpack(z: bytes) -> bytes:

@@ -109,7 +109,7 @@ def removed_words(spark: SparkSession, docs: DataFrame, window: int = WINDOW) ->
     texts = packed_texts(docs)
     grouped = staged(spark, group_segments(segment_rows(docs, word_segments(window), window, False), window, False), "doubling-1")
     undecided = grouped.filter("place >= 0").select("k", "x", "start", "run", "place", "anchor")
-    table = staged(spark, level_table(per_document(texts.drop("doc_id"), undecided, ["start", "run", "place", "anchor"], "inner"), window),
+    table = staged(spark, level_table(per_document(texts.drop("doc_id", "rest"), undecided, ["start", "run", "place", "anchor"], "inner"), window),
                    "doubling-2")
     sides = table.select("k", "x", "start", "anchor", F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("left").alias("h")), F.struct(F.lit(1).alias("side"), F.col("right").alias("h")))).alias("s")

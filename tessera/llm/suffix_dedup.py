@@ -136,13 +136,13 @@ def _verify(window: int, chunk_bytes: int):
 
 
 def removed_ranges(spark: SparkSession, docs: DataFrame, window: int = WINDOW, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES,
-                   piece_rows: int = PIECE_ROWS) -> tuple[DataFrame, DataFrame]:
+                   piece_rows: int = PIECE_ROWS, with_rest: bool = False) -> tuple[DataFrame, DataFrame]:
     """The packed texts, and ``k, x, start, end``: byte ranges to remove (they may overlap)."""
-    texts = packed_texts(docs)
+    texts = packed_texts(docs, with_rest)
     grouped = staged(spark, group_segments(segment_rows(docs, byte_segments(window, gram), window, True), window, True, piece_rows),
                      "suffix-segments")
     undecided = grouped.filter("place >= 0").select("k", "x", "start", "run", "anchor", "piece")
-    contents = segment_contents(per_document(texts.drop("doc_id"), undecided, ["start", "run", "anchor", "piece"], "inner"), window)
+    contents = segment_contents(per_document(texts.drop("doc_id", "rest"), undecided, ["start", "run", "anchor", "piece"], "inner"), window)
     hot = undecided.filter("piece > 0").select("anchor").distinct()
     any_hot = not hot.isEmpty()
     if any_hot:
@@ -166,18 +166,21 @@ def removed_ranges(spark: SparkSession, docs: DataFrame, window: int = WINDOW, g
 
 
 def dedup_bytes(spark: SparkSession, docs: DataFrame, window: int = WINDOW, whole_characters: bool = False,
-                gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """``doc_id, k, x, n_bytes, n_removed, n_spans, kept``: every document without its repeated bytes.
+                gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, piece_rows: int = PIECE_ROWS, with_rest: bool = False) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept, rest``: every document without its repeated bytes.
+
+    ``rest`` is a struct of the other columns with ``with_rest``, else NULL.
 
     With ``whole_characters`` a range shrinks to the UTF-8 characters that lie in it whole,
     so what is kept is valid text.
     """
-    texts, spans = removed_ranges(spark, docs, window, gram, chunk_bytes, piece_rows)
+    texts, spans = removed_ranges(spark, docs, window, gram, chunk_bytes, piece_rows, with_rest)
+    rest = texts.schema["rest"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             numbers, kept = [], []
-            for z, rows in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+            for z, rows in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 raw = unpack(z)
                 if not rows:
                     numbers.append((len(raw), 0, 0))
@@ -189,11 +192,12 @@ def dedup_bytes(spark: SparkSession, docs: DataFrame, window: int = WINDOW, whol
                 numbers.append((len(raw), int((end - start).sum()), len(start)))
                 kept.append(b"".join([raw[a:b] for a, b in zip([0, *end.tolist()], [*start.tolist(), len(raw)])]))
             counts = np.array(numbers, dtype=np.int64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(counts[:, i]) for i in range(3)), pa.array(kept, pa.binary())],
-                                             names=["doc_id", "k", "x", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(counts[:, i]) for i in range(3)), pa.array(kept, pa.binary()), batch.column(3)],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "rest"])
 
-    return (per_document(texts, spans, ["start", "end"], "left").select("doc_id", "k", "x", "z", "rows")
-            .mapInArrow(run, "doc_id long, k long, x long, n_bytes long, n_removed long, n_spans long, kept binary"))
+    return (per_document(texts, spans, ["start", "end"], "left").select("doc_id", "z", "rows", "rest")
+            .mapInArrow(run, f"doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, rest {rest}"))
 
 
 def _whole(raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
