@@ -29,6 +29,7 @@ from tessera.llm.common import keyed_texts
 BUFFER_BYTES = 2 << 20
 _PLACE_BITS = 22  # units of a chunk are numbered within one order key
 _MAX_UNITS = 1 << 21
+_SLICE_ROWS = 256
 
 _rng = np.random.default_rng(20240229)  # fixed: hashes must agree between tasks
 _BYTE_CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -307,6 +308,17 @@ def per_document(texts: DataFrame, rows: DataFrame, columns: list[str], how: str
     return texts.join(lists, ["k", "x"], how)
 
 
+def document_rows(batches: Iterator[pa.RecordBatch], *fields: str) -> Iterator[tuple[pa.RecordBatch, list[bytes], np.ndarray, list[np.ndarray]]]:
+    """Some documents at a time: the rows, their texts, and the listed rows as columns with the documents' offsets."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, _SLICE_ROWS):
+            batch = whole.slice(at, _SLICE_ROWS)
+            rows = batch.column("rows")
+            flat, offsets = rows.flatten(), np.asarray(rows.offsets)
+            yield batch, [unpack(z) for z in batch.column("z").to_pylist()], offsets - offsets[0], [
+                flat.field(f).to_numpy(zero_copy_only=False) for f in fields]
+
+
 def merge_spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The union of ranges as maximal ranges (touching ones are joined)."""
     if not len(start):
@@ -320,4 +332,4 @@ def merge_spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 __all__ = ["RangeHash", "Segments", "sliding_min", "cut_segments", "segment_rows", "group_segments", "packed_texts", "unpack",
-           "per_document", "merge_spans"]
+           "per_document", "document_rows", "merge_spans"]

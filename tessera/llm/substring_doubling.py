@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import staged
-from tessera.llm.segments import (RangeHash, Segments, cut_segments, group_segments, merge_spans, packed_texts, per_document,
-                                  segment_rows, unpack)
+from tessera.llm.segments import (RangeHash, Segments, cut_segments, document_rows, group_segments, merge_spans, packed_texts,
+                                  per_document, segment_rows)
 
 WINDOW = 50
 
@@ -75,23 +75,30 @@ def level_table(joined: DataFrame, window: int) -> DataFrame:
     gram, half = levels(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple] = []
-            for k, x, z, rows in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                raw, first, last = _units([unpack(z).split()])
+        for batch, texts, at, (start, run_, place, anchor) in document_rows(batches, "start", "run", "place", "anchor"):
+            left, right = np.zeros(len(start), dtype=np.int64), np.zeros(len(start), dtype=np.int64)
+            no_left, no_right = place + gram < half, np.zeros(len(start), dtype=bool)
+            windows = [np.empty(0, dtype=np.int64)]
+            for i, text in enumerate(texts):
+                r = slice(at[i], at[i + 1])
+                if at[i] == at[i + 1]:
+                    continue
+                raw, first, last = _units([text.split()])
                 h, n = RangeHash(raw), len(first)
-                for r in rows:
-                    start, place = r["start"], r["place"]
-                    s = np.arange(start, start + r["run"])
-                    low, high = max(0, place + gram - half), min(n, place + half)
-                    ends = np.array([place + gram, high]) - 1
-                    left, right = h.of(first[np.array([low, place])], last[ends]).view(np.int64).tolist()
-                    out.append((r["anchor"], k, x, start, place, left if low == place + gram - half else None,
-                                right if high == place + half else None,
-                                h.of(first[s], last[s + window - 1]).view(np.int64)))
-            names = ["anchor", "k", "x", "start", "place", "left", "right"]
-            columns = [pa.array([o[i] for o in out], pa.int64()) for i in range(7)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([o[7] for o in out], pa.list_(pa.int64()))], names=[*names, "windows"])
+                low, high = np.maximum(0, place[r] + gram - half), np.minimum(n, place[r] + half)
+                left[r] = h.of(first[low], last[place[r] + gram - 1]).view(np.int64)
+                right[r] = h.of(first[place[r]], last[high - 1]).view(np.int64)
+                no_right[r] = place[r] + half > n
+                ends = np.cumsum(run_[r])
+                s = np.arange(ends[-1]) + np.repeat(start[r] - ends + run_[r], run_[r])
+                windows.append(h.of(first[s], last[s + window - 1]).view(np.int64))
+            ends = np.concatenate(([0], np.cumsum(run_))).astype(np.int32)
+            per_doc = np.repeat(np.arange(len(texts)), np.diff(at))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor), *(batch.column(c).take(pa.array(per_doc)) for c in ("k", "x")), pa.array(start), pa.array(place),
+                 pa.array(left, mask=no_left), pa.array(right, mask=no_right),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(windows)))],
+                names=["anchor", "k", "x", "start", "place", "left", "right", "windows"])
 
     return joined.select("k", "x", "z", "rows").mapInArrow(run, _LEVELS)
 
@@ -137,16 +144,12 @@ def dedup_words(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> D
     texts, spans = removed_words(spark, docs, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, raws, at, (starts, ends) in document_rows(batches, "start", "end"):
             n_words, n_removed, kept = [], [], []
-            for z, rows in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                words = unpack(z).split()
+            for i, raw in enumerate(raws):
+                words = raw.split()
+                start, end = merge_spans(starts[at[i]:at[i + 1]], ends[at[i]:at[i + 1]])
                 n_words.append(len(words))
-                if not rows:
-                    n_removed.append(0)
-                    kept.append(b" ".join(words))
-                    continue
-                start, end = merge_spans(np.array([r["start"] for r in rows]), np.array([r["end"] for r in rows]))
                 n_removed.append(int((end - start).sum()))
                 left = [words[a:b] for a, b in zip([0, *end.tolist()], [*start.tolist(), len(words)])]
                 kept.append(b" ".join([w for part in left for w in part]))

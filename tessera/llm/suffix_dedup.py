@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import staged
 from tessera.llm.runlength_index import RunLengthIndex
-from tessera.llm.segments import (RangeHash, Segments, cut_segments, group_segments, merge_spans, packed_texts, per_document,
-                                  segment_rows, unpack)
+from tessera.llm.segments import (RangeHash, Segments, cut_segments, document_rows, group_segments, merge_spans, packed_texts,
+                                  per_document, segment_rows)
 
 WINDOW = 100
 GRAM = 32
@@ -59,15 +59,13 @@ _CONTENT = "anchor long, piece long, k long, x long, start long, run long, conte
 def segment_contents(joined: DataFrame, window: int) -> DataFrame:
     """The bytes of each undecided segment."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for k, x, z, rows in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                raw = unpack(z)
-                out += [(r["anchor"], r["piece"], k, x, r["start"], r["run"], raw[r["start"]:r["start"] + r["run"] + window - 1])
-                        for r in rows]
-            columns = [pa.array([o[i] for o in out], pa.int64()) for i in range(6)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([o[6] for o in out], pa.binary())],
-                                             names=["anchor", "piece", "k", "x", "start", "run", "content"])
+        for batch, raws, at, (start, run_, anchor, piece) in document_rows(batches, "start", "run", "anchor", "piece"):
+            owner = np.repeat(np.arange(len(raws)), np.diff(at))
+            contents = [raws[i][a:b] for i, a, b in zip(owner.tolist(), start.tolist(), (start + run_ + window - 1).tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor), pa.array(piece), *(batch.column(c).take(pa.array(owner)) for c in ("k", "x")), pa.array(start),
+                 pa.array(run_), pa.array(contents, pa.binary())],
+                names=["anchor", "piece", "k", "x", "start", "run", "content"])
 
     return joined.select("k", "x", "z", "rows").mapInArrow(run, _CONTENT)
 
@@ -178,22 +176,16 @@ def dedup_bytes(spark: SparkSession, docs: DataFrame, window: int = WINDOW, whol
     rest = texts.schema["rest"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            numbers, kept = [], []
-            for z, rows in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                raw = unpack(z)
-                if not rows:
-                    numbers.append((len(raw), 0, 0))
-                    kept.append(raw)
-                    continue
-                start, end = merge_spans(np.array([r["start"] for r in rows]), np.array([r["end"] for r in rows]))
-                if whole_characters:
+        for batch, raws, at, (starts, ends) in document_rows(batches, "start", "end"):
+            counts, kept = np.zeros((len(raws), 3), dtype=np.int64), []
+            for i, raw in enumerate(raws):
+                start, end = merge_spans(starts[at[i]:at[i + 1]], ends[at[i]:at[i + 1]])
+                if whole_characters and len(start):
                     start, end = _whole(raw, start, end)
-                numbers.append((len(raw), int((end - start).sum()), len(start)))
+                counts[i] = len(raw), (end - start).sum(), len(start)
                 kept.append(b"".join([raw[a:b] for a, b in zip([0, *end.tolist()], [*start.tolist(), len(raw)])]))
-            counts = np.array(numbers, dtype=np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(counts[:, i]) for i in range(3)), pa.array(kept, pa.binary()), batch.column(3)],
+                [batch.column("doc_id"), *(pa.array(counts[:, i]) for i in range(3)), pa.array(kept, pa.binary()), batch.column("rest")],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "rest"])
 
     return (per_document(texts, spans, ["start", "end"], "left").select("doc_id", "z", "rows", "rest")
