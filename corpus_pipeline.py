@@ -44,7 +44,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(spark, docs)
-    stays = (found.groupBy("root").agg(F.min(F.struct("k", "x")).alias("first"))
+    # A document without an id stays only where no other is in its component.
+    stays = (found.groupBy("root").agg(F.min(F.struct(F.col("k") == NULL_ID, "k", "x")).alias("first"))
              .select(F.col("first.k").alias("k"), F.col("first.x").alias("x")))
     rows = _boxed(docs).select("row", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("k"),
                                F.xxhash64(F.coalesce("text", F.lit(""))).alias("x"))
