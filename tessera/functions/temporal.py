@@ -82,11 +82,6 @@ def month_of(ts) -> Column:
     return F.month(as_col(ts))
 
 
-def to_session_timestamp(ts) -> Column:
-    """TIMESTAMP_NTZ -> TIMESTAMP under the (UTC) session zone; needed before a watermark."""
-    return as_col(ts).cast("timestamp")
-
-
 def to_ntz(ts) -> Column:
     """TIMESTAMP -> TIMESTAMP_NTZ for outputs (wall-clock value, zone-free)."""
     return as_col(ts).cast("timestamp_ntz")

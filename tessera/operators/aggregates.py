@@ -23,18 +23,6 @@ def _keys(keys) -> list:
     return [keys] if isinstance(keys, (str, Column)) else list(keys)
 
 
-def exact_avg(c, scale: int = 2) -> Column:
-    """Average of fixed-point values (money) from an exact decimal sum.
-
-    ``sum(decimal) / count`` is independent of summation order, so the result
-    is the same double on every run and partitioning (a floating ``avg`` can
-    differ in the last bit, which flips HALF_UP rounding on exact ties).
-    Values must have at most ``scale`` decimals.
-    """
-    x = as_col(c)
-    return F.sum(x.cast(f"decimal(28,{scale})")).cast("double") / F.count(x)
-
-
 def group_count(df: DataFrame, keys, name: str = "count") -> DataFrame:
     """A1/A2: rows per key (multi-key allowed)."""
     return df.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias(name))
@@ -58,11 +46,6 @@ def distinct_count(df: DataFrame, col: str, name: str = "distinct_count",
     return df.agg(F.count_distinct(F.col(col)).alias(name))
 
 
-def global_total(df: DataFrame, col: str, name: str = "total") -> DataFrame:
-    """One-row frame with the column total (K3-like, lazy)."""
-    return df.agg(F.sum(col).alias(name))
-
-
 def share_of_total(grouped: DataFrame, count_col: str = "count", pct_col: str = "percentage",
                    scale: float = 100.0) -> DataFrame:
     """``count / total * 100`` per group, in one job.
@@ -92,18 +75,16 @@ def compare_with_global(df: DataFrame, value_col: str, agg: str = "avg", op: str
     return out.withColumn(stat_name, stat) if stat_name else out
 
 
-def summary_stats(df: DataFrame, cols: Sequence[str], exact_scale: int | None = None) -> DataFrame:
+def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A10: typed ``describe``: one row per column with count, mean, stddev, min, max.
 
     One aggregate pass computes all statistics for all columns; the wide row is
     then unpivoted with ``stack`` (a narrow projection on a single row).
-    ``exact_scale`` computes the mean from an exact decimal sum (``exact_avg``).
     """
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        mean = exact_avg(F.col(c), exact_scale) if exact_scale is not None else F.avg(x)
-        aggs += [F.count(x).alias(f"{c}__count"), mean.alias(f"{c}__mean"),
+        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
@@ -117,7 +98,8 @@ def dedup_by_key(df: DataFrame, keys, order_by: Sequence[str] | None = None) ->
     """One row per key, chosen deterministically.
 
     The kept row is the one with the smallest ``order_by`` values (then the
-    remaining columns).  Implemented as ``min(struct(...))`` per key: a hash
+    remaining columns); a NULL sorts after every value, so attributes that some
+    row has are not lost to a row without them.  Implemented as ``min(struct(...))`` per key: a hash
     aggregate with map-side partial merge, so a hot key never lands whole in one
     task (a ``row_number`` window would sort the hot key in one task).
     """
@@ -128,25 +110,25 @@ def dedup_by_key(df: DataFrame, keys, order_by: Sequence[str] | None = None) ->
     packed = order + [c for c in rest if c not in order]
     if not packed:
         return df.select(*keys).distinct()
-    best = F.min(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(packed)])).alias("__best")
+    fields = [f for i, c in enumerate(packed) for f in (F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_{i}"))]
+    best = F.min(F.struct(*fields)).alias("__best")
     out = df.groupBy(*keys).agg(best)
     return out.select(*keys, *[F.col(f"__best._{i}").alias(c) for i, c in enumerate(packed)]).select(df.columns)
 
 
 def binned_average(df: DataFrame, value_col, target_col: str, width: float, low: float, high: float,
                    bin_name: str = "bin_start", avg_name: str = "avg_value",
-                   count_name: str | None = "n", exact_scale: int | None = None) -> DataFrame:
+                   count_name: str | None = "n") -> DataFrame:
     """Average of ``target_col`` per left-closed fixed-width bin of ``value_col``.
 
     Rows outside ``[low, high)`` (and NULL) are excluded, like ``pd.cut`` with
-    ``observed=True``.  The range filter sits before the aggregate so it is
-    pushed into the scan.
+    ``observed=True``.  The range filter sits before the aggregate, and reaches
+    the scan where the value is a plain column.
     """
     v = as_col(value_col)
     binned = df.filter((v >= F.lit(low)) & (v < F.lit(high))).withColumn(
         bin_name, fixed_width_bin(v, width, low, high))
-    avg = exact_avg(target_col, exact_scale) if exact_scale is not None else F.avg(target_col)
-    aggs = [avg.alias(avg_name)]
+    aggs = [F.avg(target_col).alias(avg_name)]
     if count_name:
         aggs.append(F.count(F.lit(1)).alias(count_name))
     return binned.groupBy(bin_name).agg(*aggs)

@@ -46,14 +46,6 @@ def keep_in(df: DataFrame, col: str, values: Sequence, negate: bool = False) ->
     return df.filter(~cond if negate else cond)
 
 
-def keep_where(df: DataFrame, *conds) -> DataFrame:
-    """conjunction of predicates given as Columns or SQL strings."""
-    out = df
-    for c in conds:
-        out = out.filter(F.expr(c) if isinstance(c, str) else c)
-    return out
-
-
 def not_blank(c) -> Column:
     """F1 for extracted text: not NULL and not the empty string."""
     c = as_col(c)

@@ -145,7 +145,7 @@ def _persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _stable(df: DataFrame) -> DataFrame:
+def stable(df: DataFrame) -> DataFrame:
     """An iteration input: written once to a reliable checkpoint (so a lost
     executor never recomputes the upstream fact join) and cached on top of it
     (so rounds read memory, not files)."""
@@ -177,28 +177,26 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
     reaches a target, and every path of that length is returned.  Paths are
     vertex sequences over distinct edges; ``edge_paths`` is the product of the
     parallel-edge counts along the path (how many edge-level paths it stands
-    for), so parallel trips are counted without being enumerated.
+    for; a double, as it grows with the power of the length).
 
     Two phases, both plain joins:
-    1. forward, level-synchronous: only ``(origin, vertex)`` pairs are carried;
-       a pair reached at an earlier level is dropped (anti-join), so the state
-       is bounded by the reachable pairs, never by the number of paths;
-    2. backward from the hit targets: a path is extended by an edge ``u -> head``
-       only if ``u`` is at distance ``k`` from the path's origin -- i.e. along the
-       shortest-path DAG, so only paths that end in the output are built.
+    1. forward, level-synchronous from all sources at once: the state is one row
+       per vertex, its distance from the *set* of sources.  Only paths of the
+       globally shortest length are wanted, and the vertex at place k of such a
+       path has distance exactly k, so origins need not be carried;
+    2. backward from the hit targets over edges whose tail is at level k - 1;
+       level 0 names the origin.  Only paths that end in the output are built.
     Output: ``origin, target, hops, path`` (``"a->b->c"``), ``edge_paths``.
     """
     n = num_partitions
     pred = lambda e: F.expr(e) if isinstance(e, str) else e
-    folded = _stable(_spread(graph.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m")), n, "src", "dst"))
+    folded = stable(_spread(graph.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("m")), n, "src"))
     # vertex sets are evaluated once (the vertex frame may itself be derived
     # from a large fact join) and reused by every level
-    targets = _stable(graph.vertices.filter(pred(to_expr)).select(F.col("id").alias("__t")))
-    sources = _stable(graph.vertices.filter(pred(from_expr)).select(F.col("id").alias("origin")))
-
-    level = _persist(sources.select("origin", F.col("origin").alias("vid")))
-    levels = [level]                 # levels[k]: (origin, vid) first reached at depth k
-    visited = level
+    targets = stable(graph.vertices.filter(pred(to_expr)).select(F.col("id").alias("__t")))
+    level = stable(graph.vertices.filter(pred(from_expr)).select(F.col("id").alias("vid")))
+    levels = [level]                 # levels[k]: vertices first reached at depth k
+    visited, parts = level, [level]  # `parts` are the frames of `visited` that are still held
     hit_level, hits = None, None
     depth = 0
     while True:
@@ -209,39 +207,36 @@ def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_l
         if depth >= max_path_length or level.isEmpty():
             break
         depth += 1
-        nxt = (level.join(folded, level["vid"] == folded["src"])
-               .select("origin", F.col("dst").alias("vid")).distinct()
-               .join(visited, ["origin", "vid"], "left_anti"))
+        nxt = (level.join(folded, level["vid"] == folded["src"]).select(F.col("dst").alias("vid")).distinct()
+               .join(visited, "vid", "left_anti"))
         cut = depth % checkpoint_every == 0
         level = _checkpoint(nxt) if cut else _persist(nxt)
         levels.append(level)
         visited = visited.unionByName(level)
         if cut:
-            visited = _checkpoint(_spread(visited, n, "origin", "vid"))
+            visited = _checkpoint(_spread(visited, n, "vid"))
 
     if hits is None:
-        paths = levels[0].limit(0).select("origin", F.col("vid").alias("target"),
-                                          F.array(F.col("vid")).alias("path"),
-                                          F.lit(1).cast("long").alias("edge_paths"))
+        paths = levels[0].limit(0).select(F.col("vid").alias("head"), F.col("vid").alias("target"),
+                                          F.array(F.col("vid")).alias("path"), F.lit(1.0).alias("edge_paths"))
     else:
-        paths = hits.select("origin", F.col("vid").alias("target"), F.col("vid").alias("head"),
-                            F.array(F.col("vid")).alias("path"), F.lit(1).cast("long").alias("edge_paths"))
+        paths = hits.select(F.col("vid").alias("head"), F.col("vid").alias("target"),
+                            F.array(F.col("vid")).alias("path"), F.lit(1.0).alias("edge_paths"))
         for k in range(hit_level - 1, -1, -1):
-            at_k = levels[k].select(F.col("origin").alias("__o"), F.col("vid").alias("__v"))
-            step = paths.join(folded, paths["head"] == folded["dst"])
-            step = step.join(at_k, (step["origin"] == at_k["__o"]) & (step["src"] == at_k["__v"]), "left_semi")
-            paths = step.select("origin", "target", F.col("src").alias("head"),
+            at_k = levels[k].select(F.col("vid").alias("__v"))
+            step = (paths.join(folded, paths["head"] == folded["dst"])
+                    .join(at_k, F.col("src") == F.col("__v"), "left_semi"))
+            paths = step.select(F.col("src").alias("head"), "target",
                                 F.concat(F.array(F.col("src")), F.col("path")).alias("path"),
                                 (F.col("edge_paths") * F.col("m")).alias("edge_paths"))
             if (hit_level - k) % checkpoint_every == 0:
                 paths = _checkpoint(paths)
-        paths = paths.drop("head")
     # materialise the answer once, then release every cached intermediate
     result = _checkpoint(paths)
-    for cached in (folded, targets, sources, visited, *levels):
+    for cached in (folded, targets, visited, *levels):
         cached.unpersist()
     return result.select(
-        "origin", "target", F.lit(hit_level if hit_level is not None else 0).alias("hops"),
+        F.col("head").alias("origin"), "target", F.lit(hit_level if hit_level is not None else 0).alias("hops"),
         F.concat_ws("->", F.transform("path", lambda x: x.cast("string"))).alias("path"), "edge_paths")
 
 
@@ -251,25 +246,31 @@ def hop_distance(graph: Graph, landmarks: Sequence, max_hops: int | None = None,
 
     Reverse breadth-first levels from the landmarks (GraphX ``ShortestPaths``
     semantics); a landmark is 0 hops from itself; unreachable pairs give no row.
+    The reached pairs are written to one frame every ``checkpoint_every`` levels,
+    so the plan of a level and the frames held do not grow with the depth.
     Output ``id, landmark, distance``.
     """
-    rev = _stable(graph.edges.select(F.col("dst").alias("__to"), F.col("src").alias("__from")).distinct())
-    lm = _stable(graph.vertices.filter(F.col("id").isin(list(landmarks))).select(
-        F.col("id"), F.col("id").alias("landmark")))
-    levels = [lm]          # levels[d]: (id, landmark) first reached at distance d
-    visited = lm           # union of the level frames (each cached / checkpointed)
-    frontier = lm
+    rev = stable(graph.edges.select(F.col("dst").alias("__to"), F.col("src").alias("__from")).distinct())
+    reached = stable(graph.vertices.filter(F.col("id").isin(list(landmarks))).select(
+        F.col("id"), F.col("id").alias("landmark"), F.lit(0).alias("distance")))
+    frontier, held = reached, []
     d = 0
     while not frontier.isEmpty() and (max_hops is None or d < max_hops):
         d += 1
         nxt = (frontier.join(rev, frontier["id"] == rev["__to"])
                .select(F.col("__from").alias("id"), "landmark").distinct()
-               .join(visited, ["id", "landmark"], "left_anti"))
-        frontier = _checkpoint(nxt) if d % checkpoint_every == 0 else _persist(nxt)
-        levels.append(frontier)
-        visited = visited.unionByName(frontier)
-    result = _checkpoint(union_all_frames([lv.withColumn("distance", F.lit(i)) for i, lv in enumerate(levels)]))
-    for cached in (rev, *levels):
+               .join(reached.select("id", "landmark"), ["id", "landmark"], "left_anti").withColumn("distance", F.lit(d)))
+        frontier = _persist(nxt)
+        held.append(frontier)
+        reached = reached.unionByName(frontier)
+        if d % checkpoint_every == 0:
+            reached = _checkpoint(reached)
+            frontier = stable(reached.filter(F.col("distance") == d))
+            for old in held:
+                old.unpersist()
+            held = [frontier]
+    result = _checkpoint(reached)
+    for cached in (rev, *held):
         cached.unpersist()
     return result
 
@@ -310,7 +311,7 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
     else:
         raise ValueError(f"unknown mode {mode!r}")
     out_w = folded.groupBy("src").agg(F.sum("w").alias("__out"))
-    verts = _stable(graph.vertices.select("id").distinct())
+    verts = stable(graph.vertices.select("id").distinct())
     # One zero-probability self row per vertex: every vertex then receives a
     # row in the per-destination sum (no outer join with the vertex set per
     # round), and that row carries the vertex's previous rank for the
@@ -319,7 +320,8 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
              .select("src", "dst", (F.col("w") / F.col("__out")).alias("p"), F.lit(False).alias("is_self"))
              .unionByName(verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("p"),
                                        F.lit(True).alias("is_self"))))
-    trans = _stable(_spread(trans, n, "src", "dst"))
+    # Partitioned by the join key of a round: only ranks and contributions move, not the edge table.
+    trans = stable(_spread(trans, n or max(1, int(trans.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "src"))
     ranks = verts.select("id", F.lit(1.0).alias("rank"))
     held = None            # the materialised frame behind `ranks`, released when superseded
     checkpointed = False   # is `ranks` read straight from a reliable checkpoint?

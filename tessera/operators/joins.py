@@ -15,11 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Equi-join with ``USING`` semantics (the key appears once)."""
-    return fact.join(dim, on=on, how=how)
-
-
 def enrich_endpoints(edges: DataFrame, vertices: DataFrame, id_col: str = "id",
                      src: str = "src", dst: str = "dst", attrs: Sequence[str] | None = None,
                      how: str = "left") -> DataFrame:

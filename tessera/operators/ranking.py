@@ -41,12 +41,6 @@ def top_k(df: DataFrame, k: int, order: Sequence, tie_break: Sequence[str] = ())
     return df.orderBy(*specs).limit(k)
 
 
-def with_value_list_position(df: DataFrame, col: str, values: Sequence[str],
-                             name: str = "position") -> DataFrame:
-    """Add the 1-based position of ``col`` in an explicit value list (0 if absent)."""
-    return df.withColumn(name, position_in(col, values))
-
-
 def sort_by_value_list(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
     """Order rows by an explicit value list (absent values first, like the reference)."""
     return df.orderBy(position_in(col, values).asc_nulls_last(), F.col(col))

@@ -30,8 +30,8 @@ def distinct_raters(ratings: DataFrame, user: str = "userId", approx: bool = Fal
 
 
 def with_epoch_date(ratings: DataFrame, epoch_col: str = "timestamp", name: str = "date") -> DataFrame:
-    """Epoch seconds -> DATE column."""
-    return ratings.withColumn(name, epoch_to_date(epoch_col))
+    """Epoch seconds -> DATE column, in date order."""
+    return ratings.withColumn(name, epoch_to_date(epoch_col)).orderBy(name, epoch_col)
 
 
 def category_distribution(ratings: DataFrame, rating, count_name: str = "count",

@@ -45,7 +45,8 @@ def tweets(t: Tables) -> DataFrame:
         F.col("value").cast("string").alias("longitude"),
         F.col("user_id").cast("string").alias("latitude"),
         F.date_format("ts", TWEET_TS_FORMAT).alias("timestamp"),
-        (F.col("user_id") % 5).cast("string").alias("timezone"),
+        # some rows lack a usable zone, as real ones do
+        F.when(F.col("event_id") % 53 == 0, F.lit("n/a")).otherwise((F.col("user_id") % 5).cast("string")).alias("timezone"),
     )
 
 
@@ -73,9 +74,10 @@ def trips(t: Tables) -> DataFrame:
     oc = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_nationkey", "c_mktsegment")
     j = li.join(oc, li.l_orderkey == oc.o_orderkey).join(s, F.col("l_suppkey") == s.s_suppkey)
     return j.select(
-        F.col("c_nationkey").alias("pickup_area"),
-        F.col("s_nationkey").alias("dropoff_area"),
-        F.col("c_mktsegment").alias("pickup_label"),
+        # some trips lack an area or a label, as real ones do
+        F.when(F.col("l_orderkey") % 31 != 0, F.col("c_nationkey")).alias("pickup_area"),
+        F.when(F.col("l_orderkey") % 37 != 0, F.col("s_nationkey")).alias("dropoff_area"),
+        F.when(F.col("l_orderkey") % 3 != 0, F.col("c_mktsegment")).alias("pickup_label"),
         F.col("s_name").alias("dropoff_label"),
         F.col("l_quantity").alias("trip_miles"),
         (F.col("l_linenumber") * F.lit(60)).alias("trip_seconds"),
@@ -87,7 +89,8 @@ def basket_edges(t: Tables) -> DataFrame:
     """A sparse, deep graph over parts: each order line points to the next line's part.
 
     An equi-join of lineitem with itself on ``(order, line number + 1)`` --
-    one edge per consecutive line pair, never all pairs of an order.
+    one edge per consecutive line pair, never all pairs of an order.  (A window's
+    ``lead`` would not do: line numbers repeat within some orders.)
     """
     a = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("src"))
     b = t.lineitem.select(F.col("l_orderkey").alias("o2"), F.col("l_linenumber").alias("n2"),
@@ -101,9 +104,10 @@ def fare_trips(t: Tables) -> DataFrame:
     e = t.events
     return e.select(
         F.date_format("ts", TRIP_TS_FORMAT).alias("Trip Start Timestamp"),
-        F.col("value").cast("string").alias("Fare"),
+        # junk and gaps, as in real fare files
+        F.when(F.col("event_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("Fare"),
         F.get_json_object("props", "$.k").alias("Trip Miles"),
-        (F.col("user_id") * F.lit(60)).cast("string").alias("Trip Seconds"),
+        F.when(F.col("event_id") % 89 != 0, (F.col("user_id") * F.lit(60)).cast("string")).alias("Trip Seconds"),
     )
 
 

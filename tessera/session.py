@@ -51,19 +51,16 @@ def build_session(master: str | None = None, app_name: str = "tessera",
     return spark
 
 
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
-               max_shuffle_partitions: int = 32768) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input on ``total_cores`` cores.
 
     Scan splits and shuffle partitions are sized to ~``target_partition_bytes``
     so each task's share fits executor memory without spilling at any scale;
     the initial shuffle partition count is an upper bound that AQE coalesces
-    down at run time (and splits further for skewed joins).  It is capped
-    (map x reduce shuffle blocks grow quadratically); shuffles are much smaller
-    than the input after pruning and partial aggregation.  E.g. 100 TB on
-    4,000 cores: ~400k scan splits and 32,768 initial shuffle partitions.
+    down at run time (and splits further for skewed joins).  E.g. 100 TB on
+    4,000 cores: ~400k scan splits and as many initial shuffle partitions.
     """
-    partitions = min(max(3 * total_cores, input_bytes // target_partition_bytes), max_shuffle_partitions)
+    partitions = max(3 * total_cores, input_bytes // target_partition_bytes)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(int(partitions)),
@@ -120,9 +117,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "scale_conf", "ensure_utc", "checkpoint_root", "scratch_path", "local_path"]
+__all__ = ["build_session", "scale_conf", "ensure_utc", "checkpoint_root", "scratch_path"]

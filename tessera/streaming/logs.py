@@ -31,6 +31,7 @@ class StreamSpec:
     frame: DataFrame
     mode: str
     keys: tuple = ()
+    order: tuple = ()
 
 
 def parse_stream(lines: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -67,7 +68,7 @@ def sliding_datanode_counts(lines: DataFrame, duration: str = "60 seconds", slid
 
 def host_bytes(lines: DataFrame) -> StreamSpec:
     """W6 + Z7: running total bytes per host, sorted, complete mode."""
-    return StreamSpec(L.host_bytes(lines), "complete", ("hostname",))
+    return StreamSpec(L.host_bytes(lines), "complete", ("hostname",), (F.col("total_bytes").desc_nulls_last(), F.col("hostname").asc_nulls_first()))
 
 
 def windowed_host_bytes(lines: DataFrame, duration: str = "1 hour", watermark: str = "5 seconds") -> StreamSpec:
@@ -81,7 +82,7 @@ def windowed_host_bytes(lines: DataFrame, duration: str = "1 hour", watermark: s
 
 def host_block_operations(lines: DataFrame) -> StreamSpec:
     """W7 + Z7: INFO block operations per host, sorted, complete mode."""
-    return StreamSpec(L.host_block_operations(lines), "complete", ("hostname",))
+    return StreamSpec(L.host_block_operations(lines), "complete", ("hostname",), (F.desc("block_operations"), F.asc("hostname")))
 
 
 def level_window_counts(lines: DataFrame, level: str = "ERROR", duration: str = "1 hour",
@@ -98,14 +99,14 @@ def level_window_counts(lines: DataFrame, level: str = "ERROR", duration: str =
 def keyed_running_sum(stream: DataFrame, key: str, value: str, name: str = "total") -> StreamSpec:
     """W6 (generic): running sum of ``value`` per ``key``, largest first, complete mode."""
     agg = stream.groupBy(key).agg(F.sum(value).alias(name)).orderBy(F.col(name).desc_nulls_last(), key)
-    return StreamSpec(agg, "complete", (key,))
+    return StreamSpec(agg, "complete", (key,), (F.col(name).desc_nulls_last(), F.asc(key)))
 
 
 def keyed_running_count(stream: DataFrame, key: str, condition, name: str = "count") -> StreamSpec:
     """W7 (generic): running count of rows matching ``condition`` per ``key``, complete mode."""
     cond = F.expr(condition) if isinstance(condition, str) else condition
     agg = stream.filter(cond).groupBy(key).agg(F.count(F.lit(1)).alias(name)).orderBy(F.col(name).desc(), key)
-    return StreamSpec(agg, "complete", (key,))
+    return StreamSpec(agg, "complete", (key,), (F.desc(name), F.asc(key)))
 
 
 def window_counts_stream(stream: DataFrame, ts: str, duration: str, watermark: str | None = "5 seconds",

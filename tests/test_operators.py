@@ -122,7 +122,7 @@ def test_scale_conf_sizes_partitions():
     from tessera.session import scale_conf
     big = scale_conf(100 * 2**40, 4000)
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
-    assert int(big["spark.sql.shuffle.partitions"]) == 32768          # capped
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600         # 256 MB each
     small = scale_conf(10 << 30, 64)
     assert int(small["spark.sql.shuffle.partitions"]) == 3 * 64        # at least 3 tasks per core
 
