@@ -104,3 +104,16 @@ def test_hop_distance_several_landmarks_and_weighted_pagerank(spark):
     scale = 3 / sum(r.values())
     for k in r:
         assert got[k] == pytest.approx(r[k] * scale, abs=1e-9)
+
+
+def test_bfs_multiplicity_does_not_overflow(spark):
+    edges = spark.range(20_000).selectExpr("explode(array(0, 1, 2, 3, 4)) AS src").selectExpr("src", "src + 1 AS dst")
+    graph = G.Graph(spark.range(6).selectExpr("CAST(id AS INT) AS id"), edges)
+    row = G.bfs(graph, "id = 0", "id = 5", 10).first()
+    assert (row["path"], row["hops"], row["edge_paths"]) == ("0->1->2->3->4->5", 5, 20_000.0 ** 5)
+
+
+def test_hop_distance_has_no_depth_limit(spark):
+    edges = spark.range(30).selectExpr("id AS src", "id + 1 AS dst")
+    got = {r["id"]: r["distance"] for r in G.hop_distance(G.Graph(spark.range(31), edges), [30]).collect()}
+    assert got == {i: 30 - i for i in range(31)}

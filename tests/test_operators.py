@@ -5,6 +5,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tessera.operators.aggregates import dedup_by_key
+
 from tessera.operators import aggregates as A
 from tessera.operators import ranking as Z
 from tessera.operators.joins import enrich_endpoints
@@ -131,3 +133,16 @@ def test_compare_with_approx_median(spark):
     df = spark.createDataFrame([(i,) for i in range(1, 102)], "v long")
     got = A.compare_with_global(df, "v", "median", ">", stat_name="med")
     assert got.count() == 50 and got.first()["med"] == 51
+
+
+def test_dedup_by_key_prefers_values_to_nulls(spark):
+    rows = spark.createDataFrame([(8, None, 1), (8, "t0", 2), (9, None, 3), (7, "b", None), (7, "a", 5)], "id int, label string, n int")
+    got = {r["id"]: (r["label"], r["n"]) for r in dedup_by_key(rows, "id", ["label"]).collect()}
+    assert got == {8: ("t0", 2), 9: (None, 3), 7: ("a", 5)}
+
+
+def test_averages_are_plain_averages(spark):
+    from tessera.plans import trips as P
+    rows = spark.createDataFrame([(0.004, 1), (0.004, 1), (1.0, 2), (3.0, 2), (float("nan"), 2), (1.0, 3), (2.0005, 3)], "fare double, hour_of_day int")
+    got = {r["hour_of_day"]: r["avg_fare"] for r in P.avg_fare_by(rows, "hour_of_day").collect()}
+    assert got[1] == 0.004 and got[2] != got[2] and abs(got[3] - 1.50025) < 1e-12

@@ -4,10 +4,12 @@ import datetime as dt
 import os
 import time
 
+import pytest
+
 from tessera.plans import logs as L
 from tessera.streaming import logs as SL
-from tessera.streaming.sinks import progress_frame, run_stream
-from tessera.streaming.sources import line_stream
+from tessera.streaming.sinks import progress_frame, run_stream, start_stream
+from tessera.streaming.sources import line_stream, table_stream
 
 
 def _line(ts: str, comp: str = "dfs.DataNode", level: str = "INFO", msg: str = "op") -> str:
@@ -119,3 +121,96 @@ def test_restart_resumes_from_checkpoint(spark, tmp_dir):
     second = run_stream(spec.frame, spec.mode, "restart", spec.keys, out=out)
     assert {tuple(r) for r in second.result().collect()} == {("10.0.0.1", 4), ("10.0.0.2", 2)}
     assert sum(p["numInputRows"] for p in second.progress) == 3          # a.log is not re-read
+
+
+def test_complete_snapshot_of_a_batch_without_rows_is_empty(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    now = int(time.time())
+    _write(src, "a.log", [_line("081109 203615", level="ERROR")] * 2 + [_line("081109 213615", level="ERROR")], now - 200)
+    _write(src, "b.log", [_line("081109 213616", level="ERROR")], now - 100)  # both hours equal: none above the mean
+    spec = SL.level_window_counts(line_stream(spark, src, max_files_per_trigger=1), "ERROR", "1 hour")
+    run = run_stream(spec.frame, spec.mode, "flag2", spec.keys, batch_transform=lambda b: L.busy_windows(b, "event_count"))
+    assert run.result().collect() == []
+    assert "window_start" in run.result().columns
+
+
+def test_timeout_raises_and_the_query_can_resume(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    for i in range(12):
+        _write(src, f"{i:03d}.log", [_line("081109 203615")] * 5, int(time.time()) - 500 + i)
+    out = os.path.join(tmp_dir, "out")
+    spec = SL.tumbling_counts(line_stream(spark, src, max_files_per_trigger=1))
+    with pytest.raises(TimeoutError):
+        run_stream(spec.frame, spec.mode, "slow", spec.keys, timeout_s=0.5, out=out)
+    spec = SL.tumbling_counts(line_stream(spark, src, max_files_per_trigger=1))
+    assert [r["event_count"] for r in run_stream(spec.frame, spec.mode, "slow", spec.keys, out=out).result().collect()] == [60]
+
+
+def test_progress_has_every_batch_and_updates_are_compacted(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    n = 105
+    for i in range(n):
+        _write(src, f"{i:03d}.log", [_line(f"081109 2036{i % 60:02d}")], int(time.time()) - 2000 + i)
+    lines = line_stream(spark, src, max_files_per_trigger=1)
+    run = run_stream(lines.select("value"), "append", "many")
+    reports = progress_frame(spark, run).collect()
+    assert sum(r["num_input_rows"] for r in reports) == n == run.result().count() and len(reports) >= n
+    # Update mode over more batches than a compaction takes: the newest row per key, bounded folders.
+    few = os.path.join(tmp_dir, "few")
+    os.makedirs(few)
+    for i in range(24):
+        _write(few, f"{i:03d}.log", [_line(f"081109 2036{i % 4}0")], int(time.time()) - 2000 + i)
+    spec = SL.tumbling_counts(line_stream(spark, few, max_files_per_trigger=1), watermark=None, mode="update")
+    run = run_stream(spec.frame, spec.mode, "upd", spec.keys)
+    assert sorted(r["event_count"] for r in run.result().collect()) == [6, 6, 6, 6]
+    assert len([d for d in os.listdir(f"{run.path.removeprefix('file:')}/log") if d.startswith("_slot")]) <= 20
+    run.delete()
+    assert not os.path.exists(run.path.removeprefix("file:"))
+
+
+def test_table_stream_reads_a_file_or_a_folder(spark, tmp_dir):
+    rows = spark.range(50).withColumnRenamed("id", "n")
+    rows.repartition(3).write.parquet(f"{tmp_dir}/many.parquet")
+    rows.coalesce(1).write.parquet(f"{tmp_dir}/tmp")
+    part = [f for f in os.listdir(f"{tmp_dir}/tmp") if f.startswith("part-")][0]
+    os.rename(f"{tmp_dir}/tmp/{part}", f"{tmp_dir}/one.parquet")
+    for table in ("many", "one"):
+        run = run_stream(table_stream(spark, tmp_dir, table, max_files_per_trigger=1), "append", table)
+        assert sorted(r["n"] for r in run.result().collect()) == list(range(50))
+
+
+def test_long_running_query_is_read_while_it_runs(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    _write(src, "a.log", [_line("081109 203615")], int(time.time()) - 100)
+    spec = SL.tumbling_counts(line_stream(spark, src))
+    run = start_stream(spec.frame, spec.mode, "live", spec.keys, trigger={"processingTime": "1 second"})
+    try:
+        run.query.processAllAvailable()
+        assert [r["event_count"] for r in run.result().collect()] == [1]
+        _write(src, "b.log", [_line("081109 203616")] * 2, int(time.time()) - 10)
+        run.query.processAllAvailable()
+        assert [r["event_count"] for r in run.result().collect()] == [3] and run.query.isActive
+    finally:
+        run.stop()
+
+
+def test_complete_results_keep_their_order(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    line = "081109 203518 143 INFO dfs.DataNode$DataXceiver: Receiving block blk_-{i} src: /10.0.0.{h}:5 dest: x"
+    _write(src, "a.log", [line.format(i=i, h=h) for h in range(1, 9) for i in range((h * 3) % 8 + 1)], int(time.time()) - 200)
+    spec = SL.host_block_operations(line_stream(spark, src))
+    counts = [r["block_operations"] for r in run_stream(spec.frame, spec.mode, "order", spec.keys, order=spec.order).result().collect()]
+    assert counts == sorted(counts, reverse=True) and len(counts) == 8
+
+
+def test_json_lines_with_a_declared_schema(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    _write(src, "a.json", ['{"value": "x", "n": 1}'], int(time.time()) - 100)
+    run = run_stream(line_stream(spark, src, fmt="json", schema="value string, n int"), "append", "json")
+    assert [(r["value"], r["n"]) for r in run.result().collect()] == [("x", 1)]
