@@ -108,4 +108,4 @@ def test_cli_list(capsys):
     from tessera.__main__ import main
     assert main(["list"]) == 0
     listed = capsys.readouterr().out.split("\n")
-    assert "time_of_day_distribution" in listed and "stream_progress  (no SQL oracle)" in listed
+    assert "time_of_day_distribution" in listed and "stream_progress" in listed
