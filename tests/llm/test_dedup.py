@@ -13,7 +13,7 @@ from tessera.llm import simhash, substring_doubling, suffix_dedup
 from tessera.llm.runlength_index import RunLengthIndex, suffix_array
 from tessera.llm.segments import RangeHash, merge_spans, sliding_min
 
-from conftest import odd_rows
+from odd_data import odd_rows
 
 
 def ordered(spark, docs):

@@ -12,7 +12,7 @@ from tessera.llm import bpe, pu_quality, queries, toxicity
 from tessera.llm.transducer import Transducer, compile_words
 from tessera.sources.tables import read_table
 
-from conftest import odd_rows, syllables
+from odd_data import odd_rows, syllables
 
 
 def auc(labels, scores):

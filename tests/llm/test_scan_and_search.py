@@ -10,7 +10,7 @@ import pytest
 from tessera.llm import decontaminate, license_scan, topk_inner
 from tessera.llm.shard_packing import pack_shards, place
 
-from conftest import odd_rows, syllables
+from odd_data import odd_rows, syllables
 
 
 def rows_of(frame):
