@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontaminate, simhash, suffix_dedup, toxicity
-from tessera.llm.common import NULL_ID, staged
+from tessera.llm.common import NULL_ID, small_batches, staged
 from tessera.llm.queries import tokenizer_path
 from tessera.sources.tables import read_table
 
@@ -37,12 +37,14 @@ def _boxed(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = toxicity.train(spark, docs.select("doc_id", "text"), read_table(spark, sf_dir, "labels"), toxicity.training_fold)
     scored = toxicity.with_scores(spark, _boxed(docs).select("row", "text"), model)
     return scored.filter("toxicity < 0.5").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = simhash.near_duplicates(spark, docs)
     # A document without an id stays only where no other is in its component.
     stays = (found.groupBy("root").agg(F.min(F.struct(F.col("k") == NULL_ID, "k", "x")).alias("first"))
@@ -53,6 +55,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     kept = suffix_dedup.dedup_bytes(spark, docs, whole_characters=True, with_rest=True)
     text = F.col("kept").cast("string")
     own = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": text}
@@ -62,12 +65,14 @@ def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = decontaminate.find_passages(spark, _boxed(docs).select("row", "text"), read_table(spark, sf_dir, "benchmark"),
                                         keep=("row",))
     return decontaminate.judged(found).filter(~F.col("contaminated")).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return bpe.digests(bpe.encode(spark, docs, tokenizer_path()), "ids")
 
 

@@ -36,8 +36,8 @@ from tessera.llm.transducer import Transducer, compile_words
 LEXICON_WORDS = 1 << 17
 # Fixed value: the pre-tokenizer's pattern, as the vocabulary's file names it (byte level, use_regex).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_COUNT_FLUSH = 300_000
-_MEMO_WORDS = 800_000
+_COUNT_FLUSH = 200_000
+_MEMO_WORDS = 250_000
 _SLICE_ROWS = 1000
 # White space before a space, where cutting at the space would not be exact.
 _SPACES = tuple(c + " " for c in map(chr, range(0x3001)) if c.isspace() or regex.match(r"\s", c))
@@ -48,7 +48,7 @@ _NO_MERGE = 1 << 2 * _SHIFT + 1
 _CLOSING = frozenset(".,;:!?")
 _LONG_TOKEN = 64
 _MERGE_ROWS = 4096
-_GROUP_CHARS = 4_000_000
+_GROUP_CHARS = 1_500_000
 
 
 def byte_alphabet() -> list[str]:

@@ -1,8 +1,7 @@
-"""Shared helpers of the training-data operators: document keys, folds, staged tables, Arrow rows."""
+"""Shared helpers of the training-data operators: document keys, folds, staged tables, Arrow batches."""
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +10,17 @@ from tessera.session import scratch_path
 NULL_ID = -(1 << 63)
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
+ROWS_PER_FILE = 1_000_000
+
+
+def staged(spark: SparkSession, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    Where the caller knows that ``df`` has at most ``rows`` short rows, they go to a file per
+    million instead of one per task.
+    """
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(1 + rows // ROWS_PER_FILE)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -36,16 +42,9 @@ def fold(id_col: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
-def byte_views(column: pa.Array) -> list[bytes]:
-    """The cells of a string or binary Arrow column as bytes (NULL as empty)."""
-    binary = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
-    if not (pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)):
-        column = column.cast(binary)
-    return [v if v is not None else b"" for v in column.to_pylist()]
-
-
-def input_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of whole documents: a thousand rows of a few kilobytes, not Spark's ten thousand."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
-__all__ = ["NULL_ID", "staged", "keyed_texts", "fold", "byte_views", "input_partitions"]
+__all__ = ["NULL_ID", "staged", "keyed_texts", "fold", "small_batches"]

@@ -22,19 +22,19 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     return out.filter(F.col("u") != F.col("v")).distinct()
 
 
-def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
+def connected_components(spark: SparkSession, edges: DataFrame, rows: int | None = None) -> DataFrame:
     """``node, root`` for every node of ``edges (u long, v long)``; the root is the component's smallest node.
 
     Each round is written to the shared folder, so the plan stays flat and a lost
-    executor costs one round at most.
+    executor costs one round at most.  ``rows`` bounds the number of edges, if it is known.
     """
     def mark(frame: DataFrame) -> tuple:
         return tuple(frame.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
-    current = staged(spark, edges.select("u", "v").filter("u <> v").distinct(), "components")
+    current = staged(spark, edges.select("u", "v").filter("u <> v").distinct(), "components", rows)
     before = mark(current)
     while before[0]:
-        current = staged(spark, _star(_star(current, True), False), "components")
+        current = staged(spark, _star(_star(current, True), False), "components", 2 * before[0])
         now = mark(current)
         if now == before:
             break

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontaminate, license_scan, pu_quality, substring_doubling, suffix_dedup, topk_inner, toxicity
 from tessera.llm.bpe import digests, encode
+from tessera.llm.common import small_batches
 from tessera.llm.shard_packing import pack_shards
 from tessera.llm.simhash import near_duplicates
 from tessera.sources.tables import read_table
@@ -68,7 +71,15 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode(spark, read_table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
-QUERIES = {
+def _in_small_batches(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {name: _in_small_batches(query) for name, query in {
     "op1_run_length_suffix_dedup": op1_run_length_suffix_dedup,
     "op3_positive_unlabelled_quality": op3_positive_unlabelled_quality,
     "op4_segment_popcount_simhash": op4_segment_popcount_simhash,
@@ -79,7 +90,7 @@ QUERIES = {
     "op9_norm_sorted_top_k": op9_norm_sorted_top_k,
     "op10_transducer_bpe": op10_transducer_bpe,
     "op2_vector_bin_packing": op2_vector_bin_packing,
-}
+}.items()}
 
 ORACLE_SQL: dict[str, str] = {
     "op8_license_dice": license_scan.oracle_sql(),

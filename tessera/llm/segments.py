@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import keyed_texts
 
-BUFFER_BYTES = 2 << 20
+BUFFER_BYTES = 1 << 20
 _PLACE_BITS = 22  # units of a chunk are numbered within one order key
 _MAX_UNITS = 1 << 21
 _SLICE_ROWS = 256

@@ -197,11 +197,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE
                     cell_rows: int = CELL_ROWS) -> DataFrame:
     """``doc_id, fingerprint, component_id, k, x, root`` per document (``root``: the component's smallest fingerprint)."""
     prints = staged(spark, fingerprints(docs, shingle), "simhash-prints")
-    first = staged(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-first")
+    n = prints.count()
+    first = staged(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-first", n)
     nodes = connected_components(spark, near_links(spark, first, max_bits, cell_rows=cell_rows))
     roots = first.join(nodes, first.fp == nodes.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = staged(spark, roots.join(least, "root").select("fp", "root", "component_id"), "simhash-named")
+    named = staged(spark, roots.join(least, "root").select("fp", "root", "component_id"), "simhash-named", n)
     # Both sides come from a shuffle of their own, so a fingerprint with a third of the documents can be split.
     return prints.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "k", "x", "root")

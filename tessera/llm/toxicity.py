@@ -272,7 +272,7 @@ def _document_counts(sample: DataFrame, make: Callable[[], Decoder], wanted=None
                 terms = {t for w in set(words_of(decoder, text)) for t in terms_of(w)}
                 counts.update(terms if only is None else terms & only)
                 docs += 1
-            if len(counts) > 500_000:
+            if len(counts) > 200_000:
                 yield flush()
                 docs = 0
         yield flush()
@@ -320,7 +320,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, training: Cal
     shared = spark.sparkContext.broadcast(costs)
     make = lambda: Decoder(shared.value)
     # Copies of a text teach once.
-    toxic = staged(spark, labelled_sample(docs, labels, label, training, True, max_toxic).distinct(), "toxic-rows")
+    toxic = staged(spark, labelled_sample(docs, labels, label, training, True, max_toxic).distinct().coalesce(16), "toxic-rows")
     clean = labelled_sample(docs, labels, label, training, False, max_clean)
 
     found = _document_counts(toxic, make)
