@@ -3,13 +3,9 @@
 Two passes over the texts.  The first counts the space-led words of all documents and
 keeps those that make up at least ``1 / lexicon_words`` of them (the only thing the driver
 collects: a bounded list).  They are encoded once and compiled into a minimal acyclic transducer whose
-outputs are their token ids; tasks memory-map it.  The second pass cuts each text into
-space-led words, looks each up in the transducer, and merges words that it does not hold
-by the vocabulary's merge ranks, exactly.
-
-Splitting at a space is exact where the character before it is no white space: the
-pre-tokenizer's pattern never matches across such a place.  Texts with white space
-before a space are cut by the full pattern instead.
+outputs are their token ids; tasks memory-map it.  The second pass cuts each text by the
+vocabulary's pattern, looks each new word of a group of texts up in the transducer, and merges
+the words that it does not hold by the vocabulary's merge ranks, exactly and in one batch.
 
 Defined cases: NULL text counts as empty (no ids, empty decoded text); the special
 token's text inside a document becomes its id; repeated rows give repeated results; an
@@ -37,15 +33,11 @@ LEXICON_WORDS = 1 << 17
 # Fixed value: the pre-tokenizer's pattern, as the vocabulary's file names it (byte level, use_regex).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _COUNT_FLUSH = 200_000
-_MEMO_WORDS = 250_000
+_MEMO_TOKENS = 400_000
 _SLICE_ROWS = 1000
-# White space before a space, where cutting at the space would not be exact.
-_SPACES = tuple(c + " " for c in map(chr, range(0x3001)) if c.isspace() or regex.match(r"\s", c))
-_ASCII_SPACES = tuple(p for p in _SPACES if p.isascii())
 _SHIFT = 20
 _MASK = (1 << _SHIFT) - 1
 _NO_MERGE = 1 << 2 * _SHIFT + 1
-_CLOSING = frozenset(".,;:!?")
 _LONG_TOKEN = 64
 _MERGE_ROWS = 4096
 _GROUP_CHARS = 1_500_000
@@ -164,7 +156,7 @@ class Encoder:
         self.specials = regex.compile("|".join(map(regex.escape, vocabulary.special)) or r"(?!)")
         self._table = MergeTable(vocabulary.merges)
         self._byte_ids = np.array(vocabulary.byte_ids, dtype=np.int64)
-        self._words: dict[str, bytes] = {}
+        self._tokens: dict[str, bytes] = {}
 
     def merge(self, tokens: list[str]) -> list[bytes]:
         """Ids (little-endian unsigned 32 bit) of pre-tokens, merged exactly."""
@@ -209,62 +201,41 @@ class Encoder:
                     heapq.heappush(heap, (m >> _SHIFT, a, ids[a], ids[b], m & _MASK))
         return np.array([i for i in ids if i >= 0], dtype="<u4").tobytes()
 
-    def _pieces(self, text: str) -> list[str]:
-        """The text cut so that each piece can be encoded alone: its beginning, then space-led words."""
-        if any(pair in text for pair in (_ASCII_SPACES if text.isascii() else _SPACES)):
-            return self.pattern.findall(text)
-        first, *words = text.split(" ")
-        return [*self.pattern.findall(first), *[" " + w for w in words]]
-
-    def _tokens(self, piece: str) -> list[str]:
-        """The pre-tokens of a piece."""
-        if piece[:1] == " ":
-            if piece[1:].isalpha():
-                return [piece]
-            if piece[-1] in _CLOSING and piece[1:-1].isalpha():
-                return [piece[:-1], piece[-1]]
-        return self.pattern.findall(piece)
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Put the ids of new pieces into the memo: from the lexicon, or merged."""
-        memo, lexicon = self._words, self.lexicon
-        if len(memo) + len(pieces) > _MEMO_WORDS:
-            memo.clear()
-        cut: dict[str, list[str]] = {}
-        for piece in pieces:
-            ids = lexicon.get(piece[1:].encode()) if lexicon is not None and piece[:1] == " " else None
-            if ids is None:
-                cut[piece] = self._tokens(piece)
-            else:
-                memo[piece] = ids
-        tokens = list({t for parts in cut.values() for t in parts})
-        known = dict(zip(tokens, self.merge(tokens)))
-        for piece, parts in cut.items():
-            memo[piece] = known[parts[0]] if len(parts) == 1 else b"".join([known[t] for t in parts])
+    def _learn(self, tokens: list[str]) -> None:
+        """Put the ids of new pre-tokens into the memo: from the lexicon, or merged."""
+        memo, unseen = self._tokens, tokens
+        if self.lexicon is not None:
+            words = [t for t in tokens if t[0] == " "]
+            found = dict(zip(words, self.lexicon.get_all([w[1:].encode() for w in words])))
+            memo.update((w, ids) for w, ids in found.items() if ids is not None)
+            unseen = [t for t in tokens if found.get(t) is None]
+        memo.update(zip(unseen, self.merge(unseen)))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        memo = self._words
+        memo = self._tokens
         special = {t: np.uint32(i).tobytes() for t, i in self.vocabulary.special.items()}
-        out, held, size = [], [], 0
+        out: list[bytes] = []
+        held: list[list] = []  # texts as lists of pre-tokens and names of special tokens
+        size = 0
 
         def close() -> None:
             nonlocal held, size
-            new = set().union(*(p for line in held for p in line if isinstance(p, list)))
-            # The memo may be emptied to take the new pieces; then all of the group's are learned.
-            missing = {p for p in new if p not in memo}
-            if missing:
-                self._learn(missing if len(memo) + len(missing) <= _MEMO_WORDS else new)
+            new = set().union(*(part for line in held for part in line if isinstance(part, list)))
+            if len(memo) + len(new) > _MEMO_TOKENS:
+                memo.clear()
+            self._learn([t for t in new if t not in memo])
             for line in held:
-                out.append(b"".join([b"".join(map(memo.__getitem__, p)) if isinstance(p, list) else special[p] for p in line]))
+                out.append(b"".join([b"".join(map(memo.__getitem__, part)) if isinstance(part, list) else special[part]
+                                     for part in line]))
             held, size = [], 0
 
         for text in texts:
             line, at = [], 0
             for m in self.specials.finditer(text):
-                line += [self._pieces(text[at:m.start()]), m.group()]
+                line += [self.pattern.findall(text[at:m.start()]), m.group()]
                 at = m.end()
-            line.append(self._pieces(text[at:]))
+            line.append(self.pattern.findall(text[at:]))
             held.append(line)
             size += len(text)
             if size >= _GROUP_CHARS:
@@ -316,7 +287,7 @@ def frequent_words(spark: SparkSession, docs: DataFrame, size: int = LEXICON_WOR
 def build_lexicon(vocabulary: Vocabulary, words: list[str]) -> bytes:
     """The transducer of the words with their ids (of a space and the word) as outputs."""
     plain = Encoder(vocabulary)
-    words = [w for w in words if w and not any(c.isspace() for c in w)]
+    words = [w for w in words if len(plain.pattern.findall(" " + w)) == 1]
     return compile_words(dict(zip([w.encode() for w in words], plain.encode_all([" " + w for w in words]))))
 
 

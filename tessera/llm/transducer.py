@@ -109,6 +109,9 @@ class Transducer:
         self._first, self._to, self._skip = take(n_states + 1, "I"), take(n_arcs, "I"), take(n_arcs, "I")
         self._ends = take(self.n_words + 1, "I")
         self._final, self._label, self._out = take(n_states, "B"), take(n_arcs, "B"), take(n_out, "B")
+        # Arcs lie in order of (state, label).
+        owner = np.repeat(np.arange(n_states), np.diff(np.asarray(self._first)))
+        self._arc = owner << 8 | np.asarray(self._label)
 
     def get(self, word: bytes) -> bytes | None:
         """The word's output, or None for a word that is not in the automaton."""
@@ -125,5 +128,32 @@ class Transducer:
             return None
         return bytes(self._out[self._ends[rank]:self._ends[rank + 1]])
 
+    def get_all(self, words: list[bytes]) -> list[bytes | None]:
+        """The outputs of many words, walked through the automaton in step."""
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        flat = np.frombuffer(b"".join(words), dtype=np.uint8)
+        at = np.cumsum(sizes) - sizes
+        to, skip = np.asarray(self._to), np.asarray(self._skip)
+        out: list[bytes | None] = [None] * len(words)
+        live = np.arange(len(words))
+        state, rank = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        step = 0
+        while len(live):
+            done = sizes[live] == step
+            if done.any():
+                final = done & (np.asarray(self._final)[state] == 1)
+                for word, r in zip(live[final].tolist(), rank[final].tolist()):
+                    out[word] = bytes(self._out[self._ends[r]:self._ends[r + 1]])
+                live, state, rank = live[~done], state[~done], rank[~done]
+            if not self.n_arcs:
+                break
+            key = state << 8 | flat[at[live] + step]
+            arc = np.minimum(np.searchsorted(self._arc, key), self.n_arcs - 1)
+            hit = self._arc[arc] == key
+            arc, live = arc[hit], live[hit]
+            state, rank = to[arc].astype(np.int64), rank[hit] + skip[arc]
+            step += 1
+        return out
+
 
 __all__ = ["compile_words", "Transducer"]

@@ -33,9 +33,11 @@ def test_transducer_holds_exactly_its_words():
     words = {w.encode(): w[::-1].encode() for w in ["", "tap", "taps", "top", "tops", "stop", "stops", "é", "ab" * 30]}
     t = Transducer(compile_words(words))
     assert {w: t.get(w) for w in words} == words
-    assert [t.get(w) for w in (b"ta", b"tapss", b"x", b"sto")] == [None] * 4
+    others = [b"ta", b"tapss", b"x", b"sto"]
+    assert [t.get(w) for w in others] == [None] * 4
+    assert t.get_all([*words, *others]) == [*words.values(), *[None] * 4]
     assert t.n_states < sum(map(len, words))  # suffixes are shared
-    assert Transducer(compile_words({})).get(b"a") is None
+    assert Transducer(compile_words({})).get(b"a") is None and Transducer(compile_words({})).get_all([b"a", b""]) == [None, None]
 
 
 def test_encoding_matches_the_library(spark, odd_docs, no_docs, tokenizer):
