@@ -5,8 +5,8 @@
    become lattices: each place holds the letters it may stand for, or none.  The Viterbi
    path under the trigram model and the channel's costs is the restored word.
 3. Terms (whole words and word stems) that mark toxic documents are learned from a bounded
-   sample of labelled training rows: frequent in toxic documents, rare in clean ones, and
-   seen between different neighbours, so copies of one document teach nothing.
+   sample of labelled training rows: held by toxic documents and rare in clean ones.  The
+   near copies of a document count as one document, in either class.
 4. A document's score is a logistic function of the weights of the terms in its restored text.
 
 Only ``labels`` rows of the training folds are read; the score's only input is the text.
@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import fold, staged
+from tessera.llm.simhash import near_duplicates
 
 FOLDS = 5
 MAX_TOXIC_ROWS = 40_000   # bound of the labelled sample, by class
@@ -254,49 +255,46 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Ca
             .join(F.broadcast(ids), "id").select("text"))
 
 
-def _document_counts(sample: DataFrame, make: Callable[[], Decoder], wanted=None) -> DataFrame:
-    """``term, n``: documents that hold each term (only those of the broadcast set ``wanted``, if given)."""
+def with_shares(spark: SparkSession, rows: DataFrame, bound: int) -> DataFrame:
+    """``text, toxic, share``: a row's share is 1 / (its class's rows among its near copies)."""
+    x = F.xxhash64(F.coalesce("text", F.lit("")))
+    found = near_duplicates(spark, rows.select(x.alias("doc_id"), "text"))
+    roots = staged(spark, found.select("x", "root").distinct(), "labelled-roots", bound)
+    # At most `bound` texts: the sample's bound is the broadcasts' bound.
+    rooted = rows.withColumn("x", x).join(F.broadcast(roots), "x")
+    sizes = rooted.groupBy("root", "toxic").agg((1.0 / F.count("*")).alias("share"))
+    return rooted.join(F.broadcast(sizes), ["root", "toxic"]).select("text", "toxic", "share")
+
+
+def _document_counts(sample: DataFrame, make: Callable[[], Decoder]) -> DataFrame:
+    """``term, t, c``: shares of the toxic and the clean documents that hold each term."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder, only = make(), wanted.value if wanted is not None else None
-        counts: Counter[str] = Counter()
-        docs = 0
+        decoder = make()
+        counts: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array([*counts, ""]), pa.array([*counts.values(), docs], pa.int64())],
-                                             names=["term", "n"])
-            counts.clear()
+            terms = [*counts[1].keys() | counts[0].keys()]
+            out = pa.RecordBatch.from_arrays([pa.array(terms, pa.string())] +
+                                             [pa.array([float(counts[k][t]) for t in terms], pa.float64()) for k in (1, 0)],
+                                             names=["term", "t", "c"])
+            for c in counts:
+                c.clear()
             return out
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                terms = {t for w in set(words_of(decoder, text)) for t in terms_of(w)}
-                counts.update(terms if only is None else terms & only)
-                docs += 1
-            if len(counts) > 200_000:
+            for text, toxic, share in zip(*(batch.column(n).to_pylist() for n in ("text", "toxic", "share"))):
+                # The empty term counts the documents.
+                terms = {"", *(t for w in set(words_of(decoder, text)) for t in terms_of(w))}
+                if share == 1:
+                    counts[toxic].update(terms)
+                else:
+                    for t in terms:
+                        counts[toxic][t] += share
+            if len(counts[0]) + len(counts[1]) > 200_000:
                 yield flush()
-                docs = 0
         yield flush()
 
-    # The empty term counts the documents.
-    return sample.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-
-
-def _contexts(sample: DataFrame, make: Callable[[], Decoder], wanted) -> DataFrame:
-    """``term, n``: distinct (word before, word after) of each wanted term."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder, only = make(), wanted.value
-        for batch in batches:
-            seen: set[tuple[str, str]] = set()
-            for text in batch.column(0).to_pylist():
-                words = ["", *words_of(decoder, text), ""]
-                for i in range(1, len(words) - 1):
-                    for t in terms_of(words[i]):
-                        if t in only:
-                            seen.add((t, words[i - 1] + " " + words[i + 1]))
-            yield pa.RecordBatch.from_arrays([pa.array([s[0] for s in seen], pa.string()),
-                                              pa.array([s[1] for s in seen], pa.string())], names=["term", "near"])
-
-    return sample.mapInArrow(run, "term string, near string").distinct().groupBy("term").agg(F.count("*").alias("n"))
+    return sample.mapInArrow(run, "term string, t double, c double").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
 
 
 def fit_layer(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-2) -> np.ndarray:
@@ -319,35 +317,27 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, training: Cal
     decoder = Decoder(costs)
     shared = spark.sparkContext.broadcast(costs)
     make = lambda: Decoder(shared.value)
-    # Copies of a text teach once.
-    toxic = staged(spark, labelled_sample(docs, labels, label, training, True, max_toxic).distinct().coalesce(16), "toxic-rows")
-    clean = labelled_sample(docs, labels, label, training, False, max_clean)
-
-    found = _document_counts(toxic, make)
-    n_toxic = found.filter("term = ''").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = staged(spark, labelled_sample(docs, labels, label, training, True, max_toxic).distinct().coalesce(16)
+                  .withColumn("toxic", F.lit(1))
+                  .unionByName(labelled_sample(docs, labels, label, training, False, max_clean).withColumn("toxic", F.lit(0))),
+                  "labelled-rows")
+    toxic, clean = rows.filter("toxic = 1").select("text"), rows.filter("toxic = 0").select("text")
+
+    counts = _document_counts(with_shares(spark, rows, max_toxic + max_clean), make)
+    # Shares are added up in any order: a little less than a whole number is that number.
+    found = staged(spark, counts.filter((F.col("t") > MIN_DOCS - 1e-6) | (F.col("term") == "")), "labelled-terms")
+    whole = found.filter("term = ''").first()
+    n_toxic, n_clean = (whole.t, whole.c) if whole else (0.0, 0.0)
     least = max(MIN_DOCS, math.ceil(MIN_SUPPORT * n_toxic))
-    # A document holds few terms, so at most (terms of a document) / MIN_SUPPORT pass.
-    support = {r.term: r.n for r in found.filter((F.col("n") >= least) & (F.col("term") != "")).collect()} if n_toxic else {}
-    wanted = spark.sparkContext.broadcast(frozenset(support))
-    in_clean = {r.term: r.n for r in _document_counts(clean, make, wanted).collect()}
-    n_clean = in_clean.pop("", 0)
-
-    def log_odds(t: float, c: float) -> float:
-        return math.log((t + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_clean + 1))
-
-    def evidence(t: float, c: float) -> float:
-        """Log-likelihood ratio of the split (t, c) against the sample's own shares."""
-        share = n_toxic / (n_toxic + n_clean)
-        return t * math.log(t / ((t + c) * share)) + (c * math.log(c / ((t + c) * (1 - share))) if c else 0.0)
-
+    tried = found.filter((F.col("t") > least - 1e-6) & (F.col("term") != ""))
+    t, c, share = F.col("t"), F.col("c"), n_toxic / max(n_toxic + n_clean, 1.0)
+    log_odds = F.log((t + 0.5) / (n_toxic + 1)) - F.log((c + 0.5) / (n_clean + 1))
+    # Log-likelihood ratio of the split (t, c) against the sample's own shares.
+    evidence = t * F.log(t / ((t + c) * share)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0)
     # Many terms are tried: the evidence must outweigh their number.
-    needed = 1 + math.log(max(1, len(support)))
-    leaning = {t: log_odds(n, in_clean.get(t, 0)) for t, n in support.items() if evidence(n, in_clean.get(t, 0)) >= needed}
-    leaning = {t: w for t, w in leaning.items() if w >= MIN_LOG_ODDS}
-    weights: dict[str, float] = {}
-    if leaning:
-        near = {r.term: r.n for r in _contexts(toxic, make, spark.sparkContext.broadcast(frozenset(leaning))).collect()}
-        weights = {t: w for t, w in leaning.items() if near.get(t, 0) >= max(MIN_DOCS, 0.3 * support[t])}
+    needed = 1 + math.log(max(1, tried.count()))
+    learned = tried.select("term", log_odds.alias("w"), evidence.alias("e")).filter((F.col("e") >= needed) & (F.col("w") >= MIN_LOG_ODDS))
+    weights = {r.term: round(r.w, 9) for r in learned.collect()}  # they have evidence in the sample, which bounds them
     model = Model(decoder, weights, (0.0, 0.0, 0.0))
     base = math.log((n_toxic + 0.5) / (n_clean + 0.5)) if n_toxic + n_clean else -3.0
     if not weights:

@@ -110,6 +110,25 @@ def test_classifiers_hold_out_and_separate(spark, odd_docs, no_docs):
         assert module.score_documents(spark, docs.limit(20), labels.filter("false")).count() == 20
 
 
+def trained(spark, rows):
+    """The toxicity model of (text, toxic) rows, all of them for training."""
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    return toxicity.train(spark, docs, labels, lambda c: F.lit(True))
+
+
+def test_stock_phrases_teach_and_near_copies_do_not(spark):
+    base = syllables(1000, 200).split(" ")
+    base[20] = "wozzle"
+    copies = []
+    for i in range(60):  # near copies of one toxic document: their rare word is no evidence
+        copies.append(" ".join([*base[:60 + i], f"changed{chr(97 + i % 26)}", *base[61 + i:]]))
+    rows = [(syllables(i, 30) + (" you are an idiot" if i % 6 == 0 else ""), int(i % 6 == 0)) for i in range(600)]
+    model = trained(spark, rows + [(t, 1) for t in copies])
+    assert "idiot" in model.weights and "wozzle" not in model.weights
+    assert model.score(syllables(5000, 30) + " you are an idiot") > 0.5 > model.score(syllables(5001, 30) + " wozzle")
+
+
 def test_class_prior_of_a_known_mixture():
     cells = np.arange(pu_quality.SCORE_CELLS)
     good, bad = np.exp(-((cells - 400) / 50) ** 2), np.exp(-((cells - 100) / 50) ** 2)
