@@ -36,8 +36,7 @@ from tessera.llm.simhash import near_duplicates
 FOLDS = 5
 MAX_TOXIC_ROWS = 40_000   # bound of the labelled sample, by class
 MAX_CLEAN_ROWS = 80_000
-MIN_SUPPORT = 0.02        # share of toxic training documents that hold a term (and at least MIN_DOCS)
-MIN_DOCS = 3
+MIN_DOCS = 3              # toxic training documents that hold a term, near copies counted once
 MIN_LOG_ODDS = 2.5
 STEMS = (4, 5, 6, 7)  # lengths of word beginnings that count as terms
 SYMBOLS = 28              # a-z, other letters, boundary
@@ -328,8 +327,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, training: Cal
     found = staged(spark, counts.filter((F.col("t") > MIN_DOCS - 1e-6) | (F.col("term") == "")), "labelled-terms")
     whole = found.filter("term = ''").first()
     n_toxic, n_clean = (whole.t, whole.c) if whole else (0.0, 0.0)
-    least = max(MIN_DOCS, math.ceil(MIN_SUPPORT * n_toxic))
-    tried = found.filter((F.col("t") > least - 1e-6) & (F.col("term") != ""))
+    tried = found.filter("term != ''")
     t, c, share = F.col("t"), F.col("c"), n_toxic / max(n_toxic + n_clean, 1.0)
     log_odds = F.log((t + 0.5) / (n_toxic + 1)) - F.log((c + 0.5) / (n_clean + 1))
     # Log-likelihood ratio of the split (t, c) against the sample's own shares.

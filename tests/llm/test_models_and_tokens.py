@@ -129,6 +129,18 @@ def test_stock_phrases_teach_and_near_copies_do_not(spark):
     assert model.score(syllables(5000, 30) + " you are an idiot") > 0.5 > model.score(syllables(5001, 30) + " wozzle")
 
 
+def test_rare_terms_of_a_minority_are_learned(spark):
+    rare = ["zarpo", "quimf", "blixt", "vundo", "krewp"]
+    rows = []
+    for i in range(3000):
+        toxic = i % 5 == 0
+        word = (rare[i // 75 % 5] if i % 75 == 0 else "moron") if toxic else "ti"
+        rows.append((f"{syllables(i, 6)} {word} {syllables(10_000 + i, 6)}", int(toxic)))
+    assert all(sum(w in t for t, _ in rows) == 8 for w in rare)  # of 600 toxic documents: 1.3 %
+    model = trained(spark, rows)
+    assert {"moron", *rare} <= model.weights.keys()
+
+
 def test_class_prior_of_a_known_mixture():
     cells = np.arange(pu_quality.SCORE_CELLS)
     good, bad = np.exp(-((cells - 400) / 50) ** 2), np.exp(-((cells - 100) / 50) ** 2)
