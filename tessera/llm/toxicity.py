@@ -2,8 +2,9 @@
 
 1. A character trigram model is counted over all documents.
 2. Obfuscated words (look-alike digits and signs, letters set apart, stretched letters)
-   become lattices: each place holds the letters it may stand for, or none.  The Viterbi
-   path under the trigram model and the channel's costs is the restored word.
+   become lattices: each place holds the letters it may stand for, or none; a separator of
+   letters set apart is nothing or a word boundary.  The Viterbi path under the trigram
+   model and the channel's costs is the restored word.
 3. Terms (whole words and word stems) that mark toxic documents are learned from a bounded
    sample of labelled training rows: held by toxic documents and rare in clean ones.  The
    near copies of a document count as one document, in either class.
@@ -19,11 +20,13 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -48,10 +51,16 @@ LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "gb", "7":
 _SWAP_COST = 1.0      # a sign stands for a letter
 _DROP_COST = 12.0     # a sign stands for nothing
 _EDGE_DROP_COST = 8.0
+_JOIN_COST = 4.0      # a wide separator of letters set apart stands for nothing
 _SHRINK_COST = 0.5    # a stretched run stands for one or two letters
 _LONGEST = 40         # longer mixed tokens are ids and addresses
+_READINGS, _MARGIN = 12, 8.0  # of letters set apart: how many, and how much dearer than the cheapest
+_COST = itemgetter(0)
 _SIGNS = re.escape("".join(LOOKALIKES))
-_SETS = re.compile(r"(?<!\w)\w([ ._\-*])\w(?:\1\w){2,}(?!\w)")
+_MEMBER = rf"(?:[^\W\d_]|[{_SIGNS}])"
+_SEPARATOR = rf"(?:[^\w{_SIGNS}]|_)"
+_SETS = re.compile(rf"(?<![^\W_]){_MEMBER}(?:{_SEPARATOR}{{1,3}}{_MEMBER}){{2,}}(?![^\W_])")
+_MEMBERS = re.compile(_MEMBER)
 _TOKEN = re.compile(rf"[a-z{_SIGNS}]*[{_SIGNS}][a-z{_SIGNS}]*")
 _MIXED = re.compile(rf"[{_SIGNS}][a-z]|[a-z][{_SIGNS}]+[a-z]")
 _TAIL = re.compile(rf"[{_SIGNS}]+$")
@@ -71,16 +80,10 @@ _TABLE = _symbol_table()
 
 
 def _kind_table() -> np.ndarray:
-    """1 for letters, 2 for signs that stand for letters, 4 for separators of letters set apart."""
-    table = np.zeros(256, dtype=np.uint8)
-    table[128:] = 1
-    for c in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ":
-        table[c] = 1
+    """Bits by code point (the last stands for all beyond): 1 for letters, 2 for signs that stand for letters, 4 for digits."""
+    table = np.array([1 if (c := chr(i)).isalpha() else 4 if c.isalnum() else 0 for i in range(1 << 16)] + [1], dtype=np.uint8)
     for c in LOOKALIKES:
-        if c.isascii():
-            table[ord(c)] = 2
-    for c in b" ._-*":
-        table[c] = 4
+        table[ord(c)] |= 2
     return table
 
 
@@ -88,18 +91,30 @@ _KINDS = _kind_table()
 _LETTERS_ONLY = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
-def suspicious(raw: bytes) -> tuple[bool, bool, bool]:
+def suspicious(text: str) -> tuple[bool, bool, bool]:
     """Whether the text may hold letters set apart, signs before letters, stretched letters."""
-    if len(raw) < 3:
+    if len(text) < 3:
         return False, False, False
-    c = np.frombuffer(raw, dtype=np.uint8)
-    kind = _KINDS[c]
-    same = (c[1:] == c[:-1]) & (kind[1:] == 1)
-    mixed = ((kind[:-1] == 2) & (kind[1:] == 1)).any()
+    if text.isascii():
+        c = np.frombuffer(text.encode(), dtype=np.uint8)
+        kind = _KINDS[c]
+    else:
+        c = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+        kind = _KINDS[np.minimum(c, 1 << 16)]
+    letter, sign = (kind & 1).view(bool), (kind & 2) != 0
+    same = (c[1:] == c[:-1]) & letter[1:]
+    mixed = (sign[:-1] & letter[1:]).any()
+    # Members of a run have no letter or digit beside them, and one to three other characters between them.
+    solid = (kind & 5) != 0
+    member = letter | sign
+    member[1:] &= ~solid[:-1]
+    member[:-1] &= ~solid[1:]
+    alone = np.flatnonzero(member)
     apart = False
-    if len(c) > 6:
-        pair = (kind[:-1] == 1) & (kind[1:] == 4)
-        apart = (pair[:-5] & pair[2:-3] & pair[4:-1] & (kind[6:] == 1)).any()
+    if len(alone) > 2:
+        gap = np.diff(alone)
+        near, with_letter = (gap > 1) & (gap <= 4), letter[alone]
+        apart = (near[1:] & near[:-1] & (with_letter[:-2] | with_letter[1:-1] | with_letter[2:])).any()
     return bool(apart), bool(mixed), bool((same[1:] & same[:-1]).any())
 
 
@@ -161,29 +176,65 @@ class Decoder:
             i = run
         return places
 
+    def spaced(self, run: str) -> list[list[tuple[str, float]]]:
+        """The lattice of letters set apart: a separator is nothing or a boundary, one wider than the narrowest rather a boundary."""
+        members = [m.start() for m in _MEMBERS.finditer(run)]
+        narrow = min(b - a for a, b in zip(members, members[1:]))
+        places = []
+        for at, after in zip(members, [*members[1:], None]):
+            places += self.lattice(run[at])
+            if after is not None:
+                places.append([("", _JOIN_COST if after - at > narrow else 0.0), (" ", 0.0)])
+        return places
+
+    def readings(self, places: list[list[tuple[str, float]]], n: int = 1) -> list[str]:
+        """The lattice's cheapest readings: ``n`` at most, none dearer than the first by more than ``_MARGIN``."""
+        # A path is a chain of (path before, letters).
+        states: dict[tuple[int, int], list[tuple[float, tuple | None]]] = {(_EDGE, _EDGE): [(0.0, None)]}
+        for options in [*places, [(" ", 0.0)]]:
+            after: dict[tuple[int, int], list[tuple[float, tuple | None]]] = {}
+            for (a, b), ways in states.items():
+                for letters, extra in options:
+                    x, y, more = a, b, extra
+                    for c in letters:
+                        z = _EDGE if c == " " else ord(c) - 96 if "a" <= c <= "z" else _OTHER
+                        more += self.costs[x, y, z]
+                        x, y = y, z
+                    after.setdefault((x, y), []).extend((cost + more, (path, letters)) for cost, path in ways)
+            states = {k: v if len(v) <= n else heapq.nsmallest(n, v, key=_COST) for k, v in after.items()}
+        ends = heapq.nsmallest(n, (way for ways in states.values() for way in ways), key=_COST)
+        out = []
+        for cost, path in ends:
+            if cost <= ends[0][0] + _MARGIN:
+                letters = []
+                while path is not None:
+                    letters.append(path[1])
+                    path = path[0]
+                out.append("".join(reversed(letters)).strip())
+        return out
+
     def decode(self, token: str) -> str:
         """The token's cheapest reading."""
+        return self._remembered(token, lambda: self.readings(self.lattice(token))[0])
+
+    def _remembered(self, token: str, read: Callable[[], str]) -> str:
         best = self.memo.get(token)
         if best is None:
-            states: dict[tuple[int, int], tuple[float, str]] = {(_EDGE, _EDGE): (0.0, "")}
-            for options in [*self.lattice(token), [(" ", 0.0)]]:
-                after: dict[tuple[int, int], tuple[float, str]] = {}
-                for (a, b), (cost, text) in states.items():
-                    for letters, extra in options:
-                        x, y, total = a, b, cost + extra
-                        for c in letters:
-                            z = _EDGE if c == " " else ord(c) - 96 if "a" <= c <= "z" else _OTHER
-                            total += self.costs[x, y, z]
-                            x, y = y, z
-                        if total < after.get((x, y), (math.inf, ""))[0]:
-                            after[x, y] = (total, text + letters)
-                states = after
-            best = min(states.values())[1].strip()
+            best = read()
             if len(self.memo) > 100_000:
                 self.memo.clear()
             self.memo[token] = best
         return best
 
+    def _apart(self, match: re.Match) -> str:
+        """The words of the run's likely readings: boundaries are doubtful under trigrams, so not only of the first."""
+        run = match.group()
+        members = "".join(_MEMBERS.findall(run))
+        if sum(c not in LOOKALIKES for c in members) < 2:
+            return run
+        found = self._remembered(run, lambda: " ".join(self.readings(self.spaced(run), _READINGS)))
+        return f" {' '.join(dict.fromkeys([self.decode(members), *found.split()]))} "
+
     def _mixed(self, match: re.Match) -> str:
         token = match.group()
         tail = _TAIL.search(token)
@@ -195,10 +246,10 @@ class Decoder:
 
     def restore(self, text: str) -> str:
         """The lower-cased text with its obfuscated words replaced by their readings."""
-        apart, mixed, stretched = suspicious(text.encode())
         text = text.lower()
+        apart, mixed, stretched = suspicious(text)
         if apart:
-            text = _SETS.sub(lambda m: " " + self.decode(m.group()[::2]) + " ", text)
+            text = _SETS.sub(self._apart, text)
         if mixed:
             text = _TOKEN.sub(self._mixed, text)
         if stretched:

@@ -74,6 +74,22 @@ def test_decoder_restores_obfuscated_words():
     assert decoder.restore(plain).split()[0] == "the" and toxicity.words_of(decoder, None) == []
 
 
+@pytest.fixture(scope="module")
+def insults():
+    counts = np.zeros((toxicity.SYMBOLS,) * 3)
+    for word in ["idiot", "loser", "moron", "scumbag", "pathetic", "kill", "ass", "such", "you", "are", "a"] * 20 + syllables(1, 400).split(" "):
+        c = toxicity._TABLE[np.frombuffer(f"  {word} ".encode(), dtype=np.uint8)]
+        np.add.at(counts, (c[:-2], c[1:-1], c[2:]), 1)
+    return toxicity.Decoder(toxicity.trigram_costs(counts))
+
+
+@pytest.mark.parametrize("text, word", [
+    ("such a i d i o t", "idiot"), ("y o u i d i o t", "idiot"), ("y o u  i d i o t", "you"), ("i d 1 0 t", "idiot"), ("m o r 0 n", "moron"),
+    ("l o $ e r", "loser"), ("s c u m b @ g", "scumbag"), ("an a s s", "ass"), ("i/d/i/o/t", "idiot"), ("i, d, i. o t!", "idiot")])
+def test_letters_set_apart_are_read_with_boundaries(insults, text, word):
+    assert word in toxicity.words_of(insults, text)
+
+
 def labelled_corpus(spark):
     bad = ["moron", "scumbag", "loser"]
     rows, labels = [], []
