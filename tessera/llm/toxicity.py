@@ -53,17 +53,22 @@ _DROP_COST = 12.0     # a sign stands for nothing
 _EDGE_DROP_COST = 8.0
 _JOIN_COST = 4.0      # a wide separator of letters set apart stands for nothing
 _SHRINK_COST = 0.5    # a stretched run stands for one or two letters
-_LONGEST = 40         # longer mixed tokens are ids and addresses
+_JOINTS = "+|(!"      # signs that may also join words
+_LONG = 40            # longer mixed tokens may be addresses: their own words count beside the reading
 _READINGS, _MARGIN = 12, 8.0  # of letters set apart: how many, and how much dearer than the cheapest
+_TAIL_READINGS = 4
 _COST = itemgetter(0)
+_MEMO_LONGEST = 200
 _SIGNS = re.escape("".join(LOOKALIKES))
 _MEMBER = rf"(?:[^\W\d_]|[{_SIGNS}])"
 _SEPARATOR = rf"(?:[^\w{_SIGNS}]|_)"
 _SETS = re.compile(rf"(?<![^\W_]){_MEMBER}(?:{_SEPARATOR}{{1,3}}{_MEMBER}){{2,}}(?![^\W_])")
 _MEMBERS = re.compile(_MEMBER)
 _TOKEN = re.compile(rf"[a-z{_SIGNS}]*[{_SIGNS}][a-z{_SIGNS}]*")
-_MIXED = re.compile(rf"[{_SIGNS}][a-z]|[a-z][{_SIGNS}]+[a-z]")
-_TAIL = re.compile(rf"[{_SIGNS}]+$")
+_MIXED = re.compile(rf"[{_SIGNS}][a-z]|[a-z](?:[013-9]+|[@$€£]{{1,2}})$")
+# Signs after the last letter are punctuation or decoration, unless they are digits ("foo0") or one or two that look like letters ("a$$").
+_TAIL = re.compile(rf"(?<![{_SIGNS}])[{_SIGNS}]+$")
+_TAIL_READ = re.compile(r"[013-9]+|[@$€£]{1,2}(?![@$€£])")
 _STRETCHED = re.compile(r"(?<![^\W\d_])[a-z]*([a-z])\1\1[a-z]*(?![^\W\d_])")
 _SLICE_ROWS = 1000
 
@@ -92,7 +97,7 @@ _LETTERS_ONLY = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(2
 
 
 def suspicious(text: str) -> tuple[bool, bool, bool]:
-    """Whether the text may hold letters set apart, signs before letters, stretched letters."""
+    """Whether the text may hold letters set apart, signs beside letters, stretched letters."""
     if len(text) < 3:
         return False, False, False
     if text.isascii():
@@ -103,7 +108,7 @@ def suspicious(text: str) -> tuple[bool, bool, bool]:
         kind = _KINDS[np.minimum(c, 1 << 16)]
     letter, sign = (kind & 1).view(bool), (kind & 2) != 0
     same = (c[1:] == c[:-1]) & letter[1:]
-    mixed = (sign[:-1] & letter[1:]).any()
+    mixed = (sign[:-1] & letter[1:]).any() or (letter[:-1] & sign[1:]).any()
     # Members of a run have no letter or digit beside them, and one to three other characters between them.
     solid = (kind & 5) != 0
     member = letter | sign
@@ -223,7 +228,8 @@ class Decoder:
             best = read()
             if len(self.memo) > 100_000:
                 self.memo.clear()
-            self.memo[token] = best
+            if len(token) <= _MEMO_LONGEST:
+                self.memo[token] = best
         return best
 
     def _apart(self, match: re.Match) -> str:
@@ -238,11 +244,20 @@ class Decoder:
     def _mixed(self, match: re.Match) -> str:
         token = match.group()
         tail = _TAIL.search(token)
-        # Signs after the last letter are punctuation, unless they are digits ("foo0").
-        body = token[:tail.start()] if tail and not tail.group().isalnum() else token
-        if len(body) < 3 or len(body) > _LONGEST or not _MIXED.search(body):
+        read = _TAIL_READ.match(tail.group()) if tail else None
+        body = token if tail is None else token[:tail.start() + (read.end() if read else 0)]
+        if len(body) < 3 or not _MIXED.search(body):
             return token
-        return self.decode(body) + token[len(body):]
+        # A tail may be a number or decoration after all, and a long token an address.
+        found = [self.decode(body)]
+        if read is not None:
+            found += self._remembered(body + " ", lambda: " ".join(self.readings(self.lattice(body), _TAIL_READINGS))).split()
+        for sign in _JOINTS:
+            if sign in body[1:-1]:
+                found += [self.decode(part) if len(part) > 2 and _MIXED.search(part) else part for part in body.split(sign)]
+        if len(found) > 1 or len(body) > _LONG:
+            return f" {' '.join(dict.fromkeys(found))} {token}"
+        return found[0] + token[len(body):]
 
     def restore(self, text: str) -> str:
         """The lower-cased text with its obfuscated words replaced by their readings."""

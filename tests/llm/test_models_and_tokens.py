@@ -90,6 +90,14 @@ def test_letters_set_apart_are_read_with_boundaries(insults, text, word):
     assert word in toxicity.words_of(insults, text)
 
 
+@pytest.mark.parametrize("text, word", [
+    ("p@th" + "e" * 60 + "tic", "pathetic"), ("you+are+a+p@thetic+1d10t+and+such+a+m0ron", "idiot"), ("you+are+a+p@thetic+1d10t+and+such+a+m0ron", "you"),
+    ("m0ron" + "3" * 50, "moron"), ("a55", "ass"), ("an idi07", "idiot"), ("you a$$", "ass"), ("idiot5", "idiot"), ("k€ll", "kell"),
+    ("£oser", "loser"), ("k!ll", "kill"), ("idiot!!!", "idiot"), ("1d1ot|m0ron", "moron")])
+def test_no_obfuscated_token_is_left_out(insults, text, word):
+    assert word in toxicity.words_of(insults, text)
+
+
 def labelled_corpus(spark):
     bad = ["moron", "scumbag", "loser"]
     rows, labels = [], []
