@@ -76,6 +76,17 @@ def test_licenses_match_sql(spark, odd_docs, no_docs):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_licence_texts_are_known_and_lists_go_in_blocks(spark):
+    texts = {1: "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the "
+                "following conditions\nare met:", 2: "This program is free software; you can redistribute it and/or modify\nit under the terms of "
+             "the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your "
+             "option) any later version.", 3: "THE SOFTWARE IS PROVIDED AS IS " + license_scan.TEMPLATES["MIT"]}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = license_scan.scan_licenses(spark, docs)
+    assert {(r.doc_id, r.license) for r in got.collect()} >= {(1, "BSD-conditions"), (2, "GPL-2.0-header")}
+    assert rows_of(license_scan.scan_licenses(spark, docs, max_bigrams=300)) == rows_of(got)
+
+
 def test_license_size_bounds_are_exact():
     for n in range(1, 60):
         ok = {a for a in range(1, 200) if 2 * min(a, n) >= 0.8 * (a + n)}
