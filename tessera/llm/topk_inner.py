@@ -8,7 +8,8 @@ block of queries meets a block of vectors in one task:
 * a chunk of vectors is skipped when ``|q| * |v|`` cannot reach the query's k-th best;
 * the partial sum over the leading rotated dimensions plus the Cauchy-Schwarz bound
   ``|q_rest| * |v_rest|`` prunes single vectors;
-* what remains is scored exactly in integers.
+* what remains is scored exactly: in doubles while ``|q| * |v|`` keeps every sum below 2^53,
+  else in integers.
 
 The longest vectors are searched first; their k-th best scores are the starting
 thresholds of all other blocks.  Bounds carry a slack for rounding, so nothing that could
@@ -17,7 +18,7 @@ tie is pruned.
 Defined cases: rows with a NULL vector, a NULL or non-finite component or a NULL id take no
 part; a shorter vector counts as padded with zeros; repeated ids are separate candidates
 (never of a query with the same id), and equal rows of one query id answer once; ties go to
-the smaller id; fewer than k candidates give fewer rows; empty tables give none.
+the smaller id; a score that does not fit 64 bits fails; fewer than k candidates give fewer rows; empty tables give none.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ BLOCK_ROWS = 8192
 QUERY_ROWS = 2048
 CHUNK_ROWS = 1024
 LEAD_SHARE = 0.8
+_EXACT_DOUBLE, _EXACT_LONG = 2.0 ** 52, 2.0 ** 62  # a little room for the rounding of lengths
 _RESULT = "query_id long, vec_id long, score long"
 
 
@@ -69,15 +71,15 @@ def gram_matrix(rows: DataFrame, dims: int) -> np.ndarray:
     return out.reshape(dims, dims)
 
 
-def matrix(column, dims: int) -> np.ndarray:
-    """A list column as a float64 matrix of ``dims`` columns, shorter rows padded with zeros."""
+def matrix(column, dims: int, dtype=np.float64) -> np.ndarray:
+    """A list column as a matrix of ``dims`` columns, shorter rows padded with zeros."""
     if isinstance(column, pd.Series):
         column = pa.array(column)
     lengths = np.diff(np.asarray(column.offsets))
-    flat = np.asarray(column.flatten(), dtype=np.float64)
+    flat = np.asarray(column.flatten(), dtype=dtype)
     if len(lengths) and (lengths == dims).all():
         return flat.reshape(-1, dims)
-    out = np.zeros((len(lengths), dims))
+    out = np.zeros((len(lengths), dims), dtype=dtype)
     rows = np.repeat(np.arange(len(lengths)), lengths)
     out[rows, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
     return out
@@ -88,16 +90,27 @@ def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np
     return ids[order], scores[order]
 
 
+def exact_scores(v: np.ndarray, q: np.ndarray, longest: float) -> np.ndarray:
+    """Inner products of integer vectors; ``longest`` bounds their size."""
+    if longest < _EXACT_DOUBLE:
+        return (v.astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
+    if longest < _EXACT_LONG:
+        return v @ q
+    return np.array((v.astype(object) @ q.astype(object)).tolist(), dtype=np.int64)
+
+
 def search_block(query_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, vec_ids: np.ndarray, v: np.ndarray,
                  rotation: np.ndarray, lead: int, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query number, ids, scores) of the block's candidates that may be among the query's k best.
 
-    ``v`` is sorted by descending length; ``floor`` holds k-th best scores known before.
+    ``q`` and ``v`` hold integers; ``v`` is sorted by descending length; ``floor`` holds k-th best scores known before.
     """
-    qr, vr = q @ rotation, v @ rotation
-    q_len, v_len = np.linalg.norm(q, axis=1), np.linalg.norm(v, axis=1)
+    qf, vf = q.astype(np.float64), v.astype(np.float64)
+    qr, vr = qf @ rotation, vf @ rotation
+    q_len, v_len = np.linalg.norm(qf, axis=1), np.linalg.norm(vf, axis=1)
+    del qf, vf
     q_rest, v_rest = np.linalg.norm(qr[:, lead:], axis=1), np.linalg.norm(vr[:, lead:], axis=1)
-    best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0))] * len(q)
+    best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(q)
     floor = floor.copy()
     for at in range(0, len(v), CHUNK_ROWS):
         part = slice(at, at + CHUNK_ROWS)
@@ -110,7 +123,7 @@ def search_block(query_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, vec_id
         for row in np.flatnonzero(keep.any(axis=1)):
             i = live[row]
             cand = at + np.flatnonzero(keep[row])
-            scores = v[cand] @ q[i]
+            scores = exact_scores(v[cand], q[i], q_len[i] * v_len[at])
             cand, scores = cand[scores >= floor[i]], scores[scores >= floor[i]]
             ids = np.concatenate([best[i][0], vec_ids[cand]])
             best[i] = best_of(ids, np.concatenate([best[i][1], scores]), k)
@@ -152,8 +165,8 @@ def top_k_inner(spark: SparkSession, vectors: DataFrame, k: int = K, scale: int
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
         v_rows = v_rows.sort_values(["len2", "vec_id"], ascending=[False, True])
         ids = q_rows.query_id.to_numpy()
-        found = list(search_block(ids, matrix(q_rows.q, dims), q_rows["floor"].to_numpy(float), v_rows.vec_id.to_numpy(),
-                                  matrix(v_rows.v, dims), rotation, lead, k))
+        found = list(search_block(ids, matrix(q_rows.q, dims, np.int64), q_rows["floor"].to_numpy(float), v_rows.vec_id.to_numpy(),
+                                  matrix(v_rows.v, dims, np.int64), rotation, lead, k))
         return pd.DataFrame({"query_id": np.concatenate([np.repeat(ids[i], len(x)) for i, x, _ in found] or [[]]),
                              "vec_id": np.concatenate([x for _, x, _ in found] or [[]]),
                              "score": np.concatenate([s for _, _, s in found] or [[]])}).astype("int64")

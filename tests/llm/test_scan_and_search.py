@@ -120,6 +120,24 @@ def test_top_k_matches_brute_force(spark, block):
     assert few == brute_top([r for r in rows if r[0] is not None and r[0] < 5], 10, 100)
 
 
+def test_scores_of_long_vectors_are_exact(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.integers(-10**6, 10**6, size=16)]) for i in range(60)]
+    rows += [(100 + i, rows[0][1][:-1] + [rows[0][1][-1] + i / 1024]) for i in range(6)]  # differ by less than a double of the score shows
+    ints = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
+    want = []
+    for q, qv in ints:
+        if q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(qv, v)), i) for i, v in ints if i != q)[:10]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    got = topk_inner.top_k_inner(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"), query_stride=50)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    huge = np.full((1, 2), 1 << 40)
+    assert topk_inner.exact_scores(np.array([[1 << 40, -(1 << 40)]]), huge[0], 2.0 ** 81).tolist() == [0]
+    with pytest.raises(OverflowError):
+        topk_inner.exact_scores(huge, huge[0], 2.0 ** 81)
+
+
 def test_placement_takes_the_highest_dot_product():
     # Two shards, two dimensions: opposite vectors end up together.
     out = place(np.array([[10.0, 0.0], [10.0, 0.0], [0.0, 10.0], [0.0, 10.0]]), 2)
