@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,4 +52,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
-__all__ = ["NULL_ID", "staged", "keyed_texts", "fold", "small_batches"]
+def by_bytes(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of the text column each, one row at least."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
+__all__ = ["NULL_ID", "staged", "keyed_texts", "fold", "small_batches", "by_bytes"]

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, license_scan, pu_quality, substring_doubling, suffix_dedup, topk_inner, toxicity
+from tessera.llm import cutting_stock, decontaminate, hard_negatives, license_scan, prefix_trie, pu_quality
+from tessera.llm import substring_doubling, suffix_dedup, topk_inner, toxicity
 from tessera.llm.bpe import digests, encode
 from tessera.llm.common import small_batches
 from tessera.llm.shard_packing import pack_shards
@@ -71,6 +72,21 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode(spark, read_table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op11_angular_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector and its five nearest rows of the same label."""
+    return hard_negatives.hard_negatives(spark, read_table(spark, sf_dir, "embeddings"), hard_negatives.shifted_label())
+
+
+def op12_ternary_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(spark, read_table(spark, sf_dir, "conversations"))
+
+
+def op13_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens in sequences of 2,048 without padding."""
+    return cutting_stock.digests(cutting_stock.pack_tokens(spark, read_table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 def _in_small_batches(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         small_batches(spark)
@@ -90,10 +106,14 @@ QUERIES = {name: _in_small_batches(query) for name, query in {
     "op9_norm_sorted_top_k": op9_norm_sorted_top_k,
     "op10_transducer_bpe": op10_transducer_bpe,
     "op2_vector_bin_packing": op2_vector_bin_packing,
+    "op11_angular_hard_negatives": op11_angular_hard_negatives,
+    "op12_ternary_prefix_trie": op12_ternary_prefix_trie,
+    "op13_cutting_stock_packing": op13_cutting_stock_packing,
 }.items()}
 
 ORACLE_SQL: dict[str, str] = {
     "op8_license_dice": license_scan.oracle_sql(),
     "op6_aho_corasick_decontamination": decontaminate.oracle_sql(),
     "op9_norm_sorted_top_k": topk_inner.oracle_sql(),
+    "op11_angular_hard_negatives": hard_negatives.oracle_sql(),
 }
