@@ -36,7 +36,8 @@ from tessera.sources.sinks import row_count, write_csv
 from tessera.sources.tables import Tables
 from tessera.streaming import logs as SL
 from tessera.streaming.sinks import progress_frame, run_stream
-from tessera.streaming.sources import replay_in_time_order, table_stream
+from tessera.streaming import stateful as SF
+from tessera.streaming.sources import replay, replay_in_time_order, table_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -763,6 +764,80 @@ def q_stream_progress(t: Tables) -> DataFrame:
     return reports.agg(F.sum("num_input_rows").alias("input_rows"), (F.count(F.lit(1)) > 2).alias("several_batches"))
 
 
+# Windows are told once the watermark has passed them: the newest event time less five seconds.
+CLOSED_SQL = f"(SELECT max(event_ts) FROM ({PARSED_SQL})) - INTERVAL 5 SECOND"
+
+
+@register("stream_host_anomalies", f"""
+WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, event_ts) AS window_start,
+    NULLIF(regexp_extract(value, '(\\d{{1,3}}\\.\\d{{1,3}}\\.\\d{{1,3}}\\.\\d{{1,3}})', 1), '') AS host, component, count(*) AS event_count
+  FROM ({PARSED_SQL}) WHERE event_ts IS NOT NULL GROUP BY 1, 2, 3),
+b AS (SELECT *, window_start + INTERVAL 1 HOUR AS window_end, count(*) OVER e AS earlier_windows, avg(event_count) OVER e AS m,
+    stddev_samp(event_count) OVER e AS s FROM w
+  WINDOW e AS (PARTITION BY host, component ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT window_start, window_end, host, component, event_count, earlier_windows, {sql_round('m')} AS mean_before,
+  {sql_round('s')} AS stddev_before,
+  COALESCE(earlier_windows >= 3 AND s IS NOT NULL AND abs(event_count - m) > 2 * s, false) AS unusual
+FROM b WHERE window_end <= {CLOSED_SQL}""")
+def q_stream_host_anomalies(t: Tables) -> DataFrame:
+    """Every host's hours against its own earlier hours, kept as state."""
+    lines = block_fields(SL.parse_stream(_log_stream(t), "5 seconds")).withColumnRenamed("ip", "host")
+    with SF.rocksdb_state(t.spark):
+        run = run_stream(SF.host_baselines(lines, ["host", "component"]), "append", "stream_host_anomalies")
+    return run.result().withColumns({"mean_before": r6("mean_before"), "stddev_before": r6("stddev_before")})
+
+
+@register("stream_windows_of_windows", f"""
+WITH s AS (SELECT time_bucket(INTERVAL 10 SECOND, event_ts) AS ws, log_level, count(*) AS n FROM ({PARSED_SQL})
+  WHERE event_ts IS NOT NULL GROUP BY 1, 2)
+SELECT time_bucket(INTERVAL 1 HOUR, ws) AS window_start, time_bucket(INTERVAL 1 HOUR, ws) + INTERVAL 1 HOUR AS window_end, log_level,
+  CAST(sum(n) AS BIGINT) AS event_count, max(n) AS max_inner_count, count(*) AS inner_windows
+FROM s GROUP BY 1, 2, 3 HAVING time_bucket(INTERVAL 1 HOUR, ws) + INTERVAL 1 HOUR <= {CLOSED_SQL}""")
+def q_stream_windows_of_windows(t: Tables) -> DataFrame:
+    """Hourly totals and maxima out of ten-second windows, two chained aggregates."""
+    lines = SL.parse_stream(_log_stream(t), "5 seconds")
+    return run_stream(SF.windows_of_windows(lines, ["log_level"]), "append", "stream_windows_of_windows").result()
+
+
+def _late_batches(t: Tables, ts: str = "ts") -> list[F.Column]:
+    """Quarters of the time span; every seventeenth row comes two batches late."""
+    first, last = t.events.agg(F.min(ts), F.max(ts)).first()
+    span = (last - first).total_seconds() + 1
+    into = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp"))
+    number = F.coalesce(F.floor(into * 4 / (span * 1e6)), F.lit(0)) + F.when(F.col("event_id") % 17 == 0, 2).otherwise(0)
+    return [number == i for i in range(6)]
+
+
+@register("stream_late_rows", f"""
+WITH b AS (SELECT event_ts, floor((epoch_us(ts) - epoch_us((SELECT min(ts) FROM events))) * 4
+      / ((epoch_us((SELECT max(ts) FROM events)) - epoch_us((SELECT min(ts) FROM events))) + 1000000.0))
+      + CASE WHEN event_id % 17 = 0 THEN 2 ELSE 0 END AS number,
+    time_bucket(INTERVAL 1 HOUR, event_ts) AS window_start
+  FROM (SELECT ts, event_id, date_trunc('second', ts) AS event_ts FROM events)),
+n AS (SELECT number, row_number() OVER (ORDER BY number) AS batch, max(event_ts) AS newest FROM b GROUP BY number),
+m AS (SELECT number, (SELECT max(newest) FROM n p WHERE p.batch < n.batch - 1) - INTERVAL 5 SECOND AS mark FROM n),
+r AS (SELECT window_start, COALESCE(window_start + INTERVAL 1 HOUR <= mark, false) AS late FROM b JOIN m USING (number)
+  WHERE event_ts IS NOT NULL)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) FILTER (WHERE NOT late) AS event_count,
+  count(*) FILTER (WHERE late) AS late_count, (SELECT bool_or(late) FROM r) AS rows_dropped FROM r GROUP BY 1""")
+def q_stream_late_rows(t: Tables) -> DataFrame:
+    """A replay with late rows: counted per window, and the rows that the watermark dropped, none lost."""
+    events = replay(t.spark, t.events, _late_batches(t), scratch_path(t.spark, "late_replay"))
+    lines = L.parsed(S.log_lines_from_events(events)).select("event_ts", "log_level")
+    counts, late = SF.late_side(lines, "event_ts", "1 hour", "5 seconds", "stream_late_rows")
+    beside = L.window_counts(late, "event_ts", "1 hour", None, (), "late_count")
+    both = counts.result().join(beside, ["window_start", "window_end"], "full")
+    return both.na.fill(0, ["event_count", "late_count"]).withColumn("rows_dropped", F.lit(SF.dropped_rows(counts) > 0))
+
+
+@register("stream_state_host_bytes", HOST_BYTES_SQL)
+def q_stream_state_host_bytes(t: Tables) -> DataFrame:
+    """The running sums per host, read from the query's state and not from its sink."""
+    spec = SL.host_bytes(_log_stream(t))
+    run = run_stream(spec.frame, spec.mode, "stream_state_host_bytes", spec.keys)
+    return SF.running_sums(t.spark, run, "hostname", "total_bytes")
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 @register("csv_round_trip", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")

@@ -7,12 +7,16 @@ options.  The operators need a ``value`` line column; Kafka's binary ``value`` i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructType
 
 from tessera.session import ensure_utc
 
+ROWS_PER_FILE = 1_000_000
+
 
 def line_stream(spark: SparkSession, path: str | None = None, fmt: str = "text", include_ingest_ts: bool = True,
                 max_files_per_trigger: int | None = None, schema: StructType | str | None = None, **options) -> DataFrame:
@@ -48,20 +52,38 @@ def table_stream(spark: SparkSession, folder: str, table: str, schema: StructTyp
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def replay_in_time_order(spark: SparkSession, rows: DataFrame, ts: str, out: str, batches: int = 4) -> DataFrame:
-    """``rows`` as a stream of ``batches`` micro-batches in event-time order.
+def replay(spark: SparkSession, rows: DataFrame, members: Sequence[Column], out: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """``rows`` as a stream with one micro-batch for each condition of ``members``, in that order.
 
-    Each batch is one folder of part files, written after the one before it, so the file
-    source takes them in order and no row is late.
+    Each batch is one folder, written after the one before it, so the file source takes them in
+    order.  All batches have the same number of part files, in proportion to the rows, and a
+    trigger takes that many.
     """
     ensure_utc(spark)
+    sizes = rows.agg(*(F.count(F.when(m, 1)).alias(f"n{i}") for i, m in enumerate(members))).first()
+    filled = [(i, m) for i, m in enumerate(members) if sizes[i]]
+    files = max(1, min([max(sizes) // rows_per_file, *(sizes[i] for i, _ in filled)]))
+    for i, m in filled:
+        rows.filter(m).repartition(files).write.mode("overwrite").parquet(f"{out}/batch={i:05d}")
+    if not filled:
+        rows.limit(0).write.mode("overwrite").parquet(f"{out}/batch=00000")
+    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).option("basePath", out)
+            .parquet(f"{out}/batch=*").select(*rows.columns))
+
+
+def time_slices(rows: DataFrame, ts: str, batches: int) -> list[Column]:
+    """Conditions that cut ``rows`` by time into about equal parts; rows without a time belong to the first."""
     seconds = F.col(ts).cast("timestamp").cast("double")
     cuts = rows.select(seconds.alias("s")).approxQuantile("s", [i / batches for i in range(1, batches)], 0.001)
-    number = F.lit(0)
-    for c in cuts:
-        number = number + F.when(seconds >= c, 1).otherwise(0)
-    for i in range(batches):
-        part = rows.filter(number == i) if i else rows.filter((number == 0) | number.isNull())
-        part.coalesce(1).write.mode("overwrite").parquet(f"{out}/batch={i}")
-    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("basePath", out)
-            .parquet(f"{out}/batch=*").select(*rows.columns))
+    # On the column itself, so that a scan can skip row groups.
+    edges = [F.timestamp_seconds(F.lit(c)).cast(rows.schema[ts].dataType) for c in cuts]
+    if not edges:
+        return [F.lit(True)]
+    inner = [(F.col(ts) >= a) & (F.col(ts) < b) for a, b in zip(edges, edges[1:])]
+    return [(F.col(ts) < edges[0]) | F.col(ts).isNull(), *inner, F.col(ts) >= edges[-1]]
+
+
+def replay_in_time_order(spark: SparkSession, rows: DataFrame, ts: str, out: str, batches: int = 4) -> DataFrame:
+    """``rows`` as a stream of ``batches`` micro-batches in event-time order: no row is late."""
+    ensure_utc(spark)
+    return replay(spark, rows, time_slices(rows, ts, batches), out)
