@@ -26,15 +26,16 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import staged
+from tessera.llm.common import by_bytes, hand_back, staged
 from tessera.llm.transducer import Transducer, compile_words
 
 LEXICON_WORDS = 1 << 17
 # Fixed value: the pre-tokenizer's pattern, as the vocabulary's file names it (byte level, use_regex).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_COUNT_FLUSH = 200_000
-_MEMO_TOKENS = 400_000
-_SLICE_ROWS = 1000
+_COUNT_BYTES = 24 << 20
+_MEMO_BYTES = 48 << 20
+_ENTRY_BYTES = 200  # of a dictionary's entry, beside its key's and value's own bytes
+_SLICE_BYTES = 2 << 20
 _SHIFT = 20
 _MASK = (1 << _SHIFT) - 1
 _NO_MERGE = 1 << 2 * _SHIFT + 1
@@ -157,6 +158,11 @@ class Encoder:
         self._table = MergeTable(vocabulary.merges)
         self._byte_ids = np.array(vocabulary.byte_ids, dtype=np.int64)
         self._tokens: dict[str, bytes] = {}
+        self._memo_bytes = 0
+
+    def forget(self) -> None:
+        """Empty the memo of pre-tokens."""
+        self._tokens, self._memo_bytes = {}, 0
 
     def merge(self, tokens: list[str]) -> list[bytes]:
         """Ids (little-endian unsigned 32 bit) of pre-tokens, merged exactly."""
@@ -204,6 +210,7 @@ class Encoder:
     def _learn(self, tokens: list[str]) -> None:
         """Put the ids of new pre-tokens into the memo: from the lexicon, or merged."""
         memo, unseen = self._tokens, tokens
+        self._memo_bytes += _ENTRY_BYTES * len(tokens) + 4 * sum(map(len, tokens))
         if self.lexicon is not None:
             words = [t for t in tokens if t[0] == " "]
             found = dict(zip(words, self.lexicon.get_all([w[1:].encode() for w in words])))
@@ -213,7 +220,6 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        memo = self._tokens
         special = {t: np.uint32(i).tobytes() for t, i in self.vocabulary.special.items()}
         out: list[bytes] = []
         held: list[list] = []  # texts as lists of pre-tokens and names of special tokens
@@ -222,8 +228,9 @@ class Encoder:
         def close() -> None:
             nonlocal held, size
             new = set().union(*(part for line in held for part in line if isinstance(part, list)))
-            if len(memo) + len(new) > _MEMO_TOKENS:
-                memo.clear()
+            if self._memo_bytes > _MEMO_BYTES:
+                self.forget()
+            memo = self._tokens
             self._learn([t for t in new if t not in memo])
             for line in held:
                 out.append(b"".join([b"".join(map(memo.__getitem__, part)) if isinstance(part, list) else special[part]
@@ -261,13 +268,20 @@ def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
             return out
 
         counts: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                if text.is_valid:
-                    counts.update(text.as_py().split(" ")[1:])
-                    if len(counts) > _COUNT_FLUSH:
-                        yield flush()
+        held = 0
+        for whole in batches:
+            for batch in by_bytes(whole, 0, _SLICE_BYTES):
+                before = len(counts)
+                for text in batch.column(0):
+                    if text.is_valid:
+                        counts.update(text.as_py().split(" ")[1:])
+                # New words take no more than the batch's bytes, beside their entries.
+                held += _ENTRY_BYTES * (len(counts) - before) + (batch.column(0).nbytes if len(counts) > before else 0)
+                if held > _COUNT_BYTES:
+                    yield flush()
+                    held = 0
         yield flush()
+        hand_back()
 
     return (docs.select(F.col(text_col)).mapInArrow(count, "word string, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
@@ -319,15 +333,17 @@ def encode(spark: SparkSession, docs: DataFrame, tokenizer_path: str, lexicon_wo
     n_keep = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back()  # what earlier stages left in this worker
         encoder = make()
         for whole in batches:
-            for start in range(0, whole.num_rows, _SLICE_ROWS):
-                batch = whole.slice(start, _SLICE_ROWS)
+            for batch in by_bytes(whole, n_keep, _SLICE_BYTES):
                 ids = encoder.encode_all([t or "" for t in batch.column(n_keep).to_pylist()])
                 columns = [batch.column(i) for i in range(n_keep)] + [pa.array(ids, pa.binary())]
                 if decode:
                     columns.append(pa.array([encoder.decode(i) for i in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "ids", "decoded"][:len(columns)])
+        encoder.forget()
+        hand_back()
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:n_keep]]
     return source.mapInArrow(run, ", ".join(fields + ["ids binary"] + ["decoded string"] * decode))

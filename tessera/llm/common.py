@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,6 +54,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
+def hand_back() -> None:
+    """Give memory that is no longer used back to the system: Python workers are kept for later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def by_bytes(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``size`` bytes of the text column each, one row at least."""
     ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64))
@@ -63,4 +74,4 @@ def by_bytes(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.Recor
         at = stop
 
 
-__all__ = ["NULL_ID", "staged", "keyed_texts", "fold", "small_batches", "by_bytes"]
+__all__ = ["NULL_ID", "staged", "keyed_texts", "fold", "small_batches", "hand_back", "by_bytes"]

@@ -321,7 +321,7 @@ def encode_remainders(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
             for batch in by_bytes(whole, n_keep, _GROUP_BYTES):
                 before = len(memo)
                 ids = [i + end for i in encode_texts(encoder, memo, [t or "" for t in batch.column(n_keep).to_pylist()])]
-                encoder._tokens.clear()  # ids of texts with special tokens or runs of spaces
+                encoder.forget()  # ids of texts with special tokens or runs of spaces
                 if len(memo) > before + before // 8:
                     memo_size = _memo_bytes(memo)
                 if memo_size > _MEMO_BYTES:

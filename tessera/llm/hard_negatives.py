@@ -14,7 +14,8 @@ meets the wanted window of scores are scored, in integers:
 Rows lie in blocks by (label, angle to the first reference), so equal labels are neighbours, a
 hot label fills many blocks, and a block's rows near an anchor's angle are one slice.  An
 anchor's positives come first from its own block, whose result is the threshold for the other
-blocks of its label; its negatives are searched in all blocks.  Anchors are a stated
+blocks of its label; its negatives are searched in the square root of all blocks first, whose
+``per_positive``-th best scores in each window are the thresholds for the others.  Anchors are a stated
 query set, so (anchors x blocks) tasks are what the result asks for; each holds one block of
 rows and one set of anchors.
 
@@ -27,6 +28,7 @@ component beyond 64 bits or a score beyond them fails; empty tables give no rows
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +50,7 @@ REFERENCES = 8
 BLOCK_ROWS = 8192
 ANCHOR_ROWS = 2048
 _SLACK = 1e-9
+_EXACT_DOUBLE = 2.0 ** 52  # a little room for the rounding of lengths
 _ANGLE_SLACK = 1e-6  # the arc cosine loses half the digits near its ends
 _FOUND = "anchor long, a_x long, vec_id long, score long"
 _PAIRS = "anchor long, a_x long, p long, positive long, positive_score long, vec_id long, score long"
@@ -118,6 +121,7 @@ class Block:
         self.lengths = rows.length.to_numpy()
         self.angles = np.stack(rows.angles.to_numpy())
         self.longest = float(self.lengths.max())
+        self._floats = self.v.astype(np.float64)
 
     def slice(self, length: float, angle: float, floor: float) -> slice:
         """Rows whose angle to the first reference leaves a score of ``floor`` possible."""
@@ -130,6 +134,9 @@ class Block:
         return slice(int(np.searchsorted(first, angle - wide)), int(np.searchsorted(first, angle + wide, side="right")))
 
     def scores(self, rows: np.ndarray, v: np.ndarray, length: float) -> np.ndarray:
+        """Integer inner products; by doubles where no sum can leave the integers that they hold."""
+        if length * self.longest < _EXACT_DOUBLE:
+            return (self._floats[rows] @ v.astype(np.float64)).astype(np.int64)
         return exact_scores(self.v[rows], v, length * float(self.lengths[rows].max())) if len(rows) else np.empty(0, np.int64)
 
 
@@ -158,9 +165,11 @@ def search_positives(anchors: pd.DataFrame, block: Block, dims: int, k: int) ->
 def search_negatives(anchors: pd.DataFrame, block: Block, dims: int, k: int, low: int, high: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(anchor number, positive number, ids, scores) of the block's best ``k`` rows of other labels in the positive's window."""
     q, q_angles = matrix(anchors.v, dims, np.int64), np.stack(anchors.angles.to_numpy())
-    for i, (anchor, label, length, scores_) in enumerate(zip(anchors.anchor, anchors.label, anchors.length, anchors.positive_scores)):
-        # low * p <= 100 * n <= high * p, in whole numbers.
-        windows = [(-(-low * int(p) // 100), high * int(p) // 100) for p in scores_]
+    for i, (anchor, label, length, scores_, floors) in enumerate(zip(anchors.anchor, anchors.label, anchors.length, anchors.positive_scores,
+                                                                     anchors.floors)):
+        # low * p <= 100 * n <= high * p, in whole numbers, and at least the score that the window's best already reach.
+        known = {} if floors is None else dict(zip(floors["p"], floors["floor"]))
+        windows = [(max(-(-low * int(p) // 100), int(known.get(j, -(1 << 63)))), high * int(p) // 100) for j, p in enumerate(scores_)]
         open_ = [w for w in windows if w[0] <= w[1]]
         if not open_:
             continue
@@ -171,6 +180,8 @@ def search_negatives(anchors: pd.DataFrame, block: Block, dims: int, k: int, low
             fit |= (most >= lo) & (least <= hi)
         rows = near.start + np.flatnonzero(fit & (block.labels[near] != label) & (block.ids[near] != anchor))
         scores = block.scores(rows, q[i], length)
+        inside = (scores >= min(w[0] for w in open_)) & (scores <= max(w[1] for w in open_))
+        rows, scores = rows[inside], scores[inside]
         order = np.lexsort((block.ids[rows], -scores))
         rows, falling = rows[order], -scores[order]
         for p, (lo, hi) in enumerate(windows):
@@ -256,10 +267,24 @@ def hard_negatives(spark: SparkSession, vectors: DataFrame, label: F.Column | No
                     .groupBy("anchor", "a_x").agg(F.collect_list(F.struct("vec_id", "score")).alias("p"))  # at most `positives`
                     .select("anchor", "a_x", F.col("p.vec_id").alias("positive_ids"), F.col("p.score").alias("positive_scores")), "negatives-positives")
 
+    # Negatives: every `stride`-th block first, another start for each anchor, then the others with what those have reached.
+    stride = math.isqrt(n_blocks - 1) + 1
     asked = (anchors.join(chosen, ["anchor", "a_x"]).drop("block")
              .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))))
-    mined = asked.groupBy("block", "set").cogroup(rows_of.groupBy("block", "set")).applyInPandas(negatives_in, _PAIRS)
+    in_first = F.pmod(F.col("block") + F.xxhash64("anchor", "a_x"), F.lit(stride)) == 0
     by_pair = Window.partitionBy("anchor", "a_x", "p").orderBy(F.desc("score"), F.asc("vec_id"))
+
+    def mine(a: DataFrame) -> DataFrame:
+        return a.groupBy("block", "set").cogroup(rows_of.groupBy("block", "set")).applyInPandas(negatives_in, _PAIRS)
+
+    no_floors = F.lit(None).cast("struct<p:array<bigint>,floor:array<bigint>>")
+    mined = mine(asked.filter(in_first).withColumn("floors", no_floors))
+    if n_blocks > 1:
+        mined = staged(spark, mined, "negatives-first")
+        reached = (mined.withColumn("r", F.row_number().over(by_pair)).filter(F.col("r") == per_positive)
+                   .groupBy("anchor", "a_x").agg(F.collect_list(F.struct("p", F.col("score").alias("floor"))).alias("f"))  # one per positive
+                   .select("anchor", "a_x", F.struct(F.col("f.p").alias("p"), F.col("f.floor").alias("floor")).alias("floors")))
+        mined = mined.unionByName(mine(asked.filter(~in_first).join(reached, ["anchor", "a_x"], "left")))
     return (mined.withColumn("rank", F.row_number().over(by_pair)).filter(F.col("rank") <= per_positive)
             .select(F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), F.col("rank").cast("int").alias("rank"),
                     F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")))

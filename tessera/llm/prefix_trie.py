@@ -34,7 +34,7 @@ from tessera.llm.common import staged
 
 GROUP = 100
 HEADS = 6
-TURNS_PER_SHARD = 100_000
+TURNS_PER_SHARD = 25_000
 CHUNK_IDS = 4096
 _NODE = ("shard int, key binary, parent_key binary, boundary boolean, side int, depth long, n_convs long, conv_id long, "
          "n_children long, n_leaves long, saved_tokens long, tokens long, up_key binary, up_conv long, list_no long")

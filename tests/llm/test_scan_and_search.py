@@ -147,7 +147,7 @@ def test_placement_takes_the_highest_dot_product():
 
 def test_shards_are_balanced_and_gapless(spark, odd_docs, no_docs):
     rng = random.Random(4)
-    rows = [(i, syllables(i, rng.randint(1, 80))) for i in range(1500)] + [(5000 + i, "one copy of many " * 9) for i in range(700)]
+    rows = [(100 + i, syllables(i, rng.randint(1, 80))) for i in range(1500)] + [(5000 + i, "one copy of many " * 9) for i in range(700)]
     docs = spark.createDataFrame(rows + odd_rows()[:9] + [(None, None), (None, None)], "doc_id long, text string").withColumnRenamed("z", "z")
     out = pack_shards(spark, docs, n_shards=4, units=512).toPandas()
     assert len(out) == docs.count()
