@@ -11,7 +11,7 @@ writes every stage's result as Parquet to the shared folder and reads it back fo
 * BPE: encodes and decodes what is left: ids, their number, and digests of ids and decoded text.
 
 Defined cases: NULL and empty texts pass the first, third and fourth stage as they are (an
-empty text has no repeated bytes) and count as near duplicates of each other; repeated rows
+empty text has no repeated bytes, and NULL stays NULL) and count as near duplicates of each other; repeated rows
 are one document to the dedup stages and only one of them stays; an empty table stays empty;
 other columns pass through every stage but the last, whatever their names.
 """
@@ -56,11 +56,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    kept = suffix_dedup.dedup_bytes(spark, docs, whole_characters=True, with_rest=True)
-    text = F.col("kept").cast("string")
+    kept = suffix_dedup.dedup_bytes(spark, docs.withColumn("__null", F.col("text").isNull()), whole_characters=True, with_rest=True)
+    # A NULL text has no bytes to cut: it stays NULL, and so does its length.
+    text = F.when(~F.col("rest.__null"), F.col("kept").cast("string"))
     own = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": text}
     if "n_chars" in docs.columns:
-        own["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+        own["n_chars"] = F.when(F.col("rest.__null"), F.col("rest.n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)
     return kept.select(*(own.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))
 
 
