@@ -22,6 +22,8 @@ from tessera.functions.buckets import indicator
 from tessera.functions.temporal import WEEKDAY_ORDER, to_epoch_seconds, to_ntz, weekday_name
 from tessera.functions.text import explode_tokens, split_tokens
 from tessera.operators import graph as G
+from tessera.operators import sketches as K
+from tessera.operators import spatial as SP
 from tessera.operators.ranking import top_k
 from tessera.operators.setops import union_distinct_on_key
 from tessera.plans import logs as L
@@ -31,6 +33,8 @@ from tessera.plans import trips as P
 from tessera.plans import tweets as T
 from tessera.operators.clean import impose_schema, not_blank
 from tessera.session import scratch_path
+from tessera.sources import inference as I
+from tessera.sources import ordered as O
 from tessera.sources.csv import all_strings, read_csv
 from tessera.sources.sinks import row_count, write_csv
 from tessera.sources.tables import Tables
@@ -188,6 +192,41 @@ def q_name_token_counts(t: Tables) -> DataFrame:
     return t.part.groupBy(F.size(split_tokens("p_name", " ")).alias("tokens")).agg(F.count(F.lit(1)).alias("parts"))
 
 
+REGIONS_SQL = """SELECT n_name AS region, CAST(n_nationkey * 37 % 100 AS DOUBLE) AS min_x,
+  n_nationkey * 37 % 100 + pow(2.0, n_nationkey % 7) * 1.5 AS max_x, CAST(n_nationkey * 53 % 700 AS DOUBLE) AS min_y,
+  n_nationkey * 53 % 700 + pow(2.0, n_nationkey % 9) * 2.5 AS max_y FROM nation"""
+
+
+@register("region_hour_density", f"""
+SELECT region, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS tweet_count FROM events e JOIN ({REGIONS_SQL}) r
+  ON e.value BETWEEN r.min_x AND r.max_x AND e.user_id BETWEEN r.min_y AND r.max_y GROUP BY 1, 2""")
+def q_region_hour_density(t: Tables) -> DataFrame:
+    """Density by region and hour, over a grid join."""
+    return SP.density_by_region_and_hour(t.events, S.regions(t), "value", "user_id", F.hour("ts"), count_name="tweet_count")
+
+
+ADAPTIVE_MOST, ADAPTIVE_DEPTH = 50, 12
+
+
+def _place_sql(c: str) -> str:
+    return (f"least(CAST(floor((CAST({c} AS DOUBLE) - (SELECT min({c}) FROM events)) / (SELECT max({c}) - min({c}) FROM events) * {1 << ADAPTIVE_DEPTH}.0)"
+            f" AS BIGINT), {(1 << ADAPTIVE_DEPTH) - 1})")
+
+
+@register("adaptive_grid", f"""
+WITH RECURSIVE p(level, ix, iy, n, cell_n) AS (
+  SELECT 0, ix, iy, n, CAST(sum(n) OVER () AS BIGINT) FROM (
+    SELECT {_place_sql('value')} AS ix, {_place_sql('user_id')} AS iy, count(*) AS n FROM events WHERE value IS NOT NULL AND user_id IS NOT NULL GROUP BY 1, 2)
+  UNION ALL
+  SELECT level + 1, ix, iy, n, CAST(sum(n) OVER (PARTITION BY ix >> ({ADAPTIVE_DEPTH} - 1 - level), iy >> ({ADAPTIVE_DEPTH} - 1 - level)) AS BIGINT)
+  FROM p WHERE cell_n > {ADAPTIVE_MOST} AND level < {ADAPTIVE_DEPTH})
+SELECT DISTINCT level, ix >> ({ADAPTIVE_DEPTH} - level) AS cell_x, iy >> ({ADAPTIVE_DEPTH} - level) AS cell_y, cell_n AS tweet_count
+FROM p WHERE cell_n <= {ADAPTIVE_MOST} OR level = {ADAPTIVE_DEPTH}""")
+def q_adaptive_grid(t: Tables) -> DataFrame:
+    """Cells refined where there are many points."""
+    return SP.adaptive_cells(t.events, "value", "user_id", ADAPTIVE_MOST, ADAPTIVE_DEPTH, "tweet_count")
+
+
 # ---------------------------------------------------------------- task 2: ratings
 
 @register("distinct_users", "SELECT count(DISTINCT user_id) AS distinct_users FROM events")
@@ -202,6 +241,27 @@ def q_approx_distinct_users(t: Tables) -> DataFrame:
     return exact.withColumn("within_bound", F.abs(estimate - F.col("distinct_users")) <= 0.2 * F.col("distinct_users"))
 
 
+@register("range_distinct_users", """
+WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
+r AS (SELECT CAST(a.day AS DATE) AS range_start, CAST(a.day + to_days(g.len - 1) AS DATE) AS range_end FROM d a, (VALUES (1), (7), (14)) g(len))
+SELECT range_start, range_end, count(DISTINCT user_id) AS distinct_users, true AS within_bound
+FROM r JOIN events e ON CAST(e.ts AS DATE) BETWEEN range_start AND range_end GROUP BY 1, 2""")
+def q_range_distinct_users(t: Tables) -> DataFrame:
+    """A3: distinct users of every day, week and fortnight out of one stored sketch per day, held against exact counts."""
+    events = t.events.select(F.col("ts").cast("date").alias("day"), "user_id")
+    path = scratch_path(t.spark, "day_sketches")
+    K.distinct_sketches(events, ["day"], "user_id").write.parquet(path)
+    sketches = t.spark.read.parquet(path)
+    ranges = sketches.select(F.col("day").alias("range_start"), F.explode(F.array(*(F.date_add("day", n - 1) for n in (1, 7, 14)))).alias("range_end"))
+    estimates = K.range_estimates(sketches, ranges, "day", "estimate")
+    # Exact: every pair of a day and a user, once, in the ranges that hold the day.
+    pairs = events.distinct().join(ranges.select("range_start", "range_end", F.explode(F.sequence("range_start", "range_end")).alias("day")), "day")
+    exact = pairs.groupBy("range_start", "range_end").agg(F.count_distinct("user_id").alias("distinct_users"))
+    bound = F.col("distinct_users") * (4 * K.relative_error()) + 1
+    return (exact.join(estimates, ["range_start", "range_end"])
+            .withColumn("within_bound", F.abs(F.col("estimate") - F.col("distinct_users")) <= bound).drop("estimate"))
+
+
 @register("row_count", "SELECT count(*) AS row_count FROM lineitem")
 def q_row_count(t: Tables) -> DataFrame:
     return row_count(t.lineitem)
@@ -849,6 +909,58 @@ def q_csv_round_trip(t: Tables) -> DataFrame:
     return impose_schema(raw, t.customer.schema)
 
 
+_FARE_TEXT_SQL = """SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d %H:%M:%S') AS started,
+  CASE WHEN event_id % 97 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS fare,
+  CASE WHEN event_id % 89 <> 0 THEN CAST(user_id * 60 AS VARCHAR) END AS seconds,
+  CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END AS paid, event_type FROM events"""
+
+
+def _fare_csv(t: Tables) -> DataFrame:
+    """Rows with junk and gaps, written as CSV and read back as text."""
+    e = t.events.select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("started"),
+        F.when(F.col("event_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("fare"),
+        F.when(F.col("event_id") % 89 != 0, (F.col("user_id") * 60).cast("string")).alias("seconds"),
+        (F.col("event_id") % 2 == 0).cast("string").alias("paid"), "event_type")
+    return read_csv(t.spark, write_csv(e, scratch_path(t.spark, "fares_csv")))
+
+
+@register("csv_inferred_schema", f"""
+WITH f AS ({_FARE_TEXT_SQL})
+SELECT 'event_id' AS column_name, 'int' AS data_type, count(event_id) AS n_values, CAST(0 AS BIGINT) AS n_bad FROM f
+UNION ALL SELECT 'day', 'date', count(day), 0 FROM f UNION ALL SELECT 'started', 'timestamp', count(started), 0 FROM f
+UNION ALL SELECT 'fare', 'double', count(fare), count(*) FILTER (WHERE NOT regexp_matches(fare, '^[+-]?[0-9]+[.]?[0-9]*$')) FROM f
+UNION ALL SELECT 'seconds', 'int', count(seconds), 0 FROM f UNION ALL SELECT 'paid', 'boolean', count(paid), 0 FROM f
+UNION ALL SELECT 'event_type', 'string', count(event_type), 0 FROM f""")
+def q_csv_inferred_schema(t: Tables) -> DataFrame:
+    """The types of a CSV's columns from all its rows, junk counted and not in the way."""
+    return I.infer_types(_fare_csv(t), max_bad_share=0.05)
+
+
+@register("csv_misfit_rows", f"SELECT CAST(event_id AS VARCHAR) AS event_id, fare, 'fare' AS bad FROM ({_FARE_TEXT_SQL}) WHERE fare = 'n/a'")
+def q_csv_misfit_rows(t: Tables) -> DataFrame:
+    """The side table of rows that do not fit the inferred types."""
+    raw = _fare_csv(t)
+    found = I.misfits(raw, I.types_of(I.infer_types(raw, max_bad_share=0.05)))
+    return found.select("event_id", "fare", F.array_join(I.BAD_COLUMNS, ",").alias("bad"))
+
+
+@register("ordered_orders", """
+SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS ordinal, o_orderkey, o_totalprice FROM orders""")
+def q_ordered_orders(t: Tables) -> DataFrame:
+    """A sorted table written and read back in order: the place of every row."""
+    path = O.write_ordered(t.orders.select("o_orderkey", "o_totalprice"), scratch_path(t.spark, "ordered"), [F.desc("o_totalprice"), "o_orderkey"])
+    return O.read_ordered(t.spark, path)
+
+
+@register("order_breaks", "SELECT count(*) - 1 AS neighbours, CAST(0 AS BIGINT) AS out_of_order FROM events")
+def q_order_breaks(t: Tables) -> DataFrame:
+    """Neighbours of the written table that are out of order: none."""
+    path = O.write_ordered(t.events.select("ts", "event_id"), scratch_path(t.spark, "ordered"), ["ts", "event_id"])
+    wrong = (F.col("ts") > F.col("next_ts")) | ((F.col("ts") == F.col("next_ts")) & (F.col("event_id") > F.col("next_event_id")))
+    return O.neighbours(t.spark, path, ["ts", "event_id"]).agg(F.count(F.lit(1)).alias("neighbours"), F.count(F.when(wrong, 1)).alias("out_of_order"))
+
+
 # ---------------------------------------------------------------- streaming on the events table itself
 
 def _event_stream(t: Tables) -> DataFrame:

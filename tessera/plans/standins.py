@@ -111,6 +111,14 @@ def fare_trips(t: Tables) -> DataFrame:
     )
 
 
+def regions(t: Tables) -> DataFrame:
+    """``region, min_x, max_x, min_y, max_y``: one box per nation, of many sizes, some overlapping."""
+    k = F.col("n_nationkey")
+    low_x, low_y = (k * 37 % 100).cast("double"), (k * 53 % 700).cast("double")
+    return t.nation.select(F.col("n_name").alias("region"), low_x.alias("min_x"), (low_x + F.pow(F.lit(2.0), k % 7) * 1.5).alias("max_x"),
+                           low_y.alias("min_y"), (low_y + F.pow(F.lit(2.0), k % 9) * 2.5).alias("max_y"))
+
+
 def log_lines(t: Tables) -> DataFrame:
     """``event_id, value``: one HDFS-layout log line per event row."""
     return log_lines_from_events(t.events)
