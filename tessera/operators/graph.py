@@ -7,31 +7,39 @@ driver round trips are one-row loop-stop tests.  Design for scale:
 * Parallel edges are folded first (``groupBy(src, dst)`` with a map-side partial
   aggregate), so iterations run over distinct pairs, never the raw trips; the
   multiplicity is kept as a count, never expanded into pairs.
-* The folded edge / transition table is hash-partitioned by ``(src, dst)`` once
-  and persisted, so a hub vertex's edges are spread over all tasks.  Each
-  round joins it with the per-vertex frame (ranks / frontier): AQE broadcasts
-  that side while it is small (one row per vertex), and otherwise plans a
-  shuffle join whose skewed hub partitions it splits.
-* Iteration inputs (folded edges, vertex sets) are written once to a reliable
-  checkpoint in the cluster's shared folder (``spark.checkpoint.dir``) and
-  cached on top; lineage is cut again every few rounds, so a lost executor
-  recomputes from the last checkpoint, never from the upstream fact join.
+* The folded edges are cut into blocks by (source, bucket of the target): a vertex
+  with more than ``BLOCK_EDGES`` edges has as many buckets as it needs, any other one.
+  They are checkpointed, dealt by that pair once, sorted and cached, and stay where they
+  are: a round moves the frontier or the changed ranks to them (a copy per block of a hub),
+  joins them in place and sends the partial sums on.  Small frontiers are broadcast by AQE.
+* Only what changed moves: PageRank sends each round's differences, searches send vertices
+  that were reached for the first time.
+* Iteration inputs are written once to a reliable checkpoint in the cluster's shared
+  folder (``spark.checkpoint.dir``) and cached on top; lineage is cut again every few
+  rounds, so a lost executor recomputes from the last checkpoint, never from the upstream
+  fact join.  What a call has cached it releases before it returns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from tessera.operators.aggregates import dedup_by_key
 from tessera.operators.joins import enrich_endpoints, semi_join
 from tessera.operators.ranking import top_k
 from tessera.session import checkpoint_root
 
+# A source with more distinct edges than this is cut into blocks.
+BLOCK_EDGES = 100_000
+ROWS_PER_PARTITION = 1_000_000
+
 
 @dataclass(frozen=True)
 class Graph:
@@ -152,125 +160,230 @@ def stable(df: DataFrame) -> DataFrame:
     return _persist(_checkpoint(df))
 
 
-def union_all_frames(frames: Sequence[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def _partitions(df: DataFrame, rows: int) -> int:
+    """Partitions for ``rows`` short rows: in proportion to them, no more than the session's shuffles have."""
+    return max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_PARTITION)))
+
+
+def _placed(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """Deal ``df`` by ``keys``, sort and cache it so that joins on ``keys`` find it in place.
+
+    The cached plan must keep its partitioning, which AQE would hide.
+    """
+    conf = df.sparkSession.conf
+    name = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return _persist(df.repartition(n, *keys).sortWithinPartitions(*keys))
+    finally:
+        conf.set(name, before)
+
+
+def _bucket(vertex: Column, blocks: Column) -> Column:
+    """The bucket of a target among its source's ``blocks``."""
+    return F.pmod(F.xxhash64(vertex), blocks).cast("int")
 
 
-def _spread(df: DataFrame, n: int | None, *cols: str) -> DataFrame:
-    """Hash-partition by ``cols``.  Without an explicit ``n`` the partition
-    count is left to AQE, which coalesces it to the data's real size (a fixed
-    cluster-wide shuffle count would give a small edge table thousands of
-    empty tasks per round)."""
-    return df.repartition(n, *cols) if n else df.repartition(*cols)
+def _to_blocks(df: DataFrame, blocks: str = "blocks") -> DataFrame:
+    """A row for every block of its vertex, numbered ``part``; none for a vertex without edges."""
+    parts = F.when(F.col(blocks) > 0, F.sequence(F.lit(0), (F.col(blocks) - 1).cast("int")))
+    return df.withColumn("part", F.explode(parts)).drop(blocks)
+
+
+@dataclass(frozen=True)
+class EdgeBlocks:
+    """Distinct edges ``src, part, dst, <value>, dst_blocks``, placed by (src, part), and every source's ``blocks``.
+
+    ``dst_blocks``: the target's own number of blocks, so that what arrives there knows how often it must go on.
+    """
+
+    edges: DataFrame
+    sources: DataFrame
+    held: tuple[DataFrame, ...]
+
+    def release(self) -> None:
+        for frame in self.held:
+            frame.unpersist()
+
+
+def edge_blocks(folded: DataFrame, block_edges: int | None = None, num_partitions: int | None = None) -> EdgeBlocks:
+    """Cut distinct edges (``src, dst`` and values) into blocks of about ``block_edges`` edges of one source."""
+    folded = _checkpoint(folded)
+    sources = stable(folded.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / (block_edges or BLOCK_EDGES)).cast("int").alias("blocks")))
+    n = num_partitions or _partitions(folded, folded.agg(F.count(F.lit(1))).first()[0])
+    ends = sources.select(F.col("src").alias("dst"), F.col("blocks").alias("dst_blocks"))
+    cut = (folded.join(sources, "src").withColumn("part", _bucket(F.col("dst"), F.col("blocks"))).drop("blocks")
+           .join(ends, "dst", "left").na.fill(0, ["dst_blocks"]))
+    placed = _placed(_checkpoint(cut), n, "src", "part")
+    return EdgeBlocks(placed, sources, (placed, sources))
 
 
 # ----------------------------------------------------------------- BFS / hop distance
 
+def _folded_counts(edges: DataFrame, count_col: str | None) -> DataFrame:
+    m = F.sum(F.col(count_col)) if count_col else F.count(F.lit(1))
+    return edges.groupBy("src", "dst").agg(m.cast("double").alias("m"))
+
+
+class _Search:
+    """One direction of a search: levels of vertices first reached, each ``vid, blocks``."""
+
+    def __init__(self, start: DataFrame, blocks: EdgeBlocks, checkpoint_every: int):
+        self.blocks, self.every = blocks, checkpoint_every
+        ids = start.join(blocks.sources, F.col("vid") == F.col("src"), "left").select("vid", F.coalesce("blocks", F.lit(0)).alias("blocks"))
+        self.levels = [stable(ids)]
+        self.visited = self.levels[0].select("vid")
+        self.size = self.total = self.levels[0].count()
+        self._kept: list[DataFrame] = []
+
+    @property
+    def depth(self) -> int:
+        return len(self.levels) - 1
+
+    def expand(self) -> None:
+        level, edges = _to_blocks(self.levels[-1]), self.blocks.edges
+        reached = (level.join(edges, (level["vid"] == edges["src"]) & (level["part"] == edges["part"]))
+                   .groupBy(F.col("dst").alias("vid")).agg(F.first("dst_blocks").alias("blocks")).join(self.visited, "vid", "left_anti"))
+        cut = (self.depth + 1) % self.every == 0
+        self.levels.append(stable(reached) if cut else _persist(reached))
+        self.visited = self.visited.unionByName(self.levels[-1].select("vid"))
+        if cut:
+            self.visited = _checkpoint(self.visited)
+        self.size = self.levels[-1].count()
+        self.total += self.size
+
+    def release(self) -> None:
+        for level in self.levels:
+            level.unpersist()
+
+
 def bfs(graph: Graph, from_expr: str | Column, to_expr: str | Column, max_path_length: int = 10,
-        checkpoint_every: int = 3, num_partitions: int | None = None) -> DataFrame:
+        checkpoint_every: int = 3, num_partitions: int | None = None, count_col: str | None = None,
+        block_edges: int | None = None, both_ends: bool = False, stats: dict | None = None) -> DataFrame:
     """All shortest paths from vertices matching ``from_expr`` to vertices matching ``to_expr``.
 
     Like GraphFrames ``bfs``: expansion stops at the first level where any path
     reaches a target, and every path of that length is returned.  Paths are
     vertex sequences over distinct edges; ``edge_paths`` is the product of the
     parallel-edge counts along the path (how many edge-level paths it stands
-    for; a double, as it grows with the power of the length).
+    for; a double, as it grows with the power of the length).  ``count_col`` names
+    the number of edges that a row stands for, where they are folded already.
 
     Two phases, both plain joins:
-    1. forward, level-synchronous from all sources at once: the state is one row
-       per vertex, its distance from the *set* of sources.  Only paths of the
-       globally shortest length are wanted, and the vertex at place k of such a
-       path has distance exactly k, so origins need not be carried;
-    2. backward from the hit targets over edges whose tail is at level k - 1;
-       level 0 names the origin.  Only paths that end in the output are built.
-    Output: ``origin, target, hops, path`` (``"a->b->c"``), ``edge_paths``.
+    1. level-synchronous from all sources at once: the state is one row per vertex,
+       its distance from the *set* of sources.  Only paths of the globally shortest
+       length are wanted, and the vertex at place k of such a path has distance
+       exactly k, so origins need not be carried.  With ``both_ends`` the targets are
+       searched backwards too, the smaller frontier is expanded, and the search ends
+       where the two meet: the length is the sum of both depths, as each level is whole;
+    2. from the meeting vertices back to level 0 of either side, over edges whose other end
+       lies on the level before.  Only paths that end in the output are built.
+    Output: ``origin, target, hops, path`` (``"a->b->c"``), ``edge_paths``.  ``stats`` takes the number of vertices visited.
     """
-    n = num_partitions
     pred = lambda e: F.expr(e) if isinstance(e, str) else e
-    folded = stable(_spread(graph.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("m")), n, "src"))
-    # vertex sets are evaluated once (the vertex frame may itself be derived
-    # from a large fact join) and reused by every level
-    targets = stable(graph.vertices.filter(pred(to_expr)).select(F.col("id").alias("__t")))
-    level = stable(graph.vertices.filter(pred(from_expr)).select(F.col("id").alias("vid")))
-    levels = [level]                 # levels[k]: vertices first reached at depth k
-    visited, parts = level, [level]  # `parts` are the frames of `visited` that are still held
-    hit_level, hits = None, None
-    depth = 0
+    folded = stable(_folded_counts(graph.edges, count_col))
+    targets = stable(graph.vertices.filter(pred(to_expr)).select(F.col("id").alias("vid")))
+    forward = _Search(graph.vertices.filter(pred(from_expr)).select(F.col("id").alias("vid")), edge_blocks(folded, block_edges, num_partitions),
+                      checkpoint_every)
+    backward = None
+    if both_ends:
+        turned = folded.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "m")
+        backward = _Search(targets, edge_blocks(turned, block_edges, num_partitions), checkpoint_every)
+
+    # The other side's newest level suffices: had an older one met this side, the search would have ended then.
+    meeting = None
     while True:
-        found = level.join(targets, level["vid"] == targets["__t"], "left_semi")
-        if not found.isEmpty():
-            hit_level, hits = depth, found
+        met = forward.levels[-1].select("vid").join(backward.levels[-1].select("vid") if backward else targets, "vid", "left_semi")
+        if not met.isEmpty():
+            meeting = met
             break
-        if depth >= max_path_length or level.isEmpty():
+        depth = forward.depth + (backward.depth if backward else 0)
+        if depth >= max_path_length or not forward.size or (backward and not backward.size):
             break
-        depth += 1
-        nxt = (level.join(folded, level["vid"] == folded["src"]).select(F.col("dst").alias("vid")).distinct()
-               .join(visited, "vid", "left_anti"))
-        cut = depth % checkpoint_every == 0
-        level = _checkpoint(nxt) if cut else _persist(nxt)
-        levels.append(level)
-        visited = visited.unionByName(level)
-        if cut:
-            visited = _checkpoint(_spread(visited, n, "vid"))
-
-    if hits is None:
-        paths = levels[0].limit(0).select(F.col("vid").alias("head"), F.col("vid").alias("target"),
-                                          F.array(F.col("vid")).alias("path"), F.lit(1.0).alias("edge_paths"))
-    else:
-        paths = hits.select(F.col("vid").alias("head"), F.col("vid").alias("target"),
-                            F.array(F.col("vid")).alias("path"), F.lit(1.0).alias("edge_paths"))
-        for k in range(hit_level - 1, -1, -1):
-            at_k = levels[k].select(F.col("vid").alias("__v"))
-            step = (paths.join(folded, paths["head"] == folded["dst"])
-                    .join(at_k, F.col("src") == F.col("__v"), "left_semi"))
-            paths = step.select(F.col("src").alias("head"), "target",
-                                F.concat(F.array(F.col("src")), F.col("path")).alias("path"),
-                                (F.col("edge_paths") * F.col("m")).alias("edge_paths"))
-            if (hit_level - k) % checkpoint_every == 0:
+        (backward if backward and backward.size < forward.size else forward).expand()
+
+    paths = (meeting if meeting is not None else targets.limit(0)).select(
+        F.col("vid").alias("head"), F.col("vid").alias("tail"), F.array("vid").alias("path"), F.lit(1.0).alias("edge_paths"))
+    if meeting is not None:
+        steps = [("head", lv) for lv in reversed(forward.levels[:-1])] + ([("tail", lv) for lv in reversed(backward.levels[:-1])] if backward else [])
+        for i, (end, level) in enumerate(steps, 1):
+            near, far = ("dst", "src") if end == "head" else ("src", "dst")
+            step = (paths.join(folded, paths[end] == folded[near])
+                    .join(level.select(F.col("vid").alias("__v")), F.col(far) == F.col("__v"), "left_semi"))
+            grown = F.concat(F.array("src"), "path") if end == "head" else F.concat("path", F.array("dst"))
+            kept = "tail" if end == "head" else "head"
+            paths = step.select(F.col(far).alias(end), kept, grown.alias("path"), (F.col("edge_paths") * F.col("m")).alias("edge_paths"))
+            if i % checkpoint_every == 0:
                 paths = _checkpoint(paths)
+    hops = (forward.depth + (backward.depth if backward else 0)) if meeting is not None else 0
+    if stats is not None:
+        stats["visited"] = forward.total + (backward.total if backward else 0)
     # materialise the answer once, then release every cached intermediate
     result = _checkpoint(paths)
-    for cached in (folded, targets, visited, *levels):
+    for search in (forward, backward):
+        if search is not None:
+            search.release()
+            search.blocks.release()
+    for cached in (folded, targets):
         cached.unpersist()
     return result.select(
-        F.col("head").alias("origin"), "target", F.lit(hit_level if hit_level is not None else 0).alias("hops"),
+        F.col("head").alias("origin"), F.col("tail").alias("target"), F.lit(hops).alias("hops"),
         F.concat_ws("->", F.transform("path", lambda x: x.cast("string"))).alias("path"), "edge_paths")
 
 
 def hop_distance(graph: Graph, landmarks: Sequence, max_hops: int | None = None,
-                 checkpoint_every: int = 3) -> DataFrame:
+                 checkpoint_every: int = 3, block_edges: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """Hop count from every vertex to each landmark, following edge direction.
 
-    Reverse breadth-first levels from the landmarks (GraphX ``ShortestPaths``
+    Reverse breadth-first levels from all landmarks at once (GraphX ``ShortestPaths``
     semantics); a landmark is 0 hops from itself; unreachable pairs give no row.
-    The reached pairs are written to one frame every ``checkpoint_every`` levels,
-    so the plan of a level and the frames held do not grow with the depth.
+    The landmarks are bits: a vertex has one row with the landmarks that it has reached, as
+    many longs as 64 of them need, a level sends each vertex's *new* bits over its
+    edges once and adds them by OR, and the pairs are only written out at the end.
     Output ``id, landmark, distance``.
     """
-    rev = stable(graph.edges.select(F.col("dst").alias("__to"), F.col("src").alias("__from")).distinct())
-    reached = stable(graph.vertices.filter(F.col("id").isin(list(landmarks))).select(
-        F.col("id"), F.col("id").alias("landmark"), F.lit(0).alias("distance")))
-    frontier, held = reached, []
-    d = 0
-    while not frontier.isEmpty() and (max_hops is None or d < max_hops):
-        d += 1
-        nxt = (frontier.join(rev, frontier["id"] == rev["__to"])
-               .select(F.col("__from").alias("id"), "landmark").distinct()
-               .join(reached.select("id", "landmark"), ["id", "landmark"], "left_anti").withColumn("distance", F.lit(d)))
-        frontier = _persist(nxt)
+    marks = list(dict.fromkeys(landmarks))
+    words = [f"w{i}" for i in range(max(1, -(-len(marks) // 64)))]
+    turned = graph.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")).distinct()
+    blocks = edge_blocks(turned, block_edges, num_partitions)
+    id_type = graph.vertices.schema["id"].dataType
+    bits = graph.vertices.sparkSession.createDataFrame([(m, i) for i, m in enumerate(marks)], StructType().add("id", id_type).add("bit", IntegerType()))
+    own = [F.coalesce(F.bit_or(F.when(F.floor(F.col("bit") / 64) == i, F.expr("shiftleft(1L, bit % 64)"))), F.lit(0).cast("long")).alias(w)
+           for i, w in enumerate(words)]
+    frontier = stable(graph.vertices.select("id").distinct().join(bits, "id").groupBy("id").agg(*own)
+                      .join(blocks.sources.withColumnRenamed("src", "id"), "id", "left").na.fill(0, ["blocks"]))
+    seen = frontier.select("id", *words)
+    levels, held = [frontier.select("id", *words, F.lit(0).alias("distance"))], [frontier]
+    depth = 0
+    while not frontier.isEmpty() and (max_hops is None or depth < max_hops):
+        depth += 1
+        sent, edges = _to_blocks(frontier), blocks.edges
+        arrived = (sent.join(edges, (sent["id"] == edges["src"]) & (sent["part"] == edges["part"]))
+                   .groupBy(F.col("dst").alias("id")).agg(*(F.bit_or(w).alias(w) for w in words), F.first("dst_blocks").alias("blocks")))
+        known = seen.select("id", *(F.col(w).alias(f"_{w}") for w in words))
+        new = (arrived.join(known, "id", "left")
+               .select("id", "blocks", *(F.col(w).bitwiseAND(F.bitwise_not(F.coalesce(f"_{w}", F.lit(0).cast("long")))).alias(w) for w in words))
+               .filter(" OR ".join(f"{w} <> 0" for w in words)))
+        cut = depth % checkpoint_every == 0
+        frontier = stable(new) if cut else _persist(new)
         held.append(frontier)
-        reached = reached.unionByName(frontier)
-        if d % checkpoint_every == 0:
-            reached = _checkpoint(reached)
-            frontier = stable(reached.filter(F.col("distance") == d))
-            for old in held:
+        levels.append(frontier.select("id", *words, F.lit(depth).alias("distance")))
+        seen = seen.unionByName(frontier.select("id", *words)).groupBy("id").agg(*(F.bit_or(w).alias(w) for w in words))
+        if cut:
+            levels = [_checkpoint(reduce(DataFrame.unionByName, levels))]
+            seen = stable(seen)
+            for old in held[:-1]:
                 old.unpersist()
-            held = [frontier]
-    result = _checkpoint(reached)
-    for cached in (rev, *held):
+            held = [frontier, seen]
+    reached = reduce(DataFrame.unionByName, levels)
+    # Every set bit is a pair.
+    pairs = reached.select("id", "distance", F.posexplode(F.array(*words)).alias("word", "value")).select(
+        "id", "distance", "word", F.explode(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda b: F.call_function("bit_get", F.col("value"), b) == 1)).alias("at"))
+    named = bits.withColumnRenamed("id", "landmark")
+    result = _checkpoint(pairs.join(named, F.col("bit") == F.col("word") * 64 + F.col("at")).select("id", "landmark", "distance"))
+    blocks.release()
+    for cached in held:
         cached.unpersist()
     return result
 
@@ -279,7 +392,8 @@ def hop_distance(graph: Graph, landmarks: Sequence, max_hops: int | None = None,
 
 def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None = None,
              tol: float | None = None, mode: str = "multiplicity", weight_col: str | None = None,
-             checkpoint_every: int = 5, num_partitions: int | None = None) -> DataFrame:
+             checkpoint_every: int = 5, num_partitions: int | None = None, count_col: str | None = None,
+             block_edges: int | None = None) -> DataFrame:
     """PageRank with GraphX's recurrence and final normalisation.
 
     ``r' = reset + (1 - reset) * sum(r_src * p(src -> dst))``, all ranks start at
@@ -295,13 +409,16 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
       "weighted" run, which folded fares but never passed the weight);
     * ``weight``       -- proportional to the summed ``weight_col``.
     Output ``id, pagerank``.
+
+    A round sends differences: ``d' = (1 - reset) * sum(d_src * p)``, added to the ranks, which is the
+    same recurrence, as it is linear.  A vertex whose rank did not change sends nothing.  The placed edges
+    are never shuffled in a round.
     """
     if max_iter is None and tol is None:
         raise ValueError("give max_iter, tol or both")
-    n = num_partitions
     e = graph.edges
     if mode == "multiplicity":
-        folded = e.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w"))
+        folded = _folded_counts(e, count_col).withColumnRenamed("m", "w")
     elif mode == "simple":
         folded = e.select("src", "dst").distinct().withColumn("w", F.lit(1.0))
     elif mode == "weight":
@@ -310,49 +427,42 @@ def pagerank(graph: Graph, reset_probability: float = 0.15, max_iter: int | None
         folded = e.groupBy("src", "dst").agg(F.sum(F.col(weight_col).cast("double")).alias("w"))
     else:
         raise ValueError(f"unknown mode {mode!r}")
+    folded = stable(folded)
     out_w = folded.groupBy("src").agg(F.sum("w").alias("__out"))
     verts = stable(graph.vertices.select("id").distinct())
-    # One zero-probability self row per vertex: every vertex then receives a
-    # row in the per-destination sum (no outer join with the vertex set per
-    # round), and that row carries the vertex's previous rank for the
-    # convergence test.
-    trans = (folded.join(out_w, "src")
-             .select("src", "dst", (F.col("w") / F.col("__out")).alias("p"), F.lit(False).alias("is_self"))
-             .unionByName(verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("p"),
-                                       F.lit(True).alias("is_self"))))
-    # Partitioned by the join key of a round: only ranks and contributions move, not the edge table.
-    trans = stable(_spread(trans, n or max(1, int(trans.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "src"))
-    ranks = verts.select("id", F.lit(1.0).alias("rank"))
-    held = None            # the materialised frame behind `ranks`, released when superseded
-    checkpointed = False   # is `ranks` read straight from a reliable checkpoint?
-    it = 0
+    blocks = edge_blocks(folded.join(out_w, "src").select("src", "dst", (F.col("w") / F.col("__out")).alias("p")), block_edges, num_partitions)
+    damping, edges = F.lit(1.0 - reset_probability), blocks.edges
+    # All ranks start at 1.0, so the first round's differences come from the edges alone, for every vertex.
+    moved = _persist(edges.select(F.col("dst").alias("id"), (damping * F.col("p")).alias("d"), F.col("dst_blocks").alias("blocks"))
+                     .unionByName(verts.select("id", F.lit(reset_probability - 1.0).alias("d"), F.lit(None).cast("int").alias("blocks")))
+                     .groupBy("id").agg(F.sum("d").alias("d"), F.max("blocks").alias("blocks"))
+                     .join(blocks.sources.select(F.col("src").alias("id"), F.col("blocks").alias("own")), "id", "left")
+                     .select("id", "d", F.coalesce("blocks", "own", F.lit(0)).alias("blocks")))
+    parts, held = [verts.select("id", F.lit(1.0).alias("d")), moved.select("id", "d")], [moved]
+    it = 1
     while max_iter is None or it < max_iter:
+        if tol is not None:
+            change = moved.agg(F.max(F.abs("d"))).first()[0]
+            if change is None or change < tol:
+                break
         it += 1
-        new = (ranks.join(trans, ranks["id"] == trans["src"])
-               .groupBy(F.col("dst").alias("id"))
-               .agg((F.lit(reset_probability) + F.lit(1.0 - reset_probability) * F.sum(F.col("rank") * F.col("p")))
-                    .alias("rank"),
-                    F.max(F.when(F.col("is_self"), F.col("rank"))).alias("__old")))
+        sent = _to_blocks(moved.filter("d <> 0"))
+        step = (sent.join(edges, (sent["id"] == edges["src"]) & (sent["part"] == edges["part"]))
+                .groupBy(F.col("dst").alias("id")).agg((damping * F.sum(F.col("d") * F.col("p"))).alias("d"), F.max("dst_blocks").alias("blocks")))
         cut = it % checkpoint_every == 0
-        materialise = cut or tol is not None
-        if materialise:
-            new = _checkpoint(new) if cut else _persist(new)
-        delta = None
-        if tol is not None:
-            delta = new.agg(F.max(F.abs(F.col("rank") - F.col("__old")))).first()[0]
-        if materialise:
-            if held is not None:
-                held.unpersist()
-            held = new
-        checkpointed = cut
-        ranks = new.drop("__old")
-        if tol is not None and (delta is None or delta < tol):
-            break
-    if not checkpointed:
-        ranks = _checkpoint(ranks)
-    for cached in (trans, verts, held):
-        if cached is not None:
-            cached.unpersist()
+        moved = stable(step) if cut else _persist(step)
+        parts.append(moved.select("id", "d"))
+        held.append(moved)
+        if cut:  # fold what has moved so far into the ranks
+            parts = [_checkpoint(reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("d").alias("d")))]
+            for old in held[:-1]:
+                old.unpersist()
+            held = [moved]
+    ranks = reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("d").alias("rank"))
+    ranks = _checkpoint(ranks)
+    blocks.release()
+    for cached in (folded, verts, *held):
+        cached.unpersist()
     rank_sum = ranks.agg(F.sum("rank")).scalar()
     n_vertices = ranks.agg(F.count(F.lit(1))).scalar()
     return ranks.select("id", (F.col("rank") * n_vertices / rank_sum).alias("pagerank"))

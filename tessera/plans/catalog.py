@@ -430,10 +430,14 @@ FROM ({TRIPS_SQL}) WHERE pickup_area IS NOT NULL AND dropoff_area IS NOT NULL"""
 LANDMARK = 9
 
 
-def _graph(t: Tables, reuse: bool = False) -> G.Graph:
-    """The trip graph; with ``reuse`` the joined trips are written once, for operators that read them several times."""
-    trips = S.trips(t)
-    return P.trip_graph(G.stable(trips) if reuse else trips)
+def _graph(t: Tables) -> G.Graph:
+    """The trip graph, an edge per trip."""
+    return P.trip_graph(S.trips(t))
+
+
+def _folded_graph(t: Tables) -> G.Graph:
+    """The trip graph, an edge per pair of areas: what searches and ranks need."""
+    return P.folded_trip_graph(S.trips(t))
 
 
 @register("union_vertices", VERTICES_SQL)
@@ -476,7 +480,7 @@ WITH e AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src, dst ORD
 SELECT e.src, e.dst, e.trip_miles, e.trip_seconds, e.fare, vs.label AS src_label, vd.label AS dst_label
 FROM e LEFT JOIN v vs ON e.src = vs.id LEFT JOIN v vd ON e.dst = vd.id""")
 def q_enriched_edges(t: Tables) -> DataFrame:
-    return G.enriched_edges(_graph(t, True), ["fare", "trip_miles", "trip_seconds"])
+    return G.enriched_edges(_graph(t), ["fare", "trip_miles", "trip_seconds"])
 
 
 @register("self_loops", f"SELECT * FROM ({EDGES_SQL}) WHERE src = dst")
@@ -517,7 +521,7 @@ FROM paths WHERE {tl} AND hops = (SELECT l FROM lvl)"""
 
 @register("bfs_paths", _bfs_sql(EDGES_SQL, VERTICES_SQL, f"x <> {LANDMARK}", f"x = {LANDMARK}"))
 def q_bfs_paths(t: Tables) -> DataFrame:
-    return G.bfs(_graph(t, True), f"id != {LANDMARK}", f"id = {LANDMARK}", 10)
+    return G.bfs(_folded_graph(t), f"id != {LANDMARK}", f"id = {LANDMARK}", 10, count_col="trips")
 
 
 @register("hop_distance", f"""
@@ -527,7 +531,7 @@ r(id, d) AS (SELECT id, 0 FROM ({VERTICES_SQL}) WHERE id = {LANDMARK}
   UNION SELECT e.src, r.d + 1 FROM r JOIN e ON e.dst = r.id WHERE r.d < (SELECT c FROM n))
 SELECT id, {LANDMARK} AS landmark, min(d) AS distance FROM r GROUP BY id""")
 def q_hop_distance(t: Tables) -> DataFrame:
-    return G.hop_distance(_graph(t, True), [LANDMARK])
+    return G.hop_distance(_folded_graph(t), [LANDMARK])
 
 
 def _pagerank_sql(weight_expr: str, folded_from: str, iters: int | None = None, tol: float | None = None,
@@ -560,7 +564,7 @@ SELECT id, {sql_round('rank * (SELECT count(*) FROM v) / (SELECT sum(rank) FROM
 
 
 def _pr(t: Tables, **kw) -> DataFrame:
-    return G.pagerank(_graph(t, True), 0.15, **kw).withColumn("pagerank", r6("pagerank"))
+    return G.pagerank(_folded_graph(t), 0.15, count_col="trips", **kw).withColumn("pagerank", r6("pagerank"))
 
 
 @register("pagerank_fixed", _pagerank_sql("CAST(count(*) AS DOUBLE)", EDGES_SQL, iters=10))
@@ -1041,6 +1045,26 @@ def q_basket_hop_distance(t: Tables) -> DataFrame:
     return G.hop_distance(_basket(t), [BASKET_TO])
 
 
+@register("basket_bfs_both_ends", _bfs_sql(BASKET_EDGES_SQL, PARTS_SQL, f"x = {BASKET_FROM}", f"x = {BASKET_TO}"))
+def q_basket_bfs_both_ends(t: Tables) -> DataFrame:
+    """The same paths, searched from both ends."""
+    return G.bfs(_basket(t), f"id = {BASKET_FROM}", f"id = {BASKET_TO}", 10, both_ends=True)
+
+
+N_LANDMARKS = 70
+
+
+@register("basket_landmarks", f"""
+WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM ({BASKET_EDGES_SQL})),
+r(id, landmark, d) USING KEY (id, landmark) AS (SELECT id, id AS landmark, 0 FROM ({PARTS_SQL}) WHERE id < {N_LANDMARKS}
+  UNION SELECT e.src, r.landmark, min(r.d) + 1 FROM r JOIN e ON e.dst = r.id
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.r x WHERE x.id = e.src AND x.landmark = r.landmark) GROUP BY e.src, r.landmark)
+SELECT id, landmark, min(d) AS distance FROM r GROUP BY id, landmark""")
+def q_basket_landmarks(t: Tables) -> DataFrame:
+    """Hops from every part to seventy landmarks, a bit for each."""
+    return G.hop_distance(_basket(t), list(range(N_LANDMARKS)))
+
+
 @register("basket_pagerank", _pagerank_sql("CAST(count(*) AS DOUBLE)", BASKET_EDGES_SQL, iters=10,
                                            vertices_sql=PARTS_SQL))
 def q_basket_pagerank(t: Tables) -> DataFrame:

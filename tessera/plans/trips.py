@@ -13,6 +13,7 @@ from tessera.functions.numeric import seconds_to_minutes, try_cast
 from tessera.functions.temporal import TRIP_TS_FORMAT, hour_of_day, parse_timestamp
 from tessera.operators.aggregates import binned_average, group_agg, summary_stats
 from tessera.operators.clean import drop_nulls
+from tessera.session import checkpoint_root
 from tessera.operators.graph import Graph, edges_from_rows, vertices_from_endpoints
 
 
@@ -59,3 +60,17 @@ def trip_graph(trips: DataFrame) -> Graph:
                             {"src": "int", "dst": "int", "trip_miles": "double", "trip_seconds": "int",
                              "fare": "double"})
     return Graph(vertices, edges)
+
+
+def folded_trip_graph(trips: DataFrame) -> Graph:
+    """The trip graph with one edge per pair of areas: ``trips`` of them, ``fare`` in total.
+
+    One pass over the trips, whose result is checkpointed: vertices and edges both come from it.
+    """
+    pairs = trips.groupBy(F.col("pickup_area").try_cast("int").alias("src"), F.col("dropoff_area").try_cast("int").alias("dst")).agg(
+        F.count(F.lit(1)).alias("trips"), F.sum(F.col("fare").cast("double")).alias("fare"),
+        F.min("pickup_label").alias("src_label"), F.min("dropoff_label").alias("dst_label"))
+    checkpoint_root(pairs.sparkSession)
+    pairs = pairs.checkpoint(eager=True)
+    vertices = vertices_from_endpoints(pairs, [{"id": "src", "label": "src_label"}, {"id": "dst", "label": "dst_label"}], order_by=["label"])
+    return Graph(vertices, edges_from_rows(pairs, "src", "dst", {"trips": "trips", "fare": "fare"}))

@@ -1,5 +1,9 @@
 """Graph operators on small graphs with known answers (FIXTURES.md section 3)."""
 
+import contextlib
+import io
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -117,3 +121,116 @@ def test_hop_distance_has_no_depth_limit(spark):
     edges = spark.range(30).selectExpr("id AS src", "id + 1 AS dst")
     got = {r["id"]: r["distance"] for r in G.hop_distance(G.Graph(spark.range(31), edges), [30]).collect()}
     assert got == {i: 30 - i for i in range(31)}
+
+
+def _hub_edges(n=900):
+    """A third of all edges leave vertex 0, another third arrives at vertex 1."""
+    rng = random.Random(1)
+    third = n // 3
+    return ([(0, i % 200 + 2) for i in range(third)] + [(i % 200 + 2, 1) for i in range(third)]
+            + [(rng.randint(0, 201), rng.randint(0, 201)) for _ in range(third)])
+
+
+def _plain_ranks(edges, rounds):
+    ids = sorted({x for e in edges for x in e})
+    out = {i: [d for s, d in edges if s == i] for i in ids}
+    ranks = dict.fromkeys(ids, 1.0)
+    for _ in range(rounds):
+        new = dict.fromkeys(ids, 0.15)
+        for i in ids:
+            for d in out[i]:
+                new[d] += 0.85 * ranks[i] / len(out[i])
+        ranks = new
+    scale = len(ids) / sum(ranks.values())
+    return {i: r * scale for i, r in ranks.items()}
+
+
+@pytest.mark.parametrize("block_edges", [100_000, 20])
+def test_hubs_are_cut_into_blocks(spark, block_edges):
+    edges = _hub_edges()
+    g = _graph(spark, edges)
+    got = {r["id"]: r["pagerank"] for r in G.pagerank(g, max_iter=12, block_edges=block_edges).collect()}
+    want = _plain_ranks(edges, 12)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+    blocks = G.edge_blocks(g.edges.distinct(), block_edges)
+    sizes = [r["count"] for r in blocks.edges.groupBy("src", "part").count().collect()]
+    hub = blocks.edges.filter("src = 0")
+    assert hub.select("part").distinct().count() == (1 if block_edges > 1000 else -(-hub.count() // 20))
+    assert max(sizes) <= 3 * block_edges
+    hops = {r["id"]: r["distance"] for r in G.hop_distance(g, [1], block_edges=block_edges).collect()}
+    assert hops == _plain_hops(edges, 1)
+    blocks.release()
+
+
+def _plain_hops(edges, target):
+    hops, level = {target: 0}, {target}
+    while level:
+        level = {s for s, d in edges if d in level and s not in hops}
+        hops.update(dict.fromkeys(level, max(hops.values()) + 1))
+    return hops
+
+
+def test_many_landmarks_are_bits(spark):
+    rng = random.Random(6)
+    edges = [(rng.randint(0, 149), rng.randint(0, 149)) for _ in range(260)]
+    g = _graph(spark, edges)
+    ids = sorted({x for e in edges for x in e})
+    marks = ids[:130] + [9999]
+    got = {}
+    for r in G.hop_distance(g, marks).collect():
+        got.setdefault(r["landmark"], {})[r["id"]] = r["distance"]
+    assert got == {m: _plain_hops(edges, m) for m in ids[:130]}
+    assert G.hop_distance(g, marks, max_hops=1).agg({"distance": "max"}).first()[0] == 1
+
+
+def test_search_from_both_ends_visits_less_and_finds_the_same(spark):
+    rng = random.Random(9)
+    edges = [(rng.randint(0, 599), rng.randint(0, 599)) for _ in range(1800)]
+    g = _graph(spark, edges)
+    for a, b in ((0, 5), (3, 300), (17, 401)):
+        one, two = {}, {}
+        plain = G.bfs(g, f"id = {a}", f"id = {b}", 12, stats=one)
+        met = G.bfs(g, f"id = {a}", f"id = {b}", 12, both_ends=True, stats=two)
+        assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, met.collect()))
+        assert two["visited"] < 0.6 * one["visited"]
+    for pair in (("id < 3", "id = 2 OR id = 9"), ("id = 9999", "id = 1"), ("id = 1", "id = 9999")):
+        assert sorted(map(tuple, G.bfs(g, *pair).collect())) == sorted(map(tuple, G.bfs(g, *pair, both_ends=True).collect()))
+    assert G.bfs(g, "id = 3", "id = 300", 1, both_ends=True).count() == 0
+
+
+def _plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_a_round_leaves_the_edges_where_they_are(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+              if spark.conf.get(k, None) is not None}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        g = _graph(spark, _hub_edges())
+        blocks = G.edge_blocks(g.edges.distinct(), 20, num_partitions=3)
+        blocks.edges.count()
+        sent = G._to_blocks(spark.createDataFrame([(0, 1.0, 10)], "id int, d double, blocks int"))
+        step = sent.join(blocks.edges, (sent["id"] == blocks.edges["src"]) & (sent["part"] == blocks.edges["part"]))
+        text = _plan(step)
+        # One exchange: the messages.  The cached edges are read in place, sorted already.
+        join = text[:text.index("InMemoryRelation")]
+        assert join.count("Exchange") == 1 and join.count("Sort [") == 1, text
+        assert step.count() == blocks.edges.filter("src = 0").count()
+        blocks.release()
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold",):
+            spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)
+
+
+def test_nothing_stays_cached(spark):
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    g = _graph(spark, _hub_edges(300))
+    G.pagerank(g, max_iter=7).count()
+    G.pagerank(g, tol=0.01).count()
+    G.hop_distance(g, [1, 2]).count()
+    G.bfs(g, "id = 0", "id = 1", both_ends=True).count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
