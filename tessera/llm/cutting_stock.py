@@ -22,18 +22,19 @@ ignored unless named in ``keep``.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.llm.bpe import Encoder, Vocabulary
-from tessera.llm.common import by_bytes
+from tessera.llm.common import by_bytes, hand_back
 from tessera.session import scratch_path
 
 WIDTH = 2048
@@ -43,7 +44,9 @@ TASKS_PER_BLOCK = 512
 _STALL = 16
 _COLUMNS_A_ROUND = 96
 _EPS = 1e-7
-_MEMO_BYTES = 48 << 20
+_MEMO_BYTES = 160 << 20  # a Python worker
+_ENTRY_BYTES = 200  # of a dictionary's entry, beside its key's and value's own bytes
+_SPACES = regex.compile(r" \s")
 _GROUP_BYTES = 1 << 20
 
 
@@ -268,41 +271,76 @@ class Slots:
 
 # Encoding.
 
-def encode_texts(encoder: Encoder, memo: dict[str, bytes], texts: list[str]) -> list[bytes]:
-    """Ids of each text.  A text is cut before each single space that a word follows: the pre-tokenizer cuts there
+class Memo:
+    """Ids of parts of texts: the parts of late, and those of before that are asked for again.
+
+    When the young ones take half of ``size`` bytes the old ones go, so frequent parts stay.
+    """
+
+    def __init__(self, size: int = _MEMO_BYTES):
+        self.size, self.young, self.old, self.bytes = size, {}, {}, 0
+
+    def missing(self, parts: set[str]) -> list[str]:
+        """The parts without ids; old ones become young."""
+        young, old = self.young, self.old
+        fresh = [p for p in parts if p not in young]  # not by difference of keys, which would walk the whole memo
+        self.learn([(p, old[p]) for p in fresh if p in old])
+        return [p for p in fresh if p not in old]
+
+    def learn(self, pairs: Iterable[tuple[str, bytes]]) -> None:
+        pairs = list(pairs)
+        self.young.update(pairs)
+        self.bytes += _ENTRY_BYTES * len(pairs) + sum([2 * len(part) + len(ids) for part, ids in pairs])
+
+    def age(self) -> None:
+        if self.bytes > self.size // 2:
+            self.young, self.old, self.bytes = {}, self.young, 0
+
+
+def encode_texts(encoder: Encoder, memo: Memo, texts: list[str]) -> list[bytes]:
+    """Ids of each text.  A text is cut before each space that a word follows: the pre-tokenizer cuts there
     too, so the parts can be encoded, and remembered, by themselves."""
-    plain = [t for t in texts if not encoder.specials.search(t) and "  " not in t]
+    plain = [t for t in texts if not encoder.specials.search(t)]
     parts = [_parts(t) for t in plain]
-    new = list(set().union(*parts) - memo.keys())
+    memo.age()
+    new = memo.missing(set().union(*parts))
     tokens = [encoder.pattern.findall(p) for p in new]
-    unseen = list(set().union(*tokens))
-    ids = dict(zip(unseen, encoder.merge(unseen)))
-    memo.update((p, b"".join([ids[t] for t in line])) for p, line in zip(new, tokens))
-    known = {t: b"".join([memo[p] for p in line]) for t, line in zip(plain, parts)}
-    out = []
+    words = set().union(*tokens)
+    unseen = memo.missing(words)
+    memo.learn(zip(unseen, encoder.merge(unseen)))
+    ids = memo.young
+    memo.learn([(p, b"".join([ids[t] for t in line])) for p, line in zip(new, tokens) if len(line) != 1])
+    known = {t: b"".join([ids[p] for p in line]) for t, line in zip(plain, parts)}
     for t in texts:
         if t not in known:
             known[t] = encoder.encode(t)
-        out.append(known[t])
-    return out
+    return [known[t] for t in texts]
 
 
 def _parts(text: str) -> list[str]:
     """The text cut before every space that something other than white space follows."""
     head, *rest = text.split(" ")
+    if not _SPACES.search(text):
+        return ([head] if head else []) + [" " + word for word in rest]
     out = [head] if head else []
     for word in rest:
-        if word and not word[0].isspace():
+        if word and not word[0].isspace() or not out:
             out.append(" " + word)
-        elif out:
-            out[-1] += " " + word
         else:
-            out.append(" " + word)
+            out[-1] += " " + word
     return out
 
 
-def _memo_bytes(memo: dict[str, bytes]) -> int:
-    return sum(map(len, memo)) * 2 + sum(map(len, memo.values())) + 160 * len(memo)
+_WORKER: dict[int, tuple[Encoder, Memo]] = {}
+
+
+def _worker_encoder(shared) -> tuple[Encoder, Memo]:
+    """The Python worker's encoder and memo: its next task goes on with both."""
+    key = shared._jbroadcast.id() if getattr(shared, "_jbroadcast", None) else id(shared.value)
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = (Encoder(shared.value), Memo())
+    return _WORKER[key]
 
 
 def encode_remainders(spark: SparkSession, docs: DataFrame, tokenizer_path: str, width: int, end_id: int,
@@ -315,17 +353,13 @@ def encode_remainders(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
     own = ["ids", "task", "rem", "rem_rank", "full_rank"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, memo, memo_size = Encoder(shared.value), {}, 0
+        hand_back()  # what earlier stages left in this worker
+        encoder, memo = _worker_encoder(shared)
         task, seen = TaskContext.get().partitionId(), np.zeros(width + 1, dtype=np.int64)
         for whole in batches:
             for batch in by_bytes(whole, n_keep, _GROUP_BYTES):
-                before = len(memo)
                 ids = [i + end for i in encode_texts(encoder, memo, [t or "" for t in batch.column(n_keep).to_pylist()])]
                 encoder.forget()  # ids of texts with special tokens or runs of spaces
-                if len(memo) > before + before // 8:
-                    memo_size = _memo_bytes(memo)
-                if memo_size > _MEMO_BYTES:
-                    memo, memo_size = {}, 0
                 rem, rem_rank, full_rank = [], [], []
                 for i in ids:
                     full, r = divmod(len(i) // 4, width)

@@ -183,7 +183,7 @@ def test_parts_of_a_text_encode_like_the_whole(encoder):
     texts = ["", " ", "  ", "a  b", " a", "a ", "a\n b", "a \nb", "a\t b c", "　 x", "it's  we'll\r\n\r\n  x", "x <|endoftext|> y", "  a  b"]
     texts += ["".join(rng.choice("ab1. \n\t  é'日$") for _ in range(rng.randint(0, 40))) for _ in range(3000)]
     texts += [t for _, t in odd_rows() if t]
-    memo = {}
+    memo = cutting_stock.Memo(20_000)
     got = cutting_stock.encode_texts(encoder, memo, texts) + cutting_stock.encode_texts(encoder, memo, texts[::-1])[::-1]
     assert got == [encoder.encode(t) for t in texts] * 2
 
