@@ -14,7 +14,7 @@ import argparse
 import sys
 
 from tessera.plans.catalog import ORACLE_SQL, QUERIES
-from tessera.session import build_session
+from tessera.session import build_session, delete_scratch
 from tessera.sources.sinks import preview, write_csv, write_parquet
 
 
@@ -43,6 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         (write_csv if args.format == "csv" else write_parquet)(df, args.out)
         print(f"wrote {args.query} to {args.out}")
+    delete_scratch(spark)
     spark.stop()
     return 0
 

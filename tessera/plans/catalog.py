@@ -39,7 +39,7 @@ from tessera.sources.csv import all_strings, read_csv
 from tessera.sources.sinks import row_count, write_csv
 from tessera.sources.tables import Tables
 from tessera.streaming import logs as SL
-from tessera.streaming.sinks import progress_frame, run_stream
+from tessera.streaming.sinks import preview_stream, progress_frame, run_stream
 from tessera.streaming import stateful as SF
 from tessera.streaming.sources import replay, replay_in_time_order, table_stream
 
@@ -290,6 +290,21 @@ def q_category_share(t: Tables) -> DataFrame:
     return out.withColumn("percentage", r6("percentage"))
 
 
+_GAPPY_RATING_SQL = """SELECT CASE WHEN l_orderkey % 41 = 0 THEN NULL WHEN l_linenumber = 6 THEN 5.5 ELSE ceil(l_quantity / 5) / 2.0 END AS r
+  FROM lineitem"""
+
+
+@register("category_share_gaps", f"""
+WITH c AS (SELECT {RATING_CATEGORY_SQL} AS rating_category, count(*) AS rating_count FROM ({_GAPPY_RATING_SQL}) GROUP BY 1)
+SELECT rating_category, rating_count, {sql_round('rating_count / (SELECT sum(rating_count) FROM c) * 100')} AS percentage FROM c""")
+def q_category_share_gaps(t: Tables) -> DataFrame:
+    """Ratings that are missing or beyond the scale are Unknown."""
+    rating = (F.when(F.col("l_orderkey") % 41 == 0, F.lit(None)).when(F.col("l_linenumber") == 6, F.lit(5.5))
+              .otherwise(F.ceil(F.col("l_quantity") / F.lit(5)) / F.lit(2.0)))
+    out = R.category_distribution(t.lineitem.select(rating.alias("rating")), "rating", "rating_count", "percentage")
+    return out.withColumn("percentage", r6("percentage"))
+
+
 @register("half_year_counts", """
 SELECT CASE WHEN month(o_orderdate) BETWEEN 1 AND 6 THEN 'Early Year' ELSE 'Late Year' END AS time_of_year,
   count(*) AS order_count FROM orders GROUP BY 1""")
@@ -483,6 +498,16 @@ def q_enriched_edges(t: Tables) -> DataFrame:
     return G.enriched_edges(_graph(t), ["fare", "trip_miles", "trip_seconds"])
 
 
+@register("enriched_edges_gaps", f"""
+WITH e AS (SELECT DISTINCT src, dst FROM ({EDGES_SQL})), v AS (SELECT n_nationkey AS id, n_name AS label FROM nation WHERE n_regionkey <> 2)
+SELECT e.src, e.dst, vs.label AS src_label, vd.label AS dst_label
+FROM e LEFT JOIN v vs ON e.src = vs.id LEFT JOIN v vd ON e.dst = vd.id""")
+def q_enriched_edges_gaps(t: Tables) -> DataFrame:
+    """A dimension that lacks some of the areas: their edges stay, without a label."""
+    vertices = t.nation.filter("n_regionkey <> 2").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("label"))
+    return G.enriched_edges(G.Graph(vertices, _graph(t).edges.select("src", "dst")))
+
+
 @register("self_loops", f"SELECT * FROM ({EDGES_SQL}) WHERE src = dst")
 def q_self_loops(t: Tables) -> DataFrame:
     return G.self_loops(_graph(t).edges)
@@ -614,6 +639,19 @@ def q_connected_vertices(t: Tables) -> DataFrame:
     return G.connected_vertices(g)
 
 
+@register("connected_parts", """
+SELECT p_partkey AS id, p_name AS name FROM part WHERE p_partkey IN (
+  SELECT unnest([a.l_partkey, b.l_partkey]) FROM lineitem a JOIN lineitem b
+  ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 WHERE a.l_quantity >= 49 AND b.l_quantity >= 49)""")
+def q_connected_parts(t: Tables) -> DataFrame:
+    """Parts next to each other in large lines; most parts are isolated there."""
+    large = t.lineitem.filter("l_quantity >= 49")
+    a = large.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("src"))
+    b = large.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("l_partkey").alias("dst"))
+    edges = a.join(b, ["l_orderkey", "l_linenumber"]).select("src", "dst")
+    return G.connected_vertices(G.Graph(t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")), edges))
+
+
 # ---------------------------------------------------------------- task 4: logs (batch)
 
 _EID, _UID = "CAST(event_id AS VARCHAR)", "CAST(user_id AS VARCHAR)"
@@ -678,9 +716,7 @@ def q_log_parse(t: Tables) -> DataFrame:
 SELECT value, log_level, block_id, ip AS hostname FROM ({FIELDS_SQL})
 WHERE log_level = 'INFO' AND block_id IS NOT NULL AND ip IS NOT NULL""")
 def q_log_filter(t: Tables) -> DataFrame:
-    f = block_fields(L.parsed(_lines(t)))
-    f = f.filter((F.col("log_level") == "INFO") & F.col("block_id").isNotNull() & F.col("ip").isNotNull())
-    return f.select("value", "log_level", "block_id", F.col("ip").alias("hostname"))
+    return L.block_lines(_lines(t))
 
 
 @register("level_component_filter", f"""
@@ -902,6 +938,42 @@ def q_stream_state_host_bytes(t: Tables) -> DataFrame:
     return SF.running_sums(t.spark, run, "hostname", "total_bytes")
 
 
+@register("stream_preview", "SELECT least(count(*), 20) AS previewed, least(count(*), 20) AS known FROM events")
+def q_stream_preview(t: Tables) -> DataFrame:
+    """K6: the first twenty lines of the stream, each a line of the table."""
+    shown = preview_stream(_log_stream(t), 20, "stream_preview")
+    known = shown.join(_lines(t).distinct(), "value", "left_semi")
+    return shown.agg(F.count(F.lit(1)).alias("previewed"), F.lit(known.agg(F.count(F.lit(1))).scalar()).alias("known"))
+
+
+@register("stream_triggers", """
+SELECT t AS trigger, event_type, count(*) AS n FROM events, (VALUES ('available_now'), ('processing_time')) v(t) GROUP BY 1, 2""")
+def q_stream_triggers(t: Tables) -> DataFrame:
+    """The same counts under either trigger."""
+    def counts(name: str, trigger: dict) -> DataFrame:
+        frame = _replayed(t).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+        out = run_stream(frame, "complete", f"stream_trigger_{name}", trigger=trigger).result()
+        return out.select(F.lit(name).alias("trigger"), "event_type", "n")
+
+    return counts("available_now", {"availableNow": True}).unionByName(counts("processing_time", {"processingTime": "200 milliseconds"}))
+
+
+@register("stream_resumed", "SELECT event_type, count(*) AS n, true AS went_on FROM events GROUP BY 1")
+def q_stream_resumed(t: Tables) -> DataFrame:
+    """A query that ends and is started again on its checkpoint counts each row once."""
+    source, out = scratch_path(t.spark, "resumed_source"), scratch_path(t.spark, "stream_resumed")
+    half = t.events.agg(F.percentile_approx("event_id", 0.5)).scalar()
+
+    def run(rows: DataFrame, folder: str) -> DataFrame:
+        rows.write.parquet(f"{source}/{folder}")
+        stream = t.spark.readStream.schema(t.events.schema).parquet(f"{source}/*")
+        return run_stream(stream.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), "complete", "stream_resumed", out=out).result()
+
+    first = run(t.events.filter(F.col("event_id") <= half), "first").agg(F.sum("n")).first()[0]
+    second = run(t.events.filter((F.col("event_id") > half) | F.col("event_id").isNull()), "second")
+    return second.withColumn("went_on", F.lit(first) < second.agg(F.sum("n")).scalar())
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 @register("csv_round_trip", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.logs import COMPONENT_PATTERN, block_fields, parse_log_lines
+from tessera.functions.logs import (BLOCK_PATTERN, COMPONENT_PATTERN, IPV4_PATTERN, LEVEL_PATTERN, block_fields, extract,
+                                    parse_log_lines)
 from tessera.functions.temporal import to_ntz
 from tessera.operators.aggregates import compare_with_global
 
@@ -70,6 +71,20 @@ def host_bytes(lines: DataFrame, keep_unmatched: bool = False) -> DataFrame:
             .orderBy(F.col("total_bytes").desc_nulls_last(), F.col("hostname").asc_nulls_first()))
 
 
+def block_lines(lines: DataFrame, level: str = "INFO") -> DataFrame:
+    """``value, log_level, block_id, hostname`` of the lines of one level that name a block and an address.
+
+    Plain substring tests come first: they are cheap, drop most other lines and leave less for
+    the patterns, each of which is then matched once.
+    """
+    likely = lines.filter(F.col("value").contains(level) & F.col("value").contains("blk_") & F.col("value").contains("."))
+    found = likely.select("value", F.struct(extract("value", LEVEL_PATTERN).alias("log_level"), extract("value", BLOCK_PATTERN).alias("block_id"),
+                                            extract("value", IPV4_PATTERN).alias("hostname")).alias("f"))
+    # Generated rows keep the three patterns from being matched again for the filter.
+    found = found.select("value", F.explode(F.array("f")).alias("f")).select("value", "f.*")
+    return found.filter((F.col("log_level") == level) & F.col("block_id").isNotNull() & F.col("hostname").isNotNull())
+
+
 def host_block_operations(lines: DataFrame, level: str = "INFO", keep_unmatched: bool = False) -> DataFrame:
     """INFO lines that name a block and an IPv4 address, counted per address.
 

@@ -111,10 +111,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_GIVEN: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique sub-folder of the shared checkpoint folder for one job/run."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    _GIVEN.append(f"{root}/{name}-{uuid.uuid4().hex[:12]}")
+    return _GIVEN[-1]
+
+
+def delete_scratch(spark: SparkSession) -> int:
+    """Delete the folders that ``scratch_path`` has given out in this process; their results can no longer be read.
+
+    For callers that are done with what they asked for.  Returns the number of folders that were there.
+    """
+    deleted = 0
+    while _GIVEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_GIVEN.pop())
+        deleted += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return deleted
 
 
-__all__ = ["build_session", "scale_conf", "ensure_utc", "checkpoint_root", "scratch_path"]
+__all__ = ["build_session", "scale_conf", "ensure_utc", "checkpoint_root", "scratch_path", "delete_scratch"]

@@ -236,6 +236,15 @@ def read_snapshot(spark: SparkSession, out: str, mode: str, keys: Sequence[str]
     raise ValueError(f"unknown output mode {mode!r}")
 
 
+def preview_stream(df: DataFrame, n: int, name: str, timeout_s: float | None = None) -> DataFrame:
+    """K6: the first ``n`` rows that a stream brings, in append mode; the query ends by itself when its input is drained.
+
+    The cap is Spark's streaming limit: its count is kept in the checkpoint, so later batches and a
+    restart add nothing.
+    """
+    return run_stream(df.limit(n), "append", name, timeout_s=timeout_s).result()
+
+
 def progress_frame(spark: SparkSession, run: StreamRun) -> DataFrame:
     """One row per micro-batch with its id, input rows and durations."""
     rows = [(int(p["batchId"]), int(p.get("numInputRows", 0)),

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.streaming import stateful as SF
-from tessera.streaming.sinks import run_stream
+from tessera.session import delete_scratch, scratch_path
+from tessera.streaming.sinks import preview_stream, run_stream
 from tessera.streaming.sources import replay, replay_in_time_order
 
 T0 = dt.datetime(2024, 3, 1)
@@ -134,3 +135,21 @@ def test_replay_keeps_batches_apart(spark, tmp_dir):
     query.awaitTermination()
     assert [tuple(s) for s in sizes] == [(600, 999, 400), (0, 299, 300), (300, 599, 300)]
     assert replay(spark, rows.filter("false"), [F.lit(True)], f"{tmp_dir}/none").isStreaming
+
+
+def test_a_preview_stops_at_its_cap(spark, tmp_dir):
+    rows = spark.range(500).withColumn("at", F.timestamp_seconds("id"))
+    shown = preview_stream(replay_in_time_order(spark, rows, "at", tmp_dir), 130, "preview")
+    assert shown.count() == 130 and shown.agg(F.max("id")).first()[0] < 250  # the first batches, not all
+    assert preview_stream(replay_in_time_order(spark, rows, "at", f"{tmp_dir}/b"), 10_000, "preview").count() == 500
+
+
+def test_scratch_is_deleted_when_the_caller_is_done(spark):
+    delete_scratch(spark)
+    path = scratch_path(spark, "mine")
+    spark.range(3).write.parquet(path)
+    scratch_path(spark, "never_written")
+    assert spark.read.parquet(path).count() == 3
+    assert delete_scratch(spark) == 1 and delete_scratch(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
