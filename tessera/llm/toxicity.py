@@ -64,12 +64,14 @@ _MEMBER = rf"(?:[^\W\d_]|[{_SIGNS}])"
 _SEPARATOR = rf"(?:[^\w{_SIGNS}]|_)"
 _SETS = re.compile(rf"(?<![^\W_]){_MEMBER}(?:{_SEPARATOR}{{1,3}}{_MEMBER}){{2,}}(?![^\W_])")
 _MEMBERS = re.compile(_MEMBER)
-_TOKEN = re.compile(rf"[a-z{_SIGNS}]*[{_SIGNS}][a-z{_SIGNS}]*")
+# Each run of letters and signs is tried once, from its beginning: a long run without a sign costs its length.
+_TOKEN = re.compile(rf"(?<![a-z{_SIGNS}])[a-z]*+[{_SIGNS}][a-z{_SIGNS}]*+")
 _MIXED = re.compile(rf"[{_SIGNS}][a-z]|[a-z](?:[013-9]+|[@$€£]{{1,2}})$")
 # Signs after the last letter are punctuation or decoration, unless they are digits ("foo0") or one or two that look like letters ("a$$").
 _TAIL = re.compile(rf"(?<![{_SIGNS}])[{_SIGNS}]+$")
 _TAIL_READ = re.compile(r"[013-9]+|[@$€£]{1,2}(?![@$€£])")
-_STRETCHED = re.compile(r"(?<![^\W\d_])[a-z]*([a-z])\1\1[a-z]*(?![^\W\d_])")
+_WORD = re.compile(r"[^\W\d_]++")
+_TRIPLE = re.compile(r"([a-z])\1\1")
 _SLICE_ROWS = 1000
 
 
@@ -259,6 +261,10 @@ class Decoder:
             return f" {' '.join(dict.fromkeys(found))} {token}"
         return found[0] + token[len(body):]
 
+    def _stretched(self, match: re.Match) -> str:
+        word = match.group()
+        return self.decode(word) if _TRIPLE.search(word) and word.isascii() else word
+
     def restore(self, text: str) -> str:
         """The lower-cased text with its obfuscated words replaced by their readings."""
         text = text.lower()
@@ -268,7 +274,7 @@ class Decoder:
         if mixed:
             text = _TOKEN.sub(self._mixed, text)
         if stretched:
-            text = _STRETCHED.sub(lambda m: self.decode(m.group()), text)
+            text = _WORD.sub(self._stretched, text)
         return text
 
 

@@ -195,3 +195,13 @@ def test_pipeline_keeps_clean_documents(spark, sf_dir):
     clean = read_table(spark, sf_dir, "labels").filter("toxic = 0").join(docs, "doc_id")
     assert kept.join(clean.select("doc_id"), "doc_id").count() >= 0.97 * clean.count()
     assert C.run(spark, sf_dir).columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_long_runs_cost_their_length():
+    import time
+
+    decoder = toxicity.Decoder(toxicity.trigram_costs(np.ones((toxicity.SYMBOLS,) * 3)))
+    for text in ("1d10t " + "abcde" * 200_000, "stuuupid " + "abcde" * 200_000, "abcde" * 200_000 + "é 1d10t stuuupid", "xy" * 500_000 + " aaab"):
+        start = time.process_time()
+        decoder.restore(text)
+        assert time.process_time() - start < 3
