@@ -10,7 +10,7 @@ input size:
   at most ``3 * units``) is a unit of its own;
 * all other groups fall into ``units`` bundles by the hash of their text;
 * a *giant* group (at least ``1/256`` of bytes, tokens or rows) is cut into slices by
-  the hash of the document id, so no task ever holds it.  It stays on one shard
+  the row's place in the staged table, so no task ever holds it, also where its rows repeat an id.  It stays on one shard
   while it is no larger than a shard; beyond that its slices are placed one by one.
 
 Law: ``bytes``.  The shards' sizes differ by about one unit (1/1024 of a shard at
@@ -67,7 +67,9 @@ def pack_shards(spark: SparkSession, docs: DataFrame, n_shards: int = 16, units:
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.regexp_count(text, F.lit("[^ \\t-\\r]+")).cast("long").alias("tokens"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.md5(text.cast("binary")).alias("g")), "shard-rows")
+        F.md5(text.cast("binary")).alias("g"),
+        # Task and place in it: told once, when the table is written.
+        F.monotonically_increasing_id().alias("place")), "shard-rows")
     groups = staged(spark, rows.groupBy("g").agg(
         F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count("*").alias("r")), "shard-groups")
     total = groups.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in "btr")).first()
@@ -88,7 +90,7 @@ def pack_shards(spark: SparkSession, docs: DataFrame, n_shards: int = 16, units:
         pd.DataFrame({"g": giants.g.astype(str), "n": np.maximum(MIN_SLICES, -(-giants.r.astype("int64") // SLICE_ROWS))}),
         "g string, n long")
     sliced = (rows.join(F.broadcast(parts), "g")
-              .groupBy("g", F.pmod(F.xxhash64("doc_id"), F.col("n")).alias("slice"))
+              .groupBy("g", F.pmod(F.xxhash64("place"), F.col("n")).alias("slice"))
               .agg(F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count("*").alias("r")).toPandas())
 
     # Placement: whole groups where they fit a shard, slices of larger ones.
@@ -115,10 +117,10 @@ def pack_shards(spark: SparkSession, docs: DataFrame, n_shards: int = 16, units:
             on="g", how="left").fillna({"n": 1}).astype({"n": "int64"}), "g string, n long")
     placed = (rows.join(F.broadcast(own), "g", "left")
               .withColumn("bundle", F.when(F.col("n").isNull(), F.pmod(F.xxhash64("g"), F.lit(units))).otherwise(F.lit(-1)))
-              .withColumn("slice", F.when(F.col("n") > 1, F.pmod(F.xxhash64("doc_id"), F.col("n"))).otherwise(F.lit(0)))
+              .withColumn("slice", F.when(F.col("n") > 1, F.pmod(F.xxhash64("place"), F.col("n"))).otherwise(F.lit(0)))
               .withColumn("g", F.when(F.col("n").isNull(), F.lit("")).otherwise(F.col("g")))
               .join(F.broadcast(table), ["g", "slice", "bundle"]))
-    in_unit = Window.partitionBy("g", "slice", "bundle").orderBy("doc_id", "text_crc32", "size")
+    in_unit = Window.partitionBy("g", "slice", "bundle").orderBy("doc_id", "text_crc32", "size", "place")
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         (F.col("first") + F.row_number().over(in_unit) - 1).alias("slot"),

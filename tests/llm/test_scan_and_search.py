@@ -145,6 +145,43 @@ def test_placement_takes_the_highest_dot_product():
     assert loads == [[10.0, 10.0], [10.0, 10.0]]
 
 
+def plain_place(vectors, n_shards):
+    """The greedy as a plain loop: largest first, highest dot product with what is left where it fits."""
+    total = [max(1e-300, sum(v[d] for v in vectors)) / n_shards for d in range(len(vectors[0]))]
+    demand = [[v[d] / total[d] for d in range(len(v))] for v in vectors]
+    left = [[1.0] * len(total) for _ in range(n_shards)]
+    out = [None] * len(vectors)
+    for i in sorted(range(len(vectors)), key=lambda i: -max(demand[i])):
+        fits = [s for s in range(n_shards) if all(a >= b for a, b in zip(left[s], demand[i]))]
+        if fits:
+            best = max(fits, key=lambda s: (sum(a * b for a, b in zip(left[s], demand[i])), -s))
+        else:
+            best = max(range(n_shards), key=lambda s: (min(a - b for a, b in zip(left[s], demand[i])), -s))
+        left[best] = [a - b for a, b in zip(left[best], demand[i])]
+        out[i] = best
+    return out
+
+
+def test_placement_is_the_plain_greedy():
+    rng = np.random.default_rng(7)
+    for _ in range(20):
+        vectors = rng.integers(1, 1000, size=(60, 3)).astype(float)
+        assert place(vectors, 5).tolist() == plain_place(vectors.tolist(), 5)
+
+
+@pytest.mark.parametrize("ids", ["null", "equal", "own"])
+def test_repeated_rows_are_spread_over_shards(spark, ids):
+    doc_id = {"null": "CAST(NULL AS LONG)", "equal": "7L", "own": "id"}[ids]
+    copies = spark.range(4000).selectExpr(f"IF(id % 2 = 0, {doc_id}, id + 10000) AS doc_id",
+                                          "IF(id % 2 = 0, 'one text of many', concat('text ', id, ' and some more')) AS text")
+    out = pack_shards(spark, copies, n_shards=16).toPandas()
+    assert len(out) == 4000
+    sizes = out.groupby("shard")["size"].sum()
+    assert len(sizes) == 16 and sizes.max() - sizes.min() < 0.02 * sizes.mean() + 60
+    for _, part in out.groupby("shard"):
+        assert sorted(part.slot) == list(range(len(part)))
+
+
 def test_shards_are_balanced_and_gapless(spark, odd_docs, no_docs):
     rng = random.Random(4)
     rows = [(100 + i, syllables(i, rng.randint(1, 80))) for i in range(1500)] + [(5000 + i, "one copy of many " * 9) for i in range(700)]
