@@ -36,7 +36,7 @@ from tessera.session import scratch_path
 from tessera.sources import inference as I
 from tessera.sources import ordered as O
 from tessera.sources.csv import all_strings, read_csv
-from tessera.sources.sinks import row_count, write_csv
+from tessera.sources.sinks import preview, row_count, write_csv
 from tessera.sources.tables import Tables
 from tessera.streaming import logs as SL
 from tessera.streaming.sinks import preview_stream, progress_frame, run_stream
@@ -938,6 +938,17 @@ def q_stream_state_host_bytes(t: Tables) -> DataFrame:
     return SF.running_sums(t.spark, run, "hostname", "total_bytes")
 
 
+@register("stream_state_progress", f"""
+SELECT count(*) AS state_rows, CAST(0 AS BIGINT) AS dropped_rows, (SELECT count(*) FROM events) AS input_rows FROM ({HOST_BYTES_SQL})""")
+def q_stream_state_progress(t: Tables) -> DataFrame:
+    """What the reports tell of the state: a row per host at the end, none dropped."""
+    # Without a sort: its sampling would run the state's stage, and count its rows, twice.
+    sums = block_fields(_log_stream(t)).groupBy("hostname").agg(F.sum("block_size").alias("total_bytes"))
+    reports = progress_frame(t.spark, run_stream(sums, "complete", "stream_state_progress"))
+    return reports.agg(F.max_by("state_rows", "batch_id").alias("state_rows"), F.sum("dropped_rows").alias("dropped_rows"),
+                       F.sum("num_input_rows").alias("input_rows"))
+
+
 @register("stream_preview", "SELECT least(count(*), 20) AS previewed, least(count(*), 20) AS known FROM events")
 def q_stream_preview(t: Tables) -> DataFrame:
     """K6: the first twenty lines of the stream, each a line of the table."""
@@ -1021,6 +1032,12 @@ def q_csv_misfit_rows(t: Tables) -> DataFrame:
     return found.select("event_id", "fare", F.array_join(I.BAD_COLUMNS, ",").alias("bad"))
 
 
+@register("preview_rows", "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 20")
+def q_preview_rows(t: Tables) -> DataFrame:
+    """K2: a preview of twenty rows of a sorted table."""
+    return preview(t.customer.select("c_custkey", "c_name").orderBy("c_custkey"), 20)
+
+
 @register("ordered_orders", """
 SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS ordinal, o_orderkey, o_totalprice FROM orders""")
 def q_ordered_orders(t: Tables) -> DataFrame:

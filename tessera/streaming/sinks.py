@@ -20,13 +20,14 @@ restarted job resumes from its offsets and state.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tessera.session import scratch_path
 
@@ -34,8 +35,48 @@ BATCH_COL = "_batch_id"
 SLOT_COL = "_slot"
 COMPACT_EVERY = 10
 _POLL_S = 0.2
-# Reports that Spark keeps between two polls (its default is 100).
-_KEPT_REPORTS = "10000"
+
+
+class _Reports(StreamingQueryListener):
+    """Every batch's report of the queries that this module started, also of those that nobody polls.
+
+    Spark itself keeps the last hundred.  A report is held as its figures, one short row per batch.
+    """
+
+    def __init__(self) -> None:
+        self.by_run: dict[str, dict[int, dict]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        held = self.by_run.get(str(event.progress.runId))
+        if held is not None:
+            _keep(held, json.loads(event.progress.json))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def _keep(held: dict[int, dict], p: dict) -> None:
+    # An idle trigger reports the next batch with no rows before that batch runs.
+    batch = int(p["batchId"])
+    if batch not in held or p.get("numInputRows", 0) or not held[batch].get("numInputRows", 0):
+        held[batch] = {k: p.get(k) for k in ("batchId", "numInputRows", "inputRowsPerSecond", "processedRowsPerSecond", "durationMs",
+                                             "eventTime", "stateOperators")}
+
+
+_LISTENERS: dict[int, _Reports] = {}
+
+
+def _listener(spark: SparkSession) -> _Reports:
+    if id(spark) not in _LISTENERS:
+        _LISTENERS[id(spark)] = _Reports()
+        spark.streams.addListener(_LISTENERS[id(spark)])
+    return _LISTENERS[id(spark)]
 
 
 @dataclass
@@ -57,11 +98,9 @@ class StreamRun:
         return [self.reports[b] for b in sorted(self.reports)]
 
     def poll(self) -> None:
+        """The listener hears of a batch a little later than the query itself, which knows its last hundred."""
         for p in (self.query.recentProgress if self.query is not None else ()):
-            batch = int(p["batchId"])
-            # An idle trigger reports the next batch with no rows before that batch runs.
-            if batch not in self.reports or p.get("numInputRows", 0) or not self.reports[batch].get("numInputRows", 0):
-                self.reports[batch] = p
+            _keep(self.reports, json.loads(p.json))
 
     def wait(self, timeout_s: float | None = None) -> bool:
         """Until the query ends by itself; False if it still runs after ``timeout_s``."""
@@ -174,14 +213,16 @@ def start_stream(df: DataFrame, mode: str, name: str, keys: Sequence[str] = (),
         raise ValueError("batch_transform needs complete or update mode")
     if mode == "update" and not keys:
         raise ValueError("update mode needs the key columns")
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", _KEPT_REPORTS)
+    listener = _listener(spark)
     writer = (df.writeStream.outputMode(mode).option("checkpointLocation", f"{out}/_checkpoint")
               .queryName(f"{name}_{abs(hash(out)) % 10**8}").trigger(**(trigger or {"availableNow": True})))
     if mode == "append":
         writer = writer.format("parquet").option("path", f"{out}/data")
     else:
         writer = writer.foreachBatch(_batch_writer(out, mode, tuple(keys), batch_transform))
-    return StreamRun(spark, out, mode, tuple(keys), tuple(order), writer.start())
+    query = writer.start()
+    reports = listener.by_run.setdefault(str(query.runId), {})
+    return StreamRun(spark, out, mode, tuple(keys), tuple(order), query, reports)
 
 
 def run_stream(df: DataFrame, mode: str, name: str, keys: Sequence[str] = (), trigger: dict | None = None,
@@ -246,11 +287,15 @@ def preview_stream(df: DataFrame, n: int, name: str, timeout_s: float | None = N
 
 
 def progress_frame(spark: SparkSession, run: StreamRun) -> DataFrame:
-    """One row per micro-batch with its id, input rows and durations."""
-    rows = [(int(p["batchId"]), int(p.get("numInputRows", 0)),
+    """One row per micro-batch with its id, input rows, durations, watermark, and the figures of its state operators."""
+    def state(p: dict, figure: str) -> int:
+        return sum(int(op.get(figure) or 0) for op in p.get("stateOperators") or [])
+
+    rows = [(int(p["batchId"]), int(p.get("numInputRows") or 0),
              float(p.get("inputRowsPerSecond") or 0.0), float(p.get("processedRowsPerSecond") or 0.0),
-             int((p.get("durationMs") or {}).get("triggerExecution", 0)))
+             int((p.get("durationMs") or {}).get("triggerExecution", 0)), (p.get("eventTime") or {}).get("watermark"),
+             state(p, "numRowsTotal"), state(p, "numRowsDroppedByWatermark"))
             for p in run.progress]
     return spark.createDataFrame(
         rows, "batch_id long, num_input_rows long, input_rows_per_second double, "
-              "processed_rows_per_second double, trigger_ms long")
+              "processed_rows_per_second double, trigger_ms long, watermark string, state_rows long, dropped_rows long")

@@ -61,29 +61,31 @@ def replay(spark: SparkSession, rows: DataFrame, members: Sequence[Column], out:
     """
     ensure_utc(spark)
     sizes = rows.agg(*(F.count(F.when(m, 1)).alias(f"n{i}") for i, m in enumerate(members))).first()
-    filled = [(i, m) for i, m in enumerate(members) if sizes[i]]
-    files = max(1, min([max(sizes) // rows_per_file, *(sizes[i] for i, _ in filled)]))
-    for i, m in filled:
+    filled = [m for i, m in enumerate(members) if sizes[i]]
+    return _write_batches(spark, rows, filled, max(1, min([max(sizes) // rows_per_file, *(n for n in sizes if n)])), out)
+
+
+def _write_batches(spark: SparkSession, rows: DataFrame, members: Sequence[Column], files: int, out: str) -> DataFrame:
+    for i, m in enumerate(members or [F.lit(True)]):
         rows.filter(m).repartition(files).write.mode("overwrite").parquet(f"{out}/batch={i:05d}")
-    if not filled:
-        rows.limit(0).write.mode("overwrite").parquet(f"{out}/batch=00000")
     return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).option("basePath", out)
             .parquet(f"{out}/batch=*").select(*rows.columns))
 
 
-def time_slices(rows: DataFrame, ts: str, batches: int) -> list[Column]:
-    """Conditions that cut ``rows`` by time into about equal parts; rows without a time belong to the first."""
-    seconds = F.col(ts).cast("timestamp").cast("double")
-    cuts = rows.select(seconds.alias("s")).approxQuantile("s", [i / batches for i in range(1, batches)], 0.001)
+def replay_in_time_order(spark: SparkSession, rows: DataFrame, ts: str, out: str, batches: int = 4, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """``rows`` as a stream of ``batches`` micro-batches in event-time order: no row is late.
+
+    One pass finds the cuts and the number of rows.  Rows without a time belong to the first batch.
+    """
+    ensure_utc(spark)
+    seconds = F.unix_micros(F.col(ts).cast("timestamp"))
+    shares = F.array(*(F.lit(i / batches) for i in range(1, batches))) if batches > 1 else F.array(F.lit(0.0))
+    found = rows.agg(F.count(seconds).alias("n"), F.percentile_approx(seconds, shares, 10_000).alias("cuts")).first()
+    cuts = sorted(set(found.cuts or [])) if batches > 1 else []
     # On the column itself, so that a scan can skip row groups.
-    edges = [F.timestamp_seconds(F.lit(c)).cast(rows.schema[ts].dataType) for c in cuts]
+    edges = [F.timestamp_micros(F.lit(c)).cast(rows.schema[ts].dataType) for c in cuts]
     if not edges:
-        return [F.lit(True)]
+        return _write_batches(spark, rows, [], max(1, found.n // rows_per_file), out)
     inner = [(F.col(ts) >= a) & (F.col(ts) < b) for a, b in zip(edges, edges[1:])]
-    return [(F.col(ts) < edges[0]) | F.col(ts).isNull(), *inner, F.col(ts) >= edges[-1]]
-
-
-def replay_in_time_order(spark: SparkSession, rows: DataFrame, ts: str, out: str, batches: int = 4) -> DataFrame:
-    """``rows`` as a stream of ``batches`` micro-batches in event-time order: no row is late."""
-    ensure_utc(spark)
-    return replay(spark, rows, time_slices(rows, ts, batches), out)
+    members = [(F.col(ts) < edges[0]) | F.col(ts).isNull(), *inner, F.col(ts) >= edges[-1]]
+    return _write_batches(spark, rows, members, max(1, found.n // batches // rows_per_file), out)

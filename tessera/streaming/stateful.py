@@ -162,7 +162,7 @@ def late_side(stream: DataFrame, ts: str, duration: str, delay: str, name: str)
 
 def dropped_rows(run: StreamRun) -> int:
     """Rows that the query's state operators dropped as late (after partial aggregation), over all its batches."""
-    return sum(int(op["numRowsDroppedByWatermark"]) for p in run.progress for op in p["stateOperators"])
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in run.progress for op in p["stateOperators"] or ())
 
 
 # What a checkpoint holds.

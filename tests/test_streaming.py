@@ -5,6 +5,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.plans import logs as L
 from tessera.streaming import logs as SL
@@ -214,3 +215,21 @@ def test_json_lines_with_a_declared_schema(spark, tmp_dir):
     _write(src, "a.json", ['{"value": "x", "n": 1}'], int(time.time()) - 100)
     run = run_stream(line_stream(spark, src, fmt="json", schema="value string, n int"), "append", "json")
     assert [(r["value"], r["n"]) for r in run.result().collect()] == [("x", 1)]
+
+
+def test_reports_of_all_batches_are_kept_without_polling(spark, tmp_dir):
+    from tessera.streaming import sinks
+    from tessera.streaming.sources import replay_in_time_order
+
+    rows = spark.range(40).withColumn("at", F.timestamp_seconds("id"))
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", None)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        stream = replay_in_time_order(spark, rows, "at", tmp_dir, batches=8)
+        run = sinks.start_stream(stream, "append", "unpolled")
+        assert run.query.awaitTermination(120)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before or "100")
+    assert len(run.query.recentProgress) <= 2
+    assert sum(p["numInputRows"] for p in run.progress) == 40 and len([p for p in run.progress if p["numInputRows"]]) == 8
