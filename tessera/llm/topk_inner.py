@@ -18,7 +18,7 @@ tie is pruned.
 Defined cases: rows with a NULL vector, a NULL or non-finite component or a NULL id take no
 part; a shorter vector counts as padded with zeros; repeated ids are separate candidates
 (never of a query with the same id), and equal rows of one query id answer once; ties go to
-the smaller id; a score that does not fit 64 bits fails; fewer than k candidates give fewer rows; empty tables give none.
+the smaller id; a component or score that does not fit 64 bits fails; fewer than k candidates give fewer rows; empty tables give none.
 """
 
 from __future__ import annotations
@@ -46,12 +46,13 @@ _RESULT = "query_id long, vec_id long, score long"
 
 
 def integer_vectors(vectors: DataFrame, scale: int, id_col: str, vec_col: str) -> DataFrame:
-    """``vec_id, v array<long>, len2``: the rows that take part."""
+    """``vec_id, v array<long>, len2``: the rows that take part; a component beyond 64 bits fails."""
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
     ok = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return (vectors.filter(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).filter(F.coalesce(ok, F.lit(False)))
-            .select("vec_id", F.transform("v", lambda x: F.floor(x * scale)).alias("v"))
+            .select("vec_id", F.transform("v", lambda x: F.when(F.abs(x * scale) < 2.0 ** 63, F.floor(x * scale))
+                                          .otherwise(F.raise_error(F.lit("a component is beyond 64 bits")).cast("long"))).alias("v"))
             .withColumn("len2", F.aggregate("v", F.lit(0).cast("double"), lambda a, x: a + x.cast("double") * x)))
 
 
@@ -71,6 +72,27 @@ def gram_matrix(rows: DataFrame, dims: int) -> np.ndarray:
     return out.reshape(dims, dims)
 
 
+def principal_axes(spark: SparkSession, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues and eigenvectors of a symmetric matrix, largest first, computed in a task.
+
+    Python workers run LAPACK with the threads that Spark allows them; in a driver that has
+    started a JVM, its own threads can lock up.
+    """
+    dims = len(gram)
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cells in batch.column(0):
+                values, vectors = np.linalg.eigh(np.array(cells.as_py()).reshape(dims, dims))
+                order = np.argsort(-values)
+                yield pa.RecordBatch.from_arrays([pa.array([values[order].tolist()]), pa.array([vectors[:, order].ravel().tolist()])],
+                                                 names=["values", "axes"])
+
+    row = (spark.createDataFrame([(gram.ravel().tolist(),)], "cells array<double>").coalesce(1)
+           .mapInArrow(solve, "values array<double>, axes array<double>").first())
+    return np.array(row[0]), np.array(row.axes).reshape(dims, dims)
+
+
 def matrix(column, dims: int, dtype=np.float64) -> np.ndarray:
     """A list column as a matrix of ``dims`` columns, shorter rows padded with zeros."""
     if isinstance(column, pd.Series):
@@ -145,10 +167,8 @@ def top_k_inner(spark: SparkSession, vectors: DataFrame, k: int = K, scale: int
     if not shape.queries or not shape.dims:
         return empty
     dims = shape.dims
-    values, vectors_ = np.linalg.eigh(gram_matrix(rows, dims))
-    order = np.argsort(-values)
-    rotation = vectors_[:, order]
-    mass = np.cumsum(np.maximum(values[order], 0))
+    values, rotation = principal_axes(spark, gram_matrix(rows, dims))
+    mass = np.cumsum(np.maximum(values, 0))
     lead = int(min(dims, 1 + np.searchsorted(mass, LEAD_SHARE * mass[-1])))
 
     # Blocks of equal size by descending length; the id breaks ties, so equal vectors spread over blocks.
@@ -156,6 +176,7 @@ def top_k_inner(spark: SparkSession, vectors: DataFrame, k: int = K, scale: int
     n_sets = max(1, -(-shape.queries // query_rows))
     blocks = staged(spark, rows.repartitionByRange(n_blocks, F.desc("len2"), F.asc("vec_id"))
                     .withColumn("block", F.spark_partition_id().cast("long")), "topk-blocks")
+    n_blocks = 1 + blocks.agg(F.max("block")).first()[0]
     queries = (rows.filter(F.pmod("vec_id", F.lit(query_stride)) == 0)
                .select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).distinct()
                .withColumn("set", F.pmod(F.xxhash64("query_id"), F.lit(n_sets))))
@@ -204,4 +225,4 @@ def oracle_sql(k: int = K, scale: int = SCALE, query_stride: int = QUERY_STRIDE)
     WHERE rank <= {k}"""
 
 
-__all__ = ["integer_vectors", "gram_matrix", "search_block", "top_k_inner", "oracle_sql"]
+__all__ = ["integer_vectors", "gram_matrix", "principal_axes", "search_block", "top_k_inner", "oracle_sql"]

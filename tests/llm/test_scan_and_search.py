@@ -138,6 +138,19 @@ def test_scores_of_long_vectors_are_exact(spark):
         topk_inner.exact_scores(huge, huge[0], 2.0 ** 81)
 
 
+def test_components_beyond_64_bits_fail(spark):
+    rows = spark.createDataFrame([(0, [1.0, 1.0]), (1, [1e17, 0.0]), (2, [3e17, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        topk_inner.top_k_inner(spark, rows).collect()
+
+
+def test_wide_vectors(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=300).tolist()) for i in range(130)]
+    got = topk_inner.top_k_inner(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 10, 100)
+
+
 def test_placement_takes_the_highest_dot_product():
     # Two shards, two dimensions: opposite vectors end up together.
     out = place(np.array([[10.0, 0.0], [10.0, 0.0], [0.0, 10.0], [0.0, 10.0]]), 2)
