@@ -179,3 +179,16 @@ def test_near_links_lose_nothing(spark, cell_rows):
         s = p - (1 << 64) if p >> 63 else p
         got.setdefault(nodes.get(s, s), set()).add(p)
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_null_texts_stay_null_when_strings_are_cut(spark):
+    import corpus_pipeline
+
+    from odd_data import syllables
+
+    passage = syllables(77, 60)
+    docs = spark.createDataFrame([(1, passage + "first", 0), (2, "second " + passage, 0), (3, None, None), (4, None, 7), (5, "", 0)],
+                                 "doc_id long, text string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.cut_repeated_strings(spark, docs, "").collect()}
+    assert got[3] == (None, None) and got[4] == (None, 7) and got[5] == ("", 0)
+    assert got[1] == (passage + "first", len(passage) + 5) and len(got[2][0]) < 30
