@@ -22,18 +22,18 @@ ignored unless named in ``keep``.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.bpe import Encoder, Vocabulary
+from tessera.llm.bpe import _MASK, _SHIFT, PATTERN, Encoder, Vocabulary
 from tessera.llm.common import by_bytes, hand_back
 from tessera.session import scratch_path
 
@@ -44,9 +44,7 @@ TASKS_PER_BLOCK = 512
 _STALL = 16
 _COLUMNS_A_ROUND = 96
 _EPS = 1e-7
-_MEMO_BYTES = 160 << 20  # a Python worker
-_ENTRY_BYTES = 200  # of a dictionary's entry, beside its key's and value's own bytes
-_SPACES = regex.compile(r" \s")
+_LONG_TEXT, _LONG_WORD = 200_000, 4_000  # characters: beyond, merges are made by the heap of `bpe.Encoder`
 _GROUP_BYTES = 1 << 20
 
 
@@ -271,75 +269,63 @@ class Slots:
 
 # Encoding.
 
-class Memo:
-    """Ids of parts of texts: the parts of late, and those of before that are asked for again.
+class TextEncoder:
+    """Ids of whole texts, as little-endian unsigned 32-bit integers.
 
-    When the young ones take half of ``size`` bytes the old ones go, so frequent parts stay.
+    The public ``tiktoken`` library merges the pair whose *joined bytes* rank lowest, where the vocabulary
+    lists pairs.  Both give the same ids if each merged token comes from one listed pair, and
+    only tokens that merge to themselves are ranked: a pair of other halves of such a token can
+    then never stand side by side when the token's turn comes, since the same bytes alone would have
+    gone the same way.  ``__init__`` checks this for the vocabulary at hand; where it does not hold, and for very long
+    texts or words, the listed pairs are merged by ``bpe.Encoder``.
     """
 
-    def __init__(self, size: int = _MEMO_BYTES):
-        self.size, self.young, self.old, self.bytes = size, {}, {}, 0
-
-    def missing(self, parts: set[str]) -> list[str]:
-        """The parts without ids; old ones become young."""
-        young, old = self.young, self.old
-        fresh = [p for p in parts if p not in young]  # not by difference of keys, which would walk the whole memo
-        self.learn([(p, old[p]) for p in fresh if p in old])
-        return [p for p in fresh if p not in old]
-
-    def learn(self, pairs: Iterable[tuple[str, bytes]]) -> None:
-        pairs = list(pairs)
-        self.young.update(pairs)
-        self.bytes += _ENTRY_BYTES * len(pairs) + sum([2 * len(part) + len(ids) for part, ids in pairs])
-
-    def age(self) -> None:
-        if self.bytes > self.size // 2:
-            self.young, self.old, self.bytes = {}, self.young, 0
-
-
-def encode_texts(encoder: Encoder, memo: Memo, texts: list[str]) -> list[bytes]:
-    """Ids of each text.  A text is cut before each space that a word follows: the pre-tokenizer cuts there
-    too, so the parts can be encoded, and remembered, by themselves."""
-    plain = [t for t in texts if not encoder.specials.search(t)]
-    parts = [_parts(t) for t in plain]
-    memo.age()
-    new = memo.missing(set().union(*parts))
-    tokens = [encoder.pattern.findall(p) for p in new]
-    words = set().union(*tokens)
-    unseen = memo.missing(words)
-    memo.learn(zip(unseen, encoder.merge(unseen)))
-    ids = memo.young
-    memo.learn([(p, b"".join([ids[t] for t in line])) for p, line in zip(new, tokens) if len(line) != 1])
-    known = {t: b"".join([ids[p] for p in line]) for t, line in zip(plain, parts)}
-    for t in texts:
-        if t not in known:
-            known[t] = encoder.encode(t)
-    return [known[t] for t in texts]
-
-
-def _parts(text: str) -> list[str]:
-    """The text cut before every space that something other than white space follows."""
-    head, *rest = text.split(" ")
-    if not _SPACES.search(text):
-        return ([head] if head else []) + [" " + word for word in rest]
-    out = [head] if head else []
-    for word in rest:
-        if word and not word[0].isspace() or not out:
-            out.append(" " + word)
-        else:
-            out[-1] += " " + word
+    def __init__(self, vocabulary: Vocabulary):
+        self.exact = Encoder(vocabulary)
+        merged = sorted((m >> _SHIFT, m & _MASK) for m in vocabulary.merges.values())
+        pieces = vocabulary.pieces
+        ids = vocabulary.byte_ids + [i for _, i in merged]
+        self.fast = None
+        if len(set(ids)) == len(ids):
+            ranks = {pieces[i]: r for r, i in enumerate(ids)}
+            own = _merged_alone(self.exact, [pieces[i] for _, i in merged])
+            for (_, i), alone in zip(merged, own):
+                if alone != np.uint32(i).tobytes():
+                    del ranks[pieces[i]]
+            special = {t: len(ids) + k for k, t in enumerate(vocabulary.special)}
+            self.fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+            self.to_id = np.array([*ids, *vocabulary.special.values()], dtype="<u4")
+
+    def encode(self, text: str) -> bytes:
+        if self.fast is None or len(text) > _LONG_TEXT or max(map(len, text.split()), default=0) > _LONG_WORD:
+            return self.exact.encode(text)
+        return self.to_id[self.fast.encode_to_numpy(text, allowed_special="all")].tobytes()
+
+
+def _merged_alone(encoder: Encoder, pieces: list[bytes]) -> list[bytes]:
+    """What the listed merges make of each piece's bytes by themselves."""
+    out: list[bytes] = [b""] * len(pieces)
+    by_length: dict[int, list[int]] = {}
+    for i, p in enumerate(pieces):
+        by_length.setdefault(len(p), []).append(i)
+    byte_ids = np.array(encoder.vocabulary.byte_ids, dtype=np.int64)
+    for length, members in by_length.items():
+        rows = byte_ids[np.frombuffer(b"".join([pieces[i] for i in members]), dtype=np.uint8)].reshape(len(members), length)
+        for at, ids in encoder._table.merge(rows):
+            for row, line in zip(at.tolist(), ids.astype("<u4")):
+                out[members[row]] = line.tobytes()
     return out
 
 
-_WORKER: dict[int, tuple[Encoder, Memo]] = {}
+_WORKER: dict[int, TextEncoder] = {}
 
 
-def _worker_encoder(shared) -> tuple[Encoder, Memo]:
-    """The Python worker's encoder and memo: its next task goes on with both."""
+def _worker_encoder(shared) -> TextEncoder:
+    """The Python worker's encoder: its next task goes on with it."""
     key = shared._jbroadcast.id() if getattr(shared, "_jbroadcast", None) else id(shared.value)
     if key not in _WORKER:
         _WORKER.clear()
-        _WORKER[key] = (Encoder(shared.value), Memo())
+        _WORKER[key] = TextEncoder(shared.value)
     return _WORKER[key]
 
 
@@ -354,12 +340,12 @@ def encode_remainders(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hand_back()  # what earlier stages left in this worker
-        encoder, memo = _worker_encoder(shared)
+        encoder = _worker_encoder(shared)
         task, seen = TaskContext.get().partitionId(), np.zeros(width + 1, dtype=np.int64)
         for whole in batches:
             for batch in by_bytes(whole, n_keep, _GROUP_BYTES):
-                ids = [i + end for i in encode_texts(encoder, memo, [t or "" for t in batch.column(n_keep).to_pylist()])]
-                encoder.forget()  # ids of texts with special tokens or runs of spaces
+                ids = [encoder.encode(t or "") + end for t in batch.column(n_keep).to_pylist()]
+                encoder.exact.forget()
                 rem, rem_rank, full_rank = [], [], []
                 for i in ids:
                     full, r = divmod(len(i) // 4, width)
@@ -454,4 +440,4 @@ def digests(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-__all__ = ["WIDTH", "END_ID", "Patterns", "cheapest_fills", "plan_fills", "Slots", "encode_texts", "pack_tokens", "digests"]
+__all__ = ["WIDTH", "END_ID", "Patterns", "cheapest_fills", "plan_fills", "Slots", "TextEncoder", "pack_tokens", "digests"]

@@ -178,14 +178,33 @@ def encoder():
     return Encoder(Vocabulary.load(tokenizer_path()))
 
 
-def test_parts_of_a_text_encode_like_the_whole(encoder):
+def test_texts_encode_like_the_tokenizers_library(encoder):
+    from tokenizers import Tokenizer
+
     rng = random.Random(1)
-    texts = ["", " ", "  ", "a  b", " a", "a ", "a\n b", "a \nb", "a\t b c", "　 x", "it's  we'll\r\n\r\n  x", "x <|endoftext|> y", "  a  b"]
-    texts += ["".join(rng.choice("ab1. \n\t  é'日$") for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts = ["", " ", "  ", "a  b", " a", "a ", "a\n b", "a \nb", "a\t b c", "　 x", "it's  we'll\r\n\r\n  x", "x <|endoftext|> y", "  a  b",
+             "a" * 3000, "ab" * 2500, "x" * 5000, " " * 3000 + "x", "\n" * 5000, "日本語" * 900, "word " * 50_000]
+    texts += ["".join(rng.choice("ab1. \n\t  é'日$aaabbb") for _ in range(rng.randint(0, 60))) for _ in range(4000)]
+    texts += ["".join(chr(rng.choice([rng.randint(33, 126), rng.randint(160, 0x2FFF), rng.randint(0x1F300, 0x1F600)])) for _ in range(30)) for _ in range(500)]
     texts += [t for _, t in odd_rows() if t]
-    memo = cutting_stock.Memo(20_000)
-    got = cutting_stock.encode_texts(encoder, memo, texts) + cutting_stock.encode_texts(encoder, memo, texts[::-1])[::-1]
-    assert got == [encoder.encode(t) for t in texts] * 2
+    library = Tokenizer.from_file(tokenizer_path())
+    library.no_truncation()
+    library.no_padding()
+    fast = cutting_stock.TextEncoder(encoder.vocabulary)
+    assert fast.fast is not None
+    for text in texts:
+        want = np.array(library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert fast.encode(text) == want, text[:80]
+        assert encoder.encode(text) == want, text[:80]
+
+
+def test_vocabulary_pieces_merge_to_themselves_or_are_not_ranked(encoder):
+    fast = cutting_stock.TextEncoder(encoder.vocabulary)
+    for merge in list(encoder.vocabulary.merges.values())[::37]:
+        piece = encoder.vocabulary.pieces[merge & ((1 << 20) - 1)]
+        rows = np.array([[encoder.vocabulary.byte_ids[b] for b in piece]])
+        alone = encoder._table.merge(rows)[0][1] if len(piece) > 1 else rows
+        assert (piece in fast.fast._mergeable_ranks) == (alone.shape[1] == 1)
 
 
 @pytest.mark.parametrize("tasks", [512, 2])
