@@ -15,7 +15,10 @@ from pyspark.sql.types import BinaryType, StructType
 
 from tessera.session import ensure_utc
 
-ROWS_PER_FILE = 1_000_000
+# A file is read by one task: this many rows keep the cores of a cluster busy on a small batch.
+ROWS_PER_FILE = 100_000
+# A large batch has larger files rather than more of them than a shuffle has partitions, up to this many rows.
+MOST_ROWS_PER_FILE = 1_000_000
 
 
 def line_stream(spark: SparkSession, path: str | None = None, fmt: str = "text", include_ingest_ts: bool = True,
@@ -56,18 +59,28 @@ def replay(spark: SparkSession, rows: DataFrame, members: Sequence[Column], out:
     """``rows`` as a stream with one micro-batch for each condition of ``members``, in that order.
 
     Each batch is one folder, written after the one before it, so the file source takes them in
-    order.  All batches have the same number of part files, in proportion to the rows, and a
-    trigger takes that many.
+    order.  All batches have the same number of part files, as the largest needs, and a trigger
+    takes that many.
     """
     ensure_utc(spark)
     sizes = rows.agg(*(F.count(F.when(m, 1)).alias(f"n{i}") for i, m in enumerate(members))).first()
     filled = [m for i, m in enumerate(members) if sizes[i]]
-    return _write_batches(spark, rows, filled, max(1, min([max(sizes) // rows_per_file, *(n for n in sizes if n)])), out)
+    return _write_batches(spark, rows, filled, _part_files(spark, max(sizes), rows_per_file), out)
+
+
+def _part_files(spark: SparkSession, rows: int, rows_per_file: int) -> int:
+    """Part files for a batch of ``rows``."""
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // MOST_ROWS_PER_FILE)
+    return max(1, min(rows // rows_per_file, most))
 
 
 def _write_batches(spark: SparkSession, rows: DataFrame, members: Sequence[Column], files: int, out: str) -> DataFrame:
     for i, m in enumerate(members or [F.lit(True)]):
-        rows.filter(m).repartition(files).write.mode("overwrite").parquet(f"{out}/batch={i:05d}")
+        folder = f"{out}/batch={i:05d}"
+        rows.filter(m).repartition(files).write.mode("overwrite").parquet(folder)
+        # A task without rows leaves no file, but a trigger counts files: empty ones keep the batches apart.
+        for _ in range(files - len(spark.read.schema(rows.schema).parquet(folder).inputFiles())):
+            rows.limit(0).write.mode("append").parquet(folder)
     return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).option("basePath", out)
             .parquet(f"{out}/batch=*").select(*rows.columns))
 
@@ -80,12 +93,12 @@ def replay_in_time_order(spark: SparkSession, rows: DataFrame, ts: str, out: str
     ensure_utc(spark)
     seconds = F.unix_micros(F.col(ts).cast("timestamp"))
     shares = F.array(*(F.lit(i / batches) for i in range(1, batches))) if batches > 1 else F.array(F.lit(0.0))
-    found = rows.agg(F.count(seconds).alias("n"), F.percentile_approx(seconds, shares, 10_000).alias("cuts")).first()
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(seconds, shares, 10_000).alias("cuts")).first()
     cuts = sorted(set(found.cuts or [])) if batches > 1 else []
     # On the column itself, so that a scan can skip row groups.
     edges = [F.timestamp_micros(F.lit(c)).cast(rows.schema[ts].dataType) for c in cuts]
     if not edges:
-        return _write_batches(spark, rows, [], max(1, found.n // rows_per_file), out)
+        return _write_batches(spark, rows, [], _part_files(spark, found.n, rows_per_file), out)
     inner = [(F.col(ts) >= a) & (F.col(ts) < b) for a, b in zip(edges, edges[1:])]
     members = [(F.col(ts) < edges[0]) | F.col(ts).isNull(), *inner, F.col(ts) >= edges[-1]]
-    return _write_batches(spark, rows, members, max(1, found.n // batches // rows_per_file), out)
+    return _write_batches(spark, rows, members, _part_files(spark, found.n // batches, rows_per_file), out)

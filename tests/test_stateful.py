@@ -153,3 +153,31 @@ def test_scratch_is_deleted_when_the_caller_is_done(spark):
     assert delete_scratch(spark) == 1 and delete_scratch(spark) == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_a_batch_is_read_by_many_tasks(spark, tmp_dir):
+    rows = spark.range(1_000_000, numPartitions=4).select("id", F.timestamp_seconds("id").alias("at"))
+    sizes = []
+    query = (replay_in_time_order(spark, rows, "at", tmp_dir, batches=2).writeStream
+             .foreachBatch(lambda b, i: sizes.append([r["count"] for r in b.groupBy(F.spark_partition_id()).count().collect()]))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert sum(map(sum, sizes)) == 1_000_000
+    assert [len(s) for s in sizes] == [4, 4]  # as many as the session's shuffles have
+
+
+def test_uneven_batches_of_several_files_stay_apart(spark, tmp_dir):
+    # Over a quarter of the rows have the first time, so the first batch is empty; the last has fewer rows than files.
+    rows = spark.range(1000, numPartitions=4).select("id", F.timestamp_seconds(F.greatest(F.lit(0), F.col("id") - 400)).alias("at"))
+
+    def batches(stream):
+        found = []
+        query = stream.writeStream.foreachBatch(lambda b, i: found.append(tuple(b.agg(F.min("id"), F.max("id"), F.count("*")).first()))).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return [b for b in found if b[2]]
+
+    in_order = batches(replay_in_time_order(spark, rows, "at", f"{tmp_dir}/a", rows_per_file=70))
+    assert sum(b[2] for b in in_order) == 1000
+    assert all(x[1] < y[0] for x, y in zip(in_order, in_order[1:]))
+    members = [F.col("id") < 2, (F.col("id") >= 2) & (F.col("id") < 700), F.col("id") >= 700]
+    assert batches(replay(spark, rows, members, f"{tmp_dir}/b", rows_per_file=200)) == [(0, 1, 2), (2, 699, 698), (700, 999, 300)]
