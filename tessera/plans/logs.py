@@ -91,10 +91,13 @@ def host_block_operations(lines: DataFrame, level: str = "INFO", keep_unmatched:
     With ``keep_unmatched=True`` failed extractions stay ``''`` and pass the
     not-NULL tests, reproducing the reference's blank-host row.
     """
-    p = parse_log_lines(lines, keep_unmatched=keep_unmatched).select("value", "log_level")
-    f = block_fields(p, keep_unmatched=keep_unmatched).filter((F.col("log_level") == level) & F.col("block_id").isNotNull()
-                               & F.col("ip").isNotNull())
-    return (f.groupBy(F.col("ip").alias("hostname")).agg(F.count(F.lit(1)).alias("block_operations"))
+    if keep_unmatched:
+        p = parse_log_lines(lines, keep_unmatched=True).select("value", "log_level")
+        f = block_fields(p, keep_unmatched=True).filter((F.col("log_level") == level) & F.col("block_id").isNotNull()
+                                   & F.col("ip").isNotNull()).withColumn("hostname", F.col("ip"))
+    else:
+        f = block_lines(lines, level)
+    return (f.groupBy("hostname").agg(F.count(F.lit(1)).alias("block_operations"))
             .orderBy(F.col("block_operations").desc(), "hostname"))
 
 

@@ -70,3 +70,15 @@ def test_token_popularity_aggregates_lineitem_before_the_join(spark):
     li = text.index("ReadSchema: struct<l_partkey:bigint>")
     join = text.index("Join type: Inner")
     assert re.search(r"Keys \[1\]: \[l_partkey", text[li:join])
+
+
+def test_host_operations_match_each_pattern_once(spark):
+    from tessera.plans import logs as L
+
+    lines = [("081109 203518 1 INFO dfs.DataNode: Receiving block blk_1 src: /10.0.0.1:5",), ("081109 203518 1 WARN dfs.DataNode: blk_2 10.0.0.1",),
+             ("INFO blk_3 10.0.0.2",), ("INFO blk 10.0.0.2",), ("INFO blk_4 no host.",), ("INFO blk_5 10.0.0.2",), ("INFOS blk_5 10.0.0.2",), (None,)]
+    counts = L.host_block_operations(spark.createDataFrame(lines, "value string"))
+    assert [tuple(r) for r in counts.collect()] == [("10.0.0.2", 2), ("10.0.0.1", 1)]
+    # A filter on an extracted field would match the pattern a second time.
+    filters = [x for x in plan(counts).splitlines() if x.startswith("Condition")]
+    assert filters and not any("regexp" in x for x in filters)
