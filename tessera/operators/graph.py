@@ -9,7 +9,7 @@ driver round trips are one-row loop-stop tests.  Design for scale:
   multiplicity is kept as a count, never expanded into pairs.
 * The folded edges are cut into blocks by (source, bucket of the target): a vertex
   with more than ``BLOCK_EDGES`` edges has as many buckets as it needs, any other one.
-  They are checkpointed, dealt by that pair once, sorted and cached, and stay where they
+  They are written to the shared folder, dealt by that pair once, sorted and cached, and stay where they
   are: a round moves the frontier or the changed ranks to them (a copy per block of a hub),
   joins them in place and sends the partial sums on.  Small frontiers are broadcast by AQE.
 * Only what changed moves: PageRank sends each round's differences, searches send vertices
@@ -34,7 +34,7 @@ from pyspark.sql.types import IntegerType, StructType
 from tessera.operators.aggregates import dedup_by_key
 from tessera.operators.joins import enrich_endpoints, semi_join
 from tessera.operators.ranking import top_k
-from tessera.session import checkpoint_root
+from tessera.session import checkpoint_root, scratch_path
 
 # A source with more distinct edges than this is cut into blocks.
 BLOCK_EDGES = 100_000
@@ -195,28 +195,41 @@ def _to_blocks(df: DataFrame, blocks: str = "blocks") -> DataFrame:
 class EdgeBlocks:
     """Distinct edges ``src, part, dst, <value>, dst_blocks``, placed by (src, part), and every source's ``blocks``.
 
-    ``dst_blocks``: the target's own number of blocks, so that what arrives there knows how often it must go on.
+    ``dst_blocks``: the target's own number of blocks (1 if it has no edges), so that what arrives there knows how
+    often it must go on.  ``path``: the folder of the edges, deleted with the rest by ``release``.
     """
 
     edges: DataFrame
     sources: DataFrame
     held: tuple[DataFrame, ...]
+    path: str
 
     def release(self) -> None:
         for frame in self.held:
             frame.unpersist()
+        spark = self.edges.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def edge_blocks(folded: DataFrame, block_edges: int | None = None, num_partitions: int | None = None) -> EdgeBlocks:
-    """Cut distinct edges (``src, dst`` and values) into blocks of about ``block_edges`` edges of one source."""
-    folded = _checkpoint(folded)
+    """Cut distinct edges (``src, dst`` and values) into blocks of about ``block_edges`` edges of one source.
+
+    The edges are written to the shared folder once and moved once, to their place.  Only the
+    sources of more than one block are looked up, at both ends of the edges; there is at most
+    one for every ``block_edges`` edges, so they are broadcast.
+    """
+    spark, path = folded.sparkSession, scratch_path(folded.sparkSession, "edges")
+    folded.filter(F.col("src").isNotNull()).write.parquet(path)
+    folded = spark.read.schema(folded.schema).parquet(path)
     sources = stable(folded.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / (block_edges or BLOCK_EDGES)).cast("int").alias("blocks")))
     n = num_partitions or _partitions(folded, folded.agg(F.count(F.lit(1))).first()[0])
-    ends = sources.select(F.col("src").alias("dst"), F.col("blocks").alias("dst_blocks"))
-    cut = (folded.join(sources, "src").withColumn("part", _bucket(F.col("dst"), F.col("blocks"))).drop("blocks")
-           .join(ends, "dst", "left").na.fill(0, ["dst_blocks"]))
-    placed = _placed(_checkpoint(cut), n, "src", "part")
-    return EdgeBlocks(placed, sources, (placed, sources))
+    hubs = F.broadcast(sources.filter("blocks > 1"))
+    ends = hubs.select(F.col("src").alias("dst"), F.col("blocks").alias("dst_blocks"))
+    cut = (folded.join(hubs, "src", "left").na.fill(1, ["blocks"]).withColumn("part", _bucket(F.col("dst"), F.col("blocks"))).drop("blocks")
+           .join(F.broadcast(ends), "dst", "left").na.fill(1, ["dst_blocks"]))
+    placed = _placed(cut, n, "src", "part")
+    return EdgeBlocks(placed, sources, (placed, sources), path)
 
 
 # ----------------------------------------------------------------- BFS / hop distance

@@ -234,3 +234,30 @@ def test_nothing_stays_cached(spark):
     G.hop_distance(g, [1, 2]).count()
     G.bfs(g, "id = 0", "id = 1", both_ends=True).count()
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
+def test_edges_are_moved_once_to_their_blocks(spark, monkeypatch):
+    g = _graph(spark, _hub_edges())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",) if spark.conf.get(k, None) is not None}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        taken = []
+        placed = G._placed
+        monkeypatch.setattr(G, "_placed", lambda df, *a: taken.append(df) or placed(df, *a))
+        blocks = G.edge_blocks(g.edges.distinct(), 20, num_partitions=3)
+        # What is placed has not been shuffled since it was written: the hubs come to the edges.
+        text = _plan(taken[0])
+        assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 2, text
+        found = {(r.src, r.dst): (r.part, r.dst_blocks) for r in blocks.edges.collect()}
+        counts = {}
+        for s, d in set(_hub_edges()):
+            counts[s] = counts.get(s, 0) + 1
+        assert found.keys() == set(_hub_edges())
+        assert all(0 <= part < -(-counts[s] // 20) and n == max(1, -(-counts.get(d, 0) // 20)) for (s, d), (part, n) in found.items())
+        folder = blocks.path
+        blocks.release()
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(folder)
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold",):
+            spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)
